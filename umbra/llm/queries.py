@@ -20,7 +20,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umbra.llm import quality
+
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umbra.llm import suffix
+
+    return suffix.repeats(table(spark, sf_dir, "documents"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from umbra.llm import jaccard
+
+    return jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 
