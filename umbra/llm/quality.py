@@ -26,8 +26,8 @@ SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 METRICS = [
     ("word_length", "100 * word_chars div n_words", 100, True),
     ("symbols", "1000 * n_symbols div n_words", 50, False),
-    ("dup_lines", "1000 * n_dup_lines div n_lines", 100, False),
-    ("repeats", "1000 * n_repeat_words div n_words", 100, False),
+    ("dup_lines", "1000 * n_dup_lines div n_lines", 300, False),
+    ("repeats", "1000 * n_repeat_words div n_words", 300, False),
 ]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
