@@ -2,9 +2,10 @@
 
 1. Texts with equal shingle sets form a class; only one text of each goes on.
 2. Routing: a set's rarest ``n - ceil(t * n) + 1`` shingles, in one global order, hold a shingle of every set that
-   is similar enough (prefix filter). Frequent shingles, which a bounded summary of counts names, come last in the
+   is similar enough (prefix filter); of the smaller of two sets, fewer shingles will do, and holders of a shingle
+   are parted where their sizes are too different. Frequent shingles, which a bounded summary of counts names, come last in the
    order, so a shared passage or line draws no crowd. The sets that hold a routing shingle go to the bucket of its
-   least holder, each once for a bucket however many shingles lead there.
+   smallest holder, each once for a bucket however many shingles lead there.
 3. In a bucket, sets are leaves of a signature tree: a node holds the OR of its leaves' token bitmaps, their range of
    sizes and the most tokens of a leaf that share a bit with another of its tokens. Two nodes are descended only if
    the greatest overlap these allow can reach the threshold and they are not yet one component. Leaves are compared
@@ -94,7 +95,7 @@ def _sizes(width: int):
 
 
 def prefix(s: np.ndarray, hot: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles of s that route it: the rarest, so many that similar sets share one."""
+    """The shingles of s that route it, rarest first: so many that similar sets share one."""
     n = len(s)
     many = n - -(-percent * n // 100) + 1
     if len(hot):
@@ -114,37 +115,59 @@ def _routes(width: int, percent: int, hot: np.ndarray, level: np.ndarray):
                 if name not in seen:  # copies within a batch route once
                     seen.add(name)
                     parts.append(p := prefix(s, hot, level, percent))
-                    names.append((name[0], len(p)))
+                    names.append((name[0], len(s), len(p)))
             if parts:
-                ids = np.repeat(np.array([x for x, _ in names], np.int64), [m for _, m in names])
-                yield pa.RecordBatch.from_arrays([pa.array(tx.as_long(np.concatenate(parts))), pa.array(ids)], ["shingle", "class"])
+                ids, n, m = np.array(names, np.int64).T
+                first = n - -(-2 * percent * n // (100 + percent)) + 1  # one of these is shared with each larger similar set
+                place = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+                size = 2 * np.repeat(n, m) + (place >= np.repeat(first, m))
+                yield pa.RecordBatch.from_arrays([pa.array(tx.as_long(np.concatenate(parts))), pa.array(size), pa.array(np.repeat(ids, m))], ["shingle", "size", "class"])
 
     return run
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (shingle, class) to (pivot, class): the least holder of each shingle that two classes hold."""
-    last = (None, None, None, False)  # shingle, pivot, class, whether the pivot has been told
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        t, c = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        new = np.ones(len(t), bool)
-        new[1:] = t[1:] != t[:-1]
-        new[0] = last[0] is None or t[0] != last[0]
-        starts = np.flatnonzero(new)
-        run = np.cumsum(new) - 1
-        pivots = np.concatenate([[last[1] if last[1] is not None else 0], c[starts]])[run + 1]
-        fresh = np.ones(len(t), bool)
-        fresh[1:] = (c[1:] != c[:-1]) | new[1:]
-        fresh[0] = new[0] or c[0] != last[2]
-        other = fresh & ~new & (c != pivots)
-        p, m = pivots[other], c[other]
-        told = np.unique(p)
-        pair = np.unique(np.stack([np.concatenate([p, told]), np.concatenate([m, told])], 1), axis=0)
-        if len(pair):
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["pivot", "class"])
-        last = (t[-1], pivots[-1], c[-1], True)
+def _buckets(percent: int):
+    """Rows sorted by (shingle, size, class) to (pivot, class).
+
+    size is twice the set's, plus one if the shingle is not among those that the smaller of two similar sets must
+    share. A shingle's holders are cut where no smaller holder before, with the shingle among those, is large enough;
+    the first holder of each part is its pivot. Parts of one are dropped.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = pivot = None
+        reach = 0  # the largest holder of this part so far that may be the smaller of two
+        for batch in batches:
+            m = batch.num_rows
+            if not m:
+                continue
+            t, size, c = (batch.column(k).to_numpy() for k in range(3))
+            n, leads = size >> 1, (size & 1) == 0
+            new_t = np.ones(m, bool)
+            new_t[1:] = t[1:] != t[:-1]
+            new_t[0] = shingle is None or t[0] != shingle
+            part = np.cumsum(new_t)
+            # sizes ascend within a shingle, so the last holder that leads is the largest
+            seen = np.where(leads, np.arange(1, m + 1), 0)
+            last = np.concatenate([[0], np.maximum.accumulate(seen)[:-1]])
+            before = np.where((last > 0) & (part[np.maximum(last - 1, 0)] == part), n[np.maximum(last - 1, 0)], 0)
+            if not new_t[0]:
+                carried = (part == part[0]) & (before == 0)
+                before[carried] = reach
+            cut = new_t | (100 * before < percent * n)
+            starts = np.flatnonzero(cut)
+            group = np.cumsum(cut)
+            pivots = np.concatenate([[0 if pivot is None else pivot], c[starts]])[group]
+            other = ~cut & (c != pivots)
+            p, held = pivots[other], c[other]
+            told = np.unique(p)
+            pair = np.unique(np.stack([np.concatenate([p, told]), np.concatenate([held, told])], 1), axis=0)
+            if len(pair):
+                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["pivot", "class"])
+            shingle, pivot = t[-1], pivots[-1]
+            reach = int(n[-1]) if leads[-1] else int(before[-1])
+
+    return run
 
 
 class SignatureTree:
@@ -302,9 +325,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hot, level = hot[order], level[order]
 
     classes = cut(sizes.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc").alias("doc")))
-    routes = base.select("text").mapInArrow(_routes(width, percent, hot, level), "shingle long, class long")
-    routed = routes.repartition(shuffle_partitions(spark), "shingle").sortWithinPartitions("shingle", "class")
-    buckets = routed.mapInArrow(_buckets, "pivot long, class long").distinct()
+    routes = base.select("text").mapInArrow(_routes(width, percent, hot, level), "shingle long, size long, class long")
+    routed = routes.repartition(shuffle_partitions(spark), "shingle").sortWithinPartitions("shingle", "size", "class")
+    buckets = routed.mapInArrow(_buckets(percent), "pivot long, class long").distinct()
     members = cut(buckets.join(classes.select(F.col("h1").alias("class"), "doc", "n"), "class").select("pivot", "class", "doc", "n"))
 
     weight = members.groupBy("pivot").agg(F.count("*").alias("many"), F.sum("n").alias("total"))
