@@ -97,7 +97,11 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, starts, ends = _texts(batch, 1)
         digest = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(starts.tolist(), ends.tolist())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ends - starts), pa.array(digest)], ["doc", "n_bytes", "sha"])
+        name = np.zeros(batch.num_rows, np.int64)
+        for i, j in tx.chunks(starts, ends):
+            w = tx.Words(raw, starts[i:j], ends[i:j])
+            name[i:j] = tx.as_long(w.hashes(w.text_start, w.text_end))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ends - starts), pa.array(digest, pa.string()), pa.array(name & np.int64(-2))], ["doc", "n_bytes", "sha", "name"])
 
 
 def _anchors(length: int, gram: int):
@@ -143,12 +147,17 @@ def _anchors(length: int, gram: int):
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (anchor, text) to (text, anchor) of the anchors with two rows' texts, or a repeating one."""
+    """Rows sorted by anchor to (text, anchor) of the anchors with two texts, or a repeating one; known rows pass."""
     held = None  # the last anchor, its texts so far if it has not been seen to repeat
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, t = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        a, t, known = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        if known.any():
+            yield pa.RecordBatch.from_arrays([pa.array(t[known]), pa.array(a[known])], ["text", "anchor"])
+            a, t = a[~known], t[~known]
+            if not len(a):
+                continue
         if held is not None:
             a, t = np.concatenate([held[0], a]), np.concatenate([held[1], t])
         begin = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
@@ -163,8 +172,9 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _index_rows(length: int, gram: int):
-    """Rows (doc, text, anchors) to runs with a repeating anchor: kind 0 with bytes; kind 1, found within the batch."""
-    names = ["kind", "anchor", "doc", "first", "many", "bytes"]
+    """Rows (doc, text, anchors) to runs with a repeating anchor. A run that stands earlier in the batch has been found:
+    it goes without bytes, under a key of its own, to any partition."""
+    names = ["key", "anchor", "doc", "first", "many", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +210,8 @@ def _index_rows(length: int, gram: int):
             content = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(h), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(data).tobytes())])
             content = content.cast(pa.binary())
             content = pc.if_else(pa.array(later), pa.scalar(None, pa.binary()), content)
-            yield pa.RecordBatch.from_arrays([pa.array(later.astype(np.int32)), pa.array(tx.as_long(h)), pa.array(d), pa.array(f), pa.array(m), content], names)
+            key = np.where(later, tx.as_long(tx.mix(d.astype(tx.U64) ^ tx.mix(f.astype(tx.U64)))), tx.as_long(h))
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(tx.as_long(h)), pa.array(d), pa.array(f), pa.array(m), content], names)
 
     return run
 
@@ -238,9 +249,14 @@ def _scan(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = IndexFamily()
         for batch in batches:
+            found = batch.column(4).is_null()
+            if batch.column(4).null_count:
+                done = batch.filter(found)
+                yield pa.RecordBatch.from_arrays([done.column(1), done.column(2), done.column(3)], ["doc", "first", "many"])
+                batch = batch.filter(pc.invert(found))
             if not batch.num_rows:
                 continue
-            raw, starts, ends = tx.string_bytes(batch.column(3))
+            raw, starts, ends = tx.string_bytes(batch.column(4))
             anchor = batch.column(0).to_numpy().view(np.uint64)
             docs, first = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for i, j in tx.chunks(starts, ends, 1 << 22):
@@ -309,23 +325,22 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    facts = cut(base.mapInArrow(_facts, "doc long, n_bytes long, sha string"))
-    firsts = facts.where(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc").alias("doc"))
-
-    anchors = cut(base.select("text").mapInArrow(_anchors(length, gram), "anchor long, text long, known boolean"))
-    counted = anchors.where("not known").select("anchor", "text").repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(_repeated, "text long, anchor long")
-    wanted = counted.unionByName(anchors.where("known").select("text", "anchor")).groupBy("text").agg(F.collect_set("anchor").alias("anchors"))
-
-    named = base.join(firsts.select("doc"), "doc", "left_semi").mapInArrow(_named, "doc long, text string, name long")
-    chosen = cut(named.join(wanted.withColumnRenamed("text", "name"), "name").select("doc", "text", "anchors"))
-    rows = cut(chosen.mapInArrow(_index_rows(length, gram), "kind int, anchor long, doc long, first long, many long, bytes binary"))
-    index = rows.where("kind = 0").select("anchor", "doc", "first", "bytes").repartition(n, "anchor").sortWithinPartitions("doc", "first")
-    later = rows.where("kind = 1").select("doc", "first", "many")
-    spans = index.mapInArrow(_scan(length), "doc long, first long, many long").unionByName(later)
+    facts = cut(base.mapInArrow(_facts, "doc long, n_bytes long, sha string, name long"))
+    firsts = facts.where(F.col("n_bytes") >= length).groupBy("sha", "name").agg(F.min("doc").alias("doc"))
+
+    anchors = base.select("text").mapInArrow(_anchors(length, gram), "anchor long, text long, known boolean")
+    place = F.when(F.col("known"), F.xxhash64("text", "anchor")).otherwise(F.col("anchor"))
+    counted = anchors.repartition(n, place).sortWithinPartitions("anchor").mapInArrow(_repeated, "text long, anchor long")
+    wanted = counted.groupBy("text").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("text", "name")
+    wanted = firsts.join(wanted, "name").select("doc", "anchors")
+    chosen = cut(base.join(wanted, "doc").select("doc", "text", "anchors"))
+    rows = chosen.mapInArrow(_index_rows(length, gram), "key long, anchor long, doc long, first long, many long, bytes binary")
+    index = rows.repartition(n, "key").select("anchor", "doc", "first", "many", "bytes").sortWithinPartitions("doc", "first")
+    spans = index.mapInArrow(_scan(length), "doc long, first long, many long")
     spans = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "many")).alias("spans"))
     touched = chosen.select("doc", "text").join(spans, "doc").mapInArrow(_removed(length, with_text), "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
-    first = facts.join(firsts.withColumnRenamed("doc", "first_doc"), "sha", "left")
+    first = facts.join(firsts.select("sha", F.col("doc").alias("first_doc")), "sha", "left")
     empty = hashlib.sha256(b"").hexdigest()
     copy = F.col("first_doc").isNotNull() & (F.col("first_doc") != F.col("doc"))
     out = first.join(touched, "doc", "left").select(
@@ -339,11 +354,21 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     return out if with_text else out.drop("kept")
 
 
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, starts, ends = _texts(batch, 1)
-        name = np.zeros(batch.num_rows, np.int64)
-        for i, j in tx.chunks(starts, ends):
-            w = tx.Words(raw, starts[i:j], ends[i:j])
-            name[i:j] = tx.as_long(w.hashes(w.text_start, w.text_end))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(name & np.int64(-2))], ["doc", "text", "name"])
+def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", length: int = 100) -> DataFrame:
+    """docs, all columns, without the repeated bytes; rows of which nothing is left go.
+
+    Halves of characters at a cut go too, and length_col, where there is one, is the length of what is left.
+    """
+    found = repeats(docs, id_col, text_col, length, with_text=True).where("n_removed > 0")
+    left = found.select(F.col(id_col).alias("stripped_id"), "kept", (F.col("n_removed") == F.col("n_bytes")).alias("gone"))
+    joined = docs.join(left, docs[id_col] == left["stripped_id"], "left").where("gone is null or not gone")
+    text = F.when(F.col("stripped_id").isNull(), F.col(text_col)).otherwise(_valid(F.col("kept")))
+    joined = joined.withColumn(text_col, text)
+    if length_col in docs.columns:
+        joined = joined.withColumn(length_col, F.when(F.col("stripped_id").isNull(), F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
+    return joined.select(docs.columns)
+
+
+def _valid(binary):
+    """The bytes as text, without sequences that are no UTF-8."""
+    return F.regexp_replace(F.expr("make_valid_utf8(cast(kept as string))"), "\ufffd", "")
