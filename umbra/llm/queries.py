@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+TOKENIZERS = "/opt/tokenizers"  # where the public vocabulary files are
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and digest of the ids of every document, and whether decoding gives it back."""
+    from umbra.llm import pieces
+
+    return pieces.round_trip(table(spark, sf_dir, "documents"), pieces.load(f"{TOKENIZERS}/piece_bpe_32k.model"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from umbra.llm import langid
 
@@ -26,12 +36,74 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The length of every document, found again in flat token files of all documents."""
+    from umbra.llm import tokencount
+
+    ranks = tokencount.ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return tokencount.count(table(spark, sf_dir, "documents"), ranks, end_id=50256)
+
+
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's rule and verdict; labels name pages by id, a page is bad if of low quality or toxic."""
+    from umbra.llm import urls
+
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0).alias("bad"))
+    return urls.judge(table(spark, sf_dir, "pages"), labels, RULES)
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from umbra.llm import suffix
 
     return suffix.repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document lies after four arrivals and compaction: the shard's number in the manifest, size and version."""
+    import uuid
+
+    from umbra.llm.shards import ShardedTable
+    from umbra.llm.shared import shared_dir
+
+    docs = table(spark, sf_dir, "documents")
+    made = ShardedTable(spark, f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}", target_bytes=64 << 20)
+    for k in range(4):
+        made.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == k))
+    made.compact()
+    made.vacuum()
+    manifest = sorted(made.manifest(), key=lambda s: s.path)
+    if not manifest:
+        return docs.select("doc_id", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("shard_bytes"), F.lit(0).alias("version"), F.lit("").alias("text_sha256"))
+    listed = spark.createDataFrame([(s.path.rpartition("/")[2], k, s.size, s.born) for k, s in enumerate(manifest)], "file string, shard int, shard_bytes long, version int")
+    rows = made.read().select("doc_id", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return rows.join(listed, "file").select("doc_id", "shard", "shard_bytes", "version", "text_sha256")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents and the benchmark items they hold, re-parameterised ones included."""
+    from umbra.llm import decontaminate
+
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).where("leaked").drop("leaked")
+
+
+def op7_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of every page's record in a second replica in which one byte of each 97th record is flipped and each
+    1009th record is lost."""
+    from umbra.llm import fixity
+    from umbra.llm.shared import cut
+
+    one = fixity.packed(table(spark, sf_dir, "pages"))
+    flipped = F.concat(F.substring("record", 1, F.lit(40)), F.unhex(F.lpad(F.hex(255 - F.conv(F.hex(F.substring("record", 41, 1)), 16, 10).cast("int")), 2, "0")), F.expr("substring(record, 42)"))
+    hurt = F.when(F.col("id") % 97 == 5, flipped).otherwise(F.col("record"))
+    two = one.where("id % 1009 <> 7").select("archive", "offset", hurt.alias("record"))
+    found = fixity.audit(one.select("archive", "offset", "record"), two)
+    places = cut(one.select(F.col("id").alias("page_id"), "archive", "offset", "n_bytes"))
+    return places.join(found.select("archive", "offset", "status", F.col("hash_one").alias("expected"), F.col("hash_two").alias("found")), ["archive", "offset"], "left").select("page_id", "archive", "offset", "n_bytes", F.coalesce("status", F.lit("intact")).alias("status"), "expected", "found")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from umbra.llm import jaccard
 
@@ -39,10 +111,8 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality_rules": op1_quality_rules,
-    "op4_suffix_dedup": op4_suffix_dedup,
-    "op8_jaccard_join": op8_jaccard_join,
-    "op10_language_id": op10_language_id,
+    f.__name__: f
+    for f in (op1_quality_rules, op2_token_counts, op3_url_filters, op4_suffix_dedup, op5_sharding, op6_decontamination, op7_fixity_audit, op8_jaccard_join, op9_sentencepiece, op10_language_id)
 }
 
 SQL: dict[str, str] = {}
