@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from umbra.llm import langid
+from umbra.llm import decontaminate, jaccard, langid, pieces, suffix
+from umbra.llm.queries import TOKENIZERS
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,7 +13,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep(docs, langid.fit(docs), least=0.4)
 
 
-STAGES = [("language", language)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the first document of each group of near copies; documents that differ in id only are one."""
+    first = jaccard.link_components(docs).where("component_id = doc_id").select("doc_id")
+    return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes the bytes that an earlier string of 100 bytes covers; documents of which nothing remains go."""
+    return suffix.strip(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a benchmark item, re-parameterised ones included."""
+    return decontaminate.keep(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source and the SentencePiece ids of the documents."""
+    return pieces.encode(docs, pieces.load(f"{TOKENIZERS}/piece_bpe_32k.model"), keep=["lang", "source"])
+
+
+STAGES = [("language", language), ("near_copies", near_copies), ("passages", passages), ("benchmark_leaks", benchmark_leaks), ("token_ids", token_ids)]
 ORACLE_SQL = None  # trained weights, suffix runs and token ids are beyond SQL; tests/llm compare each stage with brute force
 
 
