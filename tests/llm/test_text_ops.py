@@ -64,6 +64,12 @@ def test_jaccard_tree_over_many_leaves():
                 p, q = sorted((find(a), find(b)))
                 parent[q] = p
     assert got == [find(x) for x in label]
+    size = jaccard.resolution(max(map(len, sets)))
+    kept = jaccard.with_partner(np.stack([jaccard.bitmap(s, size) for s in sets]), np.array([len(s) for s in sets]), 75)
+    for a in range(len(sets)):
+        if any(a != b and jaccard.similar(sets[a], sets[b], 75) for b in range(len(sets))):
+            assert kept[a]
+    assert (jaccard.folded(jaccard.bitmap(sets[0], 4096), 16) == jaccard.bitmap(sets[0], 1024)).all()
 
 
 def test_suffix_repeats(spark, rows):

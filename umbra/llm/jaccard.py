@@ -8,10 +8,11 @@
    smallest holder, each once for a bucket however many shingles lead there.
 3. In a bucket, sets are leaves of a signature tree: a node holds the OR of its leaves' token bitmaps, their range of
    sizes and the most tokens of a leaf that share a bit with another of its tokens. Two nodes are descended only if
-   the greatest overlap these allow can reach the threshold and they are not yet one component. Leaves are compared
-   exactly.
-4. A bucket over ``block`` sets (or 32 MB) is dealt out over blocks, with its pivot in each. Sets that are not in the
-   pivot's component after that are held against all blocks, as queries, so that no link between blocks is lost.
+   the greatest overlap these allow can reach the threshold. A first traversal needs the bitmaps alone; sets without
+   any possible partner leave the bucket before a shingle is sent. A second one compares the leaves it reaches exactly
+   and skips what is one component already.
+4. A bucket over ``block`` sets (or 32 MB) is dealt out over blocks, with its first set in each. Sets that are not in the
+   bucket's largest component after that are held against all blocks, as queries, so that no link between blocks is lost.
 
 Rows: a null text or one without a word has an empty set and links with nothing; a text with fewer than ``width``
 words has its whole sequence as one shingle. Repeated rows share a class. The least id names a component, so ties
@@ -34,7 +35,7 @@ HOT_KEPT = 1 << 16  # shingles in the summary of frequent ones
 HOT_LEAST = 8  # times that one slice of about 32 MB of text holds them
 SLICE = 4_000_000  # shingles in a slice
 BLOCK, BLOCK_BYTES = 2048, 32 << 20
-FAN_OUT, WORDS = 16, 32  # children of a node; 64-bit words of a bitmap
+FAN_OUT = 16  # children of a node
 
 
 def shingle_sets(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -170,17 +171,28 @@ def _buckets(percent: int):
     return run
 
 
+def resolution(n: int) -> int:
+    """Bits of the bitmap of a set of n: a power of two of 2 n or more, from 1024 to 16384."""
+    return min(1 << 14, max(1 << 10, 1 << (2 * n - 1).bit_length()))
+
+
+def bitmap(s: np.ndarray, size: int) -> np.ndarray:
+    flags = np.zeros(size, bool)
+    flags[((s >> tx.U64(40)) % tx.U64(size)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap of fewer words: token t has bit t modulo the size in either."""
+    while len(bits) > words:
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+    return bits
+
+
 class SignatureTree:
-    """Sets as leaves, FAN_OUT children to a node; the top level is the last."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        sizes = np.array([len(s) for s in sets], np.int64)
-        bits = np.zeros((len(sets), WORDS), np.uint64)
-        for k, s in enumerate(sets):
-            b = (s >> tx.U64(40)) % tx.U64(64 * WORDS)
-            flags = np.zeros(64 * WORDS, bool)
-            flags[b] = True
-            bits[k] = np.packbits(flags, bitorder="little").view(np.uint64)
+    """Bitmaps (leaves x words) and sizes of sets as leaves, FAN_OUT children to a node; the top level is the last."""
+
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray):
         spare = sizes - np.bitwise_count(bits).sum(1).astype(np.int64)
         self.levels = [(bits, sizes, sizes, spare)]
         while len(self.levels[-1][0]) > FAN_OUT:
@@ -201,10 +213,6 @@ def _possible(a: tuple, i: np.ndarray, b: tuple, j: np.ndarray, percent: int) ->
     return fine
 
 
-def _children(i: np.ndarray, n: int) -> np.ndarray:
-    return i[:, None] * FAN_OUT + np.arange(FAN_OUT)[None, :]
-
-
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
@@ -214,60 +222,113 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def descend(one: SignatureTree, two: SignatureTree, percent: int, visit, done) -> None:
+    """Dual traversal: visit(i, j) gets the leaf pairs that can be similar enough, each pair once if one is two.
+
+    done(i, j, size_i, size_j) tells whether the leaves from i and j on, so many, need no visit any more.
+    """
+    own = one is two
+
+    def down(level_a: int, level_b: int, i: np.ndarray, j: np.ndarray) -> None:
+        if len(i):
+            fine = _possible(one.levels[level_a], i, two.levels[level_b], j, percent)
+            i, j = i[fine], j[fine]
+        if level_a == 0 and level_b == 0:
+            if len(i):
+                visit(i, j)
+            return
+        step_a, step_b = FAN_OUT if level_a else 1, FAN_OUT if level_b else 1
+        next_a, next_b = max(level_a - 1, 0), max(level_b - 1, 0)
+        n, m = len(one.levels[next_a][0]), len(two.levels[next_b][0])
+        if own:
+            near = np.argsort(j - i, kind="stable")
+            i, j = i[near], j[near]
+        for x, y in zip(i.tolist(), j.tolist()):
+            if done(x * FAN_OUT**level_a, y * FAN_OUT**level_b, FAN_OUT**level_a, FAN_OUT**level_b):
+                continue
+            ci = np.arange(x * step_a, min((x + 1) * step_a, n))
+            cj = np.arange(y * step_b, min((y + 1) * step_b, m))
+            p, q = (g.ravel() for g in np.meshgrid(ci, cj, indexing="ij"))
+            if own:
+                keep = p <= q if next_a else p < q
+                p, q = p[keep], q[keep]
+            down(next_a, next_b, p, q)
+
+    p, q = (g.ravel() for g in np.meshgrid(np.arange(len(one.levels[-1][0])), np.arange(len(two.levels[-1][0])), indexing="ij"))
+    if own:
+        keep = p <= q if len(one.levels) > 1 else p < q
+        p, q = p[keep], q[keep]
+    down(len(one.levels) - 1, len(two.levels) - 1, p, q)
+
+
+def with_partner(bits: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which leaves can be similar enough to another leaf, as far as bitmaps tell; sizes ascend."""
+    tree, marked = SignatureTree(bits, sizes), np.zeros(len(bits), bool)
+
+    def visit(i: np.ndarray, j: np.ndarray) -> None:
+        marked[i] = True
+        marked[j] = True
+
+    descend(tree, tree, percent, visit, lambda x, y, n, m: marked[x : x + n].all() and marked[y : y + m].all())
+    return marked
+
+
 def tree_join(left: list[np.ndarray], left_label: np.ndarray, right: list[np.ndarray] | None, right_label: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
     """Links (leaf of left, leaf of right; of left itself if right is None) that join all linked leaves' labels.
 
     Labels that are equal from the start, or become so by a link, are not compared: the links span the components.
     """
     own = right is None
-    one = SignatureTree(left)
-    two = one if own else SignatureTree(right)
+    size = resolution(max(map(len, left if own else [*left, *right])))
+
+    def tree(sets: list[np.ndarray]) -> SignatureTree:
+        return SignatureTree(np.stack([bitmap(s, size) for s in sets]), np.array([len(s) for s in sets], np.int64))
+
+    one = tree(left)
+    two = one if own else tree(right)
+    right = left if own else right
     a = left_label.copy()
     b = a if own else right_label.copy()
     links: list[tuple[int, int]] = []
 
-    def leaves(i: np.ndarray, j: np.ndarray) -> None:
-        differ = a[i] != b[j]
-        i, j = i[differ], j[differ]
-        if not len(i):
-            return
-        fine = _possible(one.levels[0], i, two.levels[0], j, percent)
-        for x, y in zip(i[fine].tolist(), j[fine].tolist()):
-            if a[x] != b[y] and similar(left[x], (left if own else right)[y], percent):
+    def visit(i: np.ndarray, j: np.ndarray) -> None:
+        for x, y in zip(i.tolist(), j.tolist()):
+            if a[x] != b[y] and similar(left[x], right[y], percent):
                 links.append((x, y))
                 old, new = b[y], a[x]
                 b[b == old] = new
                 if not own:
                     a[a == old] = new
 
-    def descend(level_a: int, level_b: int, i: np.ndarray, j: np.ndarray) -> None:
-        if level_a == 0 and level_b == 0:
-            leaves(i, j)
-            return
-        n, m = len(one.levels[max(level_a - 1, 0)][0]), len(two.levels[max(level_b - 1, 0)][0])
-        for x, y in zip(i.tolist(), j.tolist()):
-            ci = np.arange(x * FAN_OUT, min((x + 1) * FAN_OUT, n)) if level_a else np.array([x])
-            cj = np.arange(y * FAN_OUT, min((y + 1) * FAN_OUT, m)) if level_b else np.array([y])
-            p, q = (g.ravel() for g in np.meshgrid(ci, cj, indexing="ij"))
-            if own:
-                p, q = (p[p <= q], q[p <= q]) if level_a > 1 else (p[p < q], q[p < q])
-            if level_a > 1 or level_b > 1:
-                fine = _possible(one.levels[max(level_a - 1, 0)], p, two.levels[max(level_b - 1, 0)], q, percent)
-                p, q = p[fine], q[fine]
-                if own:
-                    near = np.argsort(q - p, kind="stable")
-                    p, q = p[near], q[near]
-            descend(max(level_a - 1, 0), max(level_b - 1, 0), p, q)
-
-    top_a, top_b = len(one.levels) - 1, len(two.levels) - 1
-    tops_i, tops_j = (g.ravel() for g in np.meshgrid(np.arange(len(one.levels[-1][0])), np.arange(len(two.levels[-1][0])), indexing="ij"))
-    if own:
-        keep = tops_i <= tops_j if top_a else tops_i < tops_j
-        tops_i, tops_j = tops_i[keep], tops_j[keep]
-    descend(top_a, top_b, tops_i, tops_j)
+    def done(x: int, y: int, n: int, m: int) -> bool:
+        return bool((a[x : x + n] == a[x]).all() and (b[y : y + m] == a[x]).all())
+
+    descend(one, two, percent, visit, done)
     return links
 
 
+def _screened(percent: int):
+    """Groups (pivot) of rows (pivot, doc, n, bits) to the rows (pivot, doc, n) with a possible partner."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for group in sorted_groups(batches, ["pivot"]):
+            group = group.sort_by([("n", "ascending"), ("doc", "ascending")])
+            maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["bits"]]
+            n = group["n"].to_numpy()
+            words = min(map(len, maps))
+            keep = with_partner(np.stack([folded(x, words) for x in maps]), n, percent)
+            if keep.any():
+                out.append((group["pivot"].to_numpy()[keep], group["doc"].to_numpy()[keep], n[keep]))
+            if len(out) > 500:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["pivot", "doc", "n"])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["pivot", "doc", "n"])
+
+    return run
+
+
 def _joined(percent: int):
     """Groups (pivot, block) of rows (query, doc, label, shingles) to links between docs."""
 
@@ -298,6 +359,18 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], ["a", "b"])
 
 
+def _bitmaps(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, maps = [], []
+            for k, s in shingle_sets(*_texts(batch, 1), width):
+                rows.append(k)
+                maps.append(bitmap(s, resolution(len(s))).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(maps, pa.binary())], ["doc", "bits"])
+
+    return run
+
+
 def _shingles(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,16 +403,20 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = routed.mapInArrow(_buckets(percent), "pivot long, class long").distinct()
     members = cut(buckets.join(classes.select(F.col("h1").alias("class"), "doc", "n"), "class").select("pivot", "class", "doc", "n"))
 
-    weight = members.groupBy("pivot").agg(F.count("*").alias("many"), F.sum("n").alias("total"))
+    many = members.groupBy("pivot").agg(F.count("*").alias("many")).where("many > 1")
+    held = members.join(many, "pivot").select("pivot", "doc", "n", "many")
+    bits = base.join(held.select("doc").distinct(), "doc", "left_semi").mapInArrow(_bitmaps(width), "doc long, bits binary")
+    small = held.where(F.col("many") <= block).select("pivot", "doc", "n").join(bits, "doc").select("pivot", "doc", "n", "bits")
+    small = small.repartition(shuffle_partitions(spark), "pivot").sortWithinPartitions("pivot").mapInArrow(_screened(percent), "pivot long, doc long, n long")
+    left = cut(small.unionByName(held.where(F.col("many") > block).select("pivot", "doc", "n")))
+
+    weight = left.groupBy("pivot").agg(F.count("*").alias("many"), F.sum("n").alias("total"), F.min("doc").alias("lead"))
     blocks = F.greatest(F.ceil(F.col("many") / block), F.ceil(F.col("total") * 8 / BLOCK_BYTES)).cast("int")
-    weight = weight.where("many > 1").select("pivot", blocks.alias("blocks"))
-    placed = members.join(weight, "pivot")
+    placed = left.join(weight.select("pivot", "lead", blocks.alias("blocks")), "pivot")
     own_block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    in_pivot = F.col("pivot") == F.col("class")
-    spread = placed.select("pivot", "doc", "n", F.when(in_pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own_block)).alias("to")).select("pivot", "doc", "n", F.explode("to").alias("block"))
-    active = members.select("doc").distinct()
-    sets = cut(base.join(active, "doc", "left_semi").mapInArrow(_shingles(width), "doc long, shingles binary"))
+    spread = placed.select("pivot", "doc", "n", F.when(F.col("doc") == F.col("lead"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own_block)).alias("to")).select("pivot", "doc", "n", F.explode("to").alias("block"))
+    sets = cut(base.join(left.select("doc").distinct(), "doc", "left_semi").mapInArrow(_shingles(width), "doc long, shingles binary"))
     rows = spread.join(sets, "doc").select("pivot", "block", F.lit(False).alias("query"), "doc", F.col("doc").alias("label"), "n", "shingles")
     dealt = lambda x: x.repartition(shuffle_partitions(spark), "pivot", "block").sortWithinPartitions("pivot", "block").mapInArrow(_joined(percent), "a long, b long")
     links = cut(dealt(rows))
@@ -348,11 +425,12 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     split = cut(placed.where("blocks > 1"))
     if not split.isEmpty():
         labelled = split.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
-        home = labelled.where(in_pivot).groupBy("pivot").agg(F.min("label").alias("home"))
+        sizes_of = labelled.groupBy("pivot", "label").agg(F.count("*").alias("many"))
+        home = sizes_of.groupBy("pivot").agg(F.max_by("label", F.struct("many", "label")).alias("home"))
         labelled = cut(labelled.join(home, "pivot").select("pivot", "doc", "n", "blocks", "label", own_block.alias("block"), (F.col("label") != F.col("home")).alias("query")))
         asks = labelled.where("query").select("pivot", every.alias("block"), F.lit(True).alias("query"), "doc", "label", "n")
-        held = labelled.select("pivot", "block", F.lit(False).alias("query"), "doc", "label", "n").join(asks.select("pivot").distinct(), "pivot", "left_semi")
-        across = asks.unionByName(held).join(sets, "doc")
+        rest = labelled.select("pivot", "block", F.lit(False).alias("query"), "doc", "label", "n").join(asks.select("pivot").distinct(), "pivot", "left_semi")
+        across = asks.unionByName(rest).join(sets, "doc")
         links = cut(links.unionByName(dealt(across.select("pivot", "block", "query", "doc", "label", "n", "shingles"))))
         found = components(links)
 
