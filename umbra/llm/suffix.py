@@ -333,12 +333,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     counted = anchors.repartition(n, place).sortWithinPartitions("anchor").mapInArrow(_repeated, "text long, anchor long")
     wanted = counted.groupBy("text").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("text", "name")
     wanted = firsts.join(wanted, "name").select("doc", "anchors")
-    chosen = cut(base.join(wanted, "doc").select("doc", "text", "anchors"))
+    chosen = base.join(wanted, "doc").select("doc", "text", "anchors")
     rows = chosen.mapInArrow(_index_rows(length, gram), "key long, anchor long, doc long, first long, many long, bytes binary")
     index = rows.repartition(n, "key").select("anchor", "doc", "first", "many", "bytes").sortWithinPartitions("doc", "first")
     spans = index.mapInArrow(_scan(length), "doc long, first long, many long")
     spans = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "many")).alias("spans"))
-    touched = chosen.select("doc", "text").join(spans, "doc").mapInArrow(_removed(length, with_text), "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    touched = base.join(spans, "doc").select("doc", "text", "spans").mapInArrow(_removed(length, with_text), "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
     first = facts.join(firsts.select("sha", F.col("doc").alias("first_doc")), "sha", "left")
     empty = hashlib.sha256(b"").hexdigest()
