@@ -30,6 +30,8 @@ from umbra.llm import text as tx
 BLANK = 0xFF
 MARK = "▁".encode()
 MEMORY = 400_000  # units remembered by a worker
+CHUNK = 1 << 20  # bytes of text segmented together
+ROWS = 500  # texts encoded and decoded together
 TOGETHER = 12  # below so many units, the rest of each is walked alone
 
 
@@ -72,7 +74,7 @@ def load(path: str) -> Vocabulary:
 
 
 class Automaton:
-    """Aho-Corasick: go[state, byte]; out[state] is the longest piece that ends there, then[piece] the next shorter one."""
+    """Aho-Corasick: go[state, kind[byte]]; bytes in no piece are of kind 0; out[state] is the longest piece that ends there, then[piece] the next shorter one."""
 
     def __init__(self, pieces: tuple[bytes, ...]):
         children: list[dict[int, int]] = [{}]
@@ -87,12 +89,16 @@ class Automaton:
                     ends.append(-1)
                 s = t
             ends[s] = k
-        self.go = np.zeros((len(children), 256), np.int32)
+        used = sorted({b for p in pieces for b in p})
+        self.kind = np.zeros(256, np.uint8 if len(used) < 256 else np.uint16)
+        self.kind[used] = np.arange(1, len(used) + 1)
+        kind = self.kind.tolist()
+        self.go = np.zeros((len(children), len(used) + 1), np.int32)
         self.out = np.full(len(children), -1, np.int32)
         self.then = np.full(len(pieces), -1, np.int32)
         fail = [0] * len(children)
         for b, t in children[0].items():
-            self.go[0, b] = t
+            self.go[0, kind[b]] = t
         line = deque(children[0].values())
         for t in line:
             self.out[t] = ends[t]
@@ -101,8 +107,8 @@ class Automaton:
             f = fail[s]
             self.go[s] = self.go[f]
             for b, t in children[s].items():
-                fail[t] = int(self.go[f, b])
-                self.go[s, b] = t
+                fail[t] = int(self.go[f, kind[b]])
+                self.go[s, kind[b]] = t
                 below = self.out[fail[t]]
                 if ends[t] >= 0:
                     self.then[ends[t]] = below
@@ -145,7 +151,7 @@ class Encoder:
             live = off[:active] + t + 1
             where = start[:active] + t
             b = data[where]
-            state[:active] = s = go[state[:active], b]
+            state[:active] = s = go[state[:active], a.kind[b]]
             after = np.where(t + 1 < size[:active], data[np.minimum(where + 1, len(data) - 1)], 0)
             begins = (b & 0xC0) != 0x80
             lead[:active][begins] = t
@@ -210,11 +216,11 @@ class Encoder:
         """The rest of one unit, from its byte t on."""
         go, out, then = self.automaton.go, self.automaton.out, self.automaton.then
         row = best[off : off + size + 1].tolist()
-        sizes, scores = self.size, self.score
+        sizes, scores, kind = self.size, self.score, self.automaton.kind
         text = data[start : start + size].tolist() + [0]
         for p in range(t, size):
             b = text[p]
-            state = int(go[state, b])
+            state = int(go[state, kind[b]])
             if b & 0xC0 != 0x80:
                 lead = p
             piece, top, of = int(out[state]), row[p + 1], -1
@@ -238,7 +244,7 @@ class Encoder:
         column = column.fill_null("") if column.null_count else column
         raw, starts, ends = tx.string_bytes(column)
         parts, counts = [np.zeros(0, np.int32)], np.zeros(len(column), np.int64)
-        for i, j in tx.chunks(starts, ends, 4 << 20):
+        for i, j in tx.chunks(starts, ends, CHUNK):
             ids, n = self._chunk(raw, starts[i:j], ends[i:j])
             parts.append(ids)
             counts[i:j] = n
@@ -333,7 +339,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _of(Encoder, vocabulary)
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             ids, edges = encoder.encode(batch.column(where))
             gone = batch.column(where).is_null() if batch.column(where).null_count else None
             coded = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids), mask=gone)
@@ -367,7 +373,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _of(Encoder, vocabulary), _of(Decoder, vocabulary)
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             ids, edges = encoder.encode(batch.column(1))
             texts = decoder.decode(ids, edges)
             same = [x == (y or "") for x, y in zip(texts, batch.column(1).to_pylist())]
