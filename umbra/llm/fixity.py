@@ -17,7 +17,6 @@ from __future__ import annotations
 import gzip
 import io
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -98,15 +97,16 @@ def trees(leaf: DataFrame, fan_out: int = 16, most: int | None = None) -> list[D
     found = [level]
     while most > 1:
         most = -(-most // fan_out)
-        level = _above(level, ["archive", F.floor(F.col("node") / fan_out).alias("node")])
+        level = cut(_above(level, fan_out))
         found.append(level)
     return found
 
 
-def _above(level: DataFrame, by: list) -> DataFrame:
-    child = F.concat_ws(":", F.col("child.node").cast("string"), F.col("child.first").cast("string"), F.col("child.stop").cast("string"), F.col("child.hash"))
-    grouped = level.select(*by, F.struct("node", "first", "stop", "hash").alias("child")).groupBy("archive", "node")
-    return grouped.agg(F.min("child.first").alias("first"), F.max("child.stop").alias("stop"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.struct(F.col("child.node").alias("node"), child.alias("text")))).getField("text"), ";"), 256).alias("hash"))
+def _above(level: DataFrame, fan_out: int) -> DataFrame:
+    text = F.concat_ws(":", F.col("node").cast("string"), F.col("first").cast("string"), F.col("stop").cast("string"), "hash")
+    child = level.select("archive", F.floor(F.col("node") / fan_out).alias("node"), "first", "stop", F.struct(F.col("node").alias("rank"), text.alias("text")).alias("child"))
+    below = F.array_join(F.array_sort(F.collect_list("child")).getField("text"), ";")
+    return child.groupBy("archive", "node").agg(F.min("first").alias("first"), F.max("stop").alias("stop"), F.sha2(below, 256).alias("hash"))
 
 
 def audit(one: DataFrame, two: DataFrame, fan_out: int = 16) -> DataFrame:
@@ -135,16 +135,12 @@ def audit(one: DataFrame, two: DataFrame, fan_out: int = 16) -> DataFrame:
     return met.select("archive", "offset", F.coalesce("n_bytes", "n_bytes_two").alias("n_bytes"), "hash_one", "hash_two", status.alias("status")).where("status <> 'moved'")
 
 
-def root(tree: list[DataFrame], fan_out: int = 16) -> str | None:
-    """The hash over all archives' roots, in levels of fan_out; None without records."""
-    level = tree[-1].select(F.col("archive"), "first", "stop", "hash")
-    ordered = level.select(F.xxhash64("archive").alias("key"), F.concat_ws(":", "archive", "first", "stop", "hash").alias("text"))
-    bits = 60
-    rows = ordered.select((F.shiftright("key", 64 - bits)).alias("node"), "text")
-    while bits > 0:
-        bits -= 4
-        rows = rows.groupBy(F.shiftright("node", 4).alias("node")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.struct("node", "text"))).getField("text"), ";"), 256).alias("text"))
-        if bits % 12 == 0:
-            rows = cut(rows)
-    found = rows.collect()
-    return reduce(lambda x, r: x + r["text"], sorted(found, key=lambda r: r["node"]), "") or None
+def root(tree: list[DataFrame]) -> str:
+    """The hash over all archives' roots, through 5 levels of 16 children by the hash of the archives' names."""
+    text = F.concat_ws(":", "archive", F.col("first").cast("string"), F.col("stop").cast("string"), "hash")
+    rows = tree[-1].select(F.pmod(F.xxhash64("archive"), F.lit(16**5)).alias("node"), text.alias("text"))
+    for _ in range(6):
+        below = F.array_join(F.array_sort(F.collect_list("text")), ";")
+        rows = rows.groupBy("node").agg(F.sha2(below, 256).alias("hash"))
+        rows = rows.select(F.floor(F.col("node") / 16).alias("node"), F.concat_ws(":", F.col("node").cast("string"), "hash").alias("text"))
+    return ";".join(sorted(r["text"] for r in rows.collect()))

@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from umbra.llm.shared import cut
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEPTH = 4
 NONE = ""
@@ -75,7 +77,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
     parsed = parsed.withColumn("segments", segments).select("page", "host", "path", "rule", "rule_verdict", *[_form(F.get("segments", k - 1)).alias(f"s{k}") for k in range(1, DEPTH + 1)])
 
     marks = labels.select(F.col(id_col).alias("page"), F.col("bad").cast("long").alias("bad")).where("bad is not null").groupBy("page").agg(F.count("*").alias("labelled"), F.sum("bad").alias("bad"))
-    tree = parsed.join(marks, "page", "left").groupBy("host", *level).agg(F.count("*").alias("n"), F.coalesce(F.sum("labelled"), F.lit(0)).alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    tree = cut(parsed.join(marks, "page", "left").groupBy("host", *level).agg(F.count("*").alias("n"), F.coalesce(F.sum("labelled"), F.lit(0)).alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
     row = tree.agg(F.sum("labelled"), F.sum("bad")).first()
     overall = ((row[1] or 0) + 1.0) / ((row[0] or 0) + 2.0)
 
@@ -97,7 +99,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
         members = Window.partitionBy(*above, F.col("branch") == NONE, "cluster")
         merged = nodes.withColumn(f"t{k}", F.array_join(F.array_sort(F.collect_list("branch").over(members)), "|")).select(*above, "branch", f"t{k}")
         names = placed.select(*above, f"s{k}", "branch").join(merged, [*above, "branch"]).select(*above, f"s{k}", f"t{k}")
-        tree = tree.join(names, [*above, f"s{k}"])
+        tree = cut(tree.join(names, [*above, f"s{k}"]))
         named.append(f"t{k}")
 
     hosts = tree.groupBy("host").agg(F.sum("labelled").alias("l_host"), F.sum("bad").alias("b_host"))
