@@ -11,8 +11,9 @@
    the greatest overlap these allow can reach the threshold. A first traversal needs the bitmaps alone; sets without
    any possible partner leave the bucket before a shingle is sent. A second one compares the leaves it reaches exactly
    and skips what is one component already.
-4. A bucket over ``block`` sets (or 32 MB) is dealt out over blocks, with its first set in each. Sets that are not in the
-   bucket's largest component after that are held against all blocks, as queries, so that no link between blocks is lost.
+4. Each set goes to its largest bucket first; a bucket over ``block`` sets (or 32 MB) is dealt out over blocks, with
+   its first set in each. Then, in each bucket that is not one component by now, the sets that are not in its largest
+   component are held against all its blocks, as queries, so that no link is lost.
 
 Rows: a null text or one without a word has an empty set and links with nothing; a text with fewer than ``width``
 words has its whole sequence as one shingle. Repeated rows share a class. The least id names a component, so ties
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from umbra.llm import text as tx
 from umbra.llm.components import components
-from umbra.llm.shared import cut, shuffle_partitions, sorted_groups
+from umbra.llm.shared import among, cut, shuffle_partitions, sorted_groups
 
 HOT_KEPT = 1 << 16  # shingles in the summary of frequent ones
 HOT_LEAST = 8  # times that one slice of about 32 MB of text holds them
@@ -65,7 +66,7 @@ def _texts(batch: pa.RecordBatch, k: int):
 
 
 def _sizes(width: int):
-    """Rows of kind 0: doc, n, h1, h2. Rows of kind 1: a frequent shingle as h1, its count as n."""
+    """Rows of kind 0: doc, n, h1, h2, bitmap. Rows of kind 1: a frequent shingle as h1, its count as n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -75,20 +76,22 @@ def _sizes(width: int):
             most = np.argsort(-n, kind="stable")[:HOT_KEPT]
             most = most[n[most] >= HOT_LEAST]
             m = len(most)
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.array(n[most].astype(np.int64)), pa.array(tx.as_long(values[most])), pa.array(np.zeros(m, np.int64))], names)
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.array(n[most].astype(np.int64)), pa.array(tx.as_long(values[most])), pa.array(np.zeros(m, np.int64)), pa.nulls(m, pa.binary())], names)
 
-        names = ["kind", "doc", "n", "h1", "h2"]
+        names = ["kind", "doc", "n", "h1", "h2", "bits"]
         for batch in batches:
             n, h1, h2 = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+            bits: list[bytes | None] = [None] * batch.num_rows
             for k, s in shingle_sets(*_texts(batch, 1), width):
                 n[k] = len(s)
                 h1[k], h2[k] = set_hashes(s)
+                bits[k] = bitmap(s, resolution(len(s))).tobytes()
                 held.append(s)
                 size += len(s)
                 if size > SLICE:
                     yield frequent()
                     held, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(batch.num_rows, np.int32)), batch.column(0).cast(pa.int64()), *map(pa.array, (n, h1, h2))], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(batch.num_rows, np.int32)), batch.column(0).cast(pa.int64()), *map(pa.array, (n, h1, h2)), pa.array(bits, pa.binary())], names)
         if held:
             yield frequent()
 
@@ -359,18 +362,6 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], ["a", "b"])
 
 
-def _bitmaps(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, maps = [], []
-            for k, s in shingle_sets(*_texts(batch, 1), width):
-                rows.append(k)
-                maps.append(bitmap(s, resolution(len(s))).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(maps, pa.binary())], ["doc", "bits"])
-
-    return run
-
-
 def _shingles(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,8 +379,8 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id_col, n_shingles, component_id) of every row of docs."""
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    first = cut(base.mapInArrow(_sizes(width), "kind int, doc long, n long, h1 long, h2 long"))
-    sizes = first.where("kind = 0").drop("kind")
+    first = cut(base.mapInArrow(_sizes(width), "kind int, doc long, n long, h1 long, h2 long, bits binary"))
+    sizes = first.where("kind = 0").select("doc", "n", "h1", "h2")
 
     top = first.where("kind = 1").groupBy("h1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h1").limit(HOT_KEPT).collect()
     hot = np.array([r["h1"] for r in top], np.int64).view(np.uint64)
@@ -405,34 +396,40 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     many = members.groupBy("pivot").agg(F.count("*").alias("many")).where("many > 1")
     held = members.join(many, "pivot").select("pivot", "doc", "n", "many")
-    bits = base.join(held.select("doc").distinct(), "doc", "left_semi").mapInArrow(_bitmaps(width), "doc long, bits binary")
+    bits = first.where("kind = 0").select("doc", "bits").join(held.select("doc").distinct(), "doc", "left_semi")
     small = held.where(F.col("many") <= block).select("pivot", "doc", "n").join(bits, "doc").select("pivot", "doc", "n", "bits")
     small = small.repartition(shuffle_partitions(spark), "pivot").sortWithinPartitions("pivot").mapInArrow(_screened(percent), "pivot long, doc long, n long")
     left = cut(small.unionByName(held.where(F.col("many") > block).select("pivot", "doc", "n")))
 
     weight = left.groupBy("pivot").agg(F.count("*").alias("many"), F.sum("n").alias("total"), F.min("doc").alias("lead"))
     blocks = F.greatest(F.ceil(F.col("many") / block), F.ceil(F.col("total") * 8 / BLOCK_BYTES)).cast("int")
-    placed = left.join(weight.select("pivot", "lead", blocks.alias("blocks")), "pivot")
+    placed = cut(left.join(weight.select("pivot", "lead", "many", blocks.alias("blocks")), "pivot"))
     own_block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = placed.select("pivot", "doc", "n", F.when(F.col("doc") == F.col("lead"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own_block)).alias("to")).select("pivot", "doc", "n", F.explode("to").alias("block"))
-    sets = cut(base.join(left.select("doc").distinct(), "doc", "left_semi").mapInArrow(_shingles(width), "doc long, shingles binary"))
-    rows = spread.join(sets, "doc").select("pivot", "block", F.lit(False).alias("query"), "doc", F.col("doc").alias("label"), "n", "shingles")
+    active = cut(left.select("doc").distinct())
+    sets = cut(among(base, active, "doc").join(active, "doc", "left_semi").mapInArrow(_shingles(width), "doc long, shingles binary"))
     dealt = lambda x: x.repartition(shuffle_partitions(spark), "pivot", "block").sortWithinPartitions("pivot", "block").mapInArrow(_joined(percent), "a long, b long")
+
+    # each set goes to its largest bucket first, which settles most families
+    main = placed.groupBy("doc").agg(F.max_by("pivot", F.struct("many", "pivot")).alias("pivot"))
+    homed = placed.join(main, ["doc", "pivot"]).where("doc <> lead or blocks = 1").select("pivot", own_block.alias("block"), "doc", "n")
+    leads = placed.where("doc = lead and blocks > 1").select("pivot", every.alias("block"), "doc", "n")
+    rows = homed.unionByName(leads).join(sets, "doc").select("pivot", "block", F.lit(False).alias("query"), "doc", F.col("doc").alias("label"), "n", "shingles")
     links = cut(dealt(rows))
     found = components(links)
 
-    split = cut(placed.where("blocks > 1"))
-    if not split.isEmpty():
-        labelled = split.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
-        sizes_of = labelled.groupBy("pivot", "label").agg(F.count("*").alias("many"))
-        home = sizes_of.groupBy("pivot").agg(F.max_by("label", F.struct("many", "label")).alias("home"))
-        labelled = cut(labelled.join(home, "pivot").select("pivot", "doc", "n", "blocks", "label", own_block.alias("block"), (F.col("label") != F.col("home")).alias("query")))
-        asks = labelled.where("query").select("pivot", every.alias("block"), F.lit(True).alias("query"), "doc", "label", "n")
-        rest = labelled.select("pivot", "block", F.lit(False).alias("query"), "doc", "label", "n").join(asks.select("pivot").distinct(), "pivot", "left_semi")
+    # then the buckets that are not yet one component: what is not in a bucket's largest component asks all of it
+    labelled = placed.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
+    labels = labelled.groupBy("pivot", "label").agg(F.count("*").alias("many"))
+    home = labels.groupBy("pivot").agg(F.max_by("label", F.struct("many", "label")).alias("home"), F.count("*").alias("labels")).where("labels > 1")
+    open_ = cut(labelled.join(home, "pivot").select("pivot", "doc", "n", "blocks", "label", own_block.alias("block"), (F.col("label") != F.col("home")).alias("query")))
+    if not open_.isEmpty():
+        asks = open_.where("query").select("pivot", every.alias("block"), F.lit(True).alias("query"), "doc", "label", "n")
+        rest = open_.select("pivot", "block", F.lit(False).alias("query"), "doc", "label", "n")
         across = asks.unionByName(rest).join(sets, "doc")
-        links = cut(links.unionByName(dealt(across.select("pivot", "block", "query", "doc", "label", "n", "shingles"))))
-        found = components(links)
+        more = cut(dealt(across.select("pivot", "block", "query", "doc", "label", "n", "shingles")))
+        if not more.isEmpty():
+            found = components(links.unionByName(more))
 
     named = classes.join(found.withColumnRenamed("node", "doc"), "doc", "left").select("h1", "h2", "n", F.coalesce("component", "doc").alias("component"))
     out = sizes.join(named, ["h1", "h2", "n"], "left")

@@ -62,3 +62,53 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         last = tuple(c[-1] for c in columns)
     if held:
         yield pa.concat_tables(held)
+
+
+def among(rows: DataFrame, ids: DataFrame, id_col: str, most_bits: int = 1 << 26) -> DataFrame:
+    """rows without most of those whose id_col, a long, is not in ids (one column), so that a join with ids moves less.
+
+    A Bloom filter of at most most_bits bits (8 MB) is made on the executors, ORed, and sent to the tasks. It never
+    drops a row whose id is in ids; beyond what it can hold it only lets more of the others pass.
+    """
+    import numpy as np
+
+    from umbra.llm.text import U64, mix
+
+    many = ids.count()
+    bits = 1 << 10
+    while bits < 12 * many and bits < most_bits:
+        bits *= 2
+    if many * 2 > bits:
+        return rows
+
+    def places(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        h = mix(column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ U64(0x51ED270B))
+        return (h & U64(bits - 1)).astype(np.int64), ((h >> U64(32)) & U64(bits - 1)).astype(np.int64)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(bits, bool)
+        for batch in batches:
+            for at in places(batch.column(0)):
+                flags[at] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(flags).tobytes()], pa.binary())], ["bits"])
+
+    def ored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            for x in batch.column(0):
+                total |= np.frombuffer(x.as_buffer(), np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["bits"])
+
+    parts = ids.mapInArrow(marked, "bits binary").coalesce(8).mapInArrow(ored, "bits binary").collect()
+    total = np.zeros(bits // 8, np.uint8)
+    for r in parts:
+        total |= np.frombuffer(r["bits"], np.uint8)
+    sent, where = rows.sparkSession.sparkContext.broadcast(total.tobytes()), rows.columns.index(id_col)
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.unpackbits(np.frombuffer(sent.value, np.uint8)).astype(bool)
+        for batch in batches:
+            a, b = places(batch.column(where))
+            yield batch.filter(pa.array(flags[a] & flags[b]))
+
+    return rows.mapInArrow(passed, rows.schema)
