@@ -113,7 +113,7 @@ def leaked(spark, texts, items=((1, ITEM), (2, OTHER), (3, None), (4, "too short
 def test_leaks(spark):
     filler = "some quite different words that stand around the rest of it"
     changed = ITEM.replace("1999", "2004").replace("25", "40").replace("Alice Moreau", "Bob Stone").replace("farmer", "farmer")
-    broken = ITEM.replace("25 kg of apples", "31 lb of apples").replace("In 1999", "In 1987").replace("the farmer Alice Moreau", "the farmer Carl Weiss").replace("how many kg did Alice Moreau", "how many oz did Dora Lind")
+    broken = ITEM.replace("25 kg of apples", "31 lb of apples").replace("In 1999", "In 1987").replace("the farmer Alice Moreau", "the farmer Carl Weiss").replace("did Alice Moreau", "did Dora Lind")
     texts = [None, "", filler, ITEM, f"{filler} {ITEM} {filler}", f"{filler}. {changed} {filler}", f"{filler}\n{OTHER}!", OTHER.upper().lower(), "Well, what is the exact boiling point here?", "the second train near the long", broken, ITEM + " " + OTHER]
     got = leaked(spark, texts)
     assert got == {(3, 1), (4, 1), (5, 1), (6, 2), (7, 2), (8, 5), (11, 1), (11, 2)}

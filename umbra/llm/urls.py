@@ -89,12 +89,15 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
         branch = F.when((F.col(f"s{k}") == NONE) | (F.col("n") >= F.lit(least_share) * F.col("n_above")), F.col(f"s{k}")).otherwise(F.lit(WILD))
         placed = child.withColumn("branch", branch)
         nodes = placed.groupBy(*above, "branch").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"), F.first("l_above").alias("la"), F.first("b_above").alias("ba"))
-        before = (F.col("ba") + smooth * overall) / (F.col("la") + smooth)
-        nodes = nodes.withColumn("rate", (F.col("b") + smooth * before) / (F.col("l") + smooth))
+        prior = (F.col("ba") + smooth * overall) / (F.col("la") + smooth)
+        nodes = nodes.withColumn("rate", (F.col("b") + smooth * prior) / (F.col("l") + smooth))
         w = Window.partitionBy(*above, F.col("branch") == NONE).orderBy("rate", "branch")
-        pooled = (F.col("b") + F.lag("b").over(w)) / (F.col("l") + F.lag("l").over(w))
-        deviation = F.sqrt(pooled * (1 - pooled) * (1 / F.col("l") + 1 / F.lag("l").over(w)))
-        apart = (F.col("l") > 0) & (F.lag("l").over(w) > 0) & (F.abs(F.col("b") / F.col("l") - F.lag("b").over(w) / F.lag("l").over(w)) > z * deviation)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        last = lambda c: F.last(F.when(F.col("l") > 0, F.col(c)), ignorenulls=True).over(before)
+        nodes = nodes.withColumn("l_last", last("l")).withColumn("b_last", last("b"))
+        pooled = (F.col("b") + F.col("b_last")) / (F.col("l") + F.col("l_last"))
+        deviation = F.sqrt(pooled * (1 - pooled) * (1 / F.col("l") + 1 / F.col("l_last")))
+        apart = (F.col("l") > 0) & (F.abs(F.col("b") / F.col("l") - F.col("b_last") / F.col("l_last")) > z * deviation)
         nodes = nodes.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn("cluster", F.sum("apart").over(w))
         members = Window.partitionBy(*above, F.col("branch") == NONE, "cluster")
         merged = nodes.withColumn(f"t{k}", F.array_join(F.array_sort(F.collect_list("branch").over(members)), "|")).select(*above, "branch", f"t{k}")
