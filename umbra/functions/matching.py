@@ -13,20 +13,23 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     A match's start is the length of all text between matches before it, and of the matches.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
+    parts = F.struct(found.alias("whole"), F.split(text, pattern, -1).alias("between"), (F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found).alias("value"))
     zero = F.struct(F.lit(0).cast("int").alias("at"), F.expr("cast(array() as array<struct<ord:int,start:int,stop:int,value:string>>)").alias("out"))
 
-    def step(state: Column, k: Column) -> Column:
-        start = state["at"] + F.length(F.get(between, k))
-        value = F.get(found, k)
-        stop = start + F.length(value)
-        return F.struct(stop.alias("at"), F.array_append(state["out"], F.struct(k.alias("ord"), start.alias("start"), stop.alias("stop"), value.alias("value"))).alias("out"))
-
-    full = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda s: s["out"])
-    if group:
-        part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        full = F.transform(full, lambda m: F.struct(m["ord"].alias("ord"), m["start"].alias("start"), m["stop"].alias("stop"), F.get(part, m["ord"]).alias("value")))
-    return F.when(F.size(found) > 0, full)
+    def places(p: Column) -> Column:
+        def step(state: Column, k: Column) -> Column:
+            start = state["at"] + F.length(F.get(p["between"], k))
+            stop = start + F.length(F.get(p["whole"], k))
+            return F.struct(stop.alias("at"), F.array_append(state["out"], F.struct(k.alias("ord"), start.alias("start"), stop.alias("stop"), F.get(p["value"], k).alias("value"))).alias("out"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(p["whole"]) - 1), zero, step, lambda s: s["out"])
+
+    return F.when(F.regexp_like(text, F.lit(pattern)), let(parts, places))
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once: what stands in a lambda is computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def context(text: Column, start: Column, window: int = 50) -> Column:

@@ -57,18 +57,31 @@ def strip(text: Column) -> Column:
 
 def parse_project(name: Column) -> Column:
     """STRUCT<project_name, company, product, version, timestamp> of ``Company - Product[-timestamp][-NNN.zip]``, or null."""
-    stamp = F.regexp_extract(name, r"-(\d{8}T\d{6}Z)", 1)
-    version = F.coalesce(F.when(F.lower(name).endswith(".zip"), F.expr("1")) * F.nullif(F.regexp_extract(name, r"-(\d{3})\.zip$", 1), F.lit("")).cast("int"), F.lit(0))
-    bare = F.regexp_replace(name, r"^(.*?)-\d{8}T\d{6}Z", "$1")
-    bare = F.when(F.lower(bare).endswith(".zip"), F.substring(bare, F.lit(1), F.length(bare) - 4)).otherwise(bare)
-    bare = F.when(version > 0, F.regexp_replace(bare, r"-\d{3}$", "")).otherwise(bare)
-    bare = F.regexp_replace(F.replace(bare, F.lit("--"), F.lit("-")), r"-+$", "")
-    at = F.locate(" - ", bare)
-    company = strip(F.when(at > 0, F.substring(bare, F.lit(1), at - 1)).otherwise(bare))
-    product = F.when(at > 0, strip(F.substring(bare, at + 3, F.length(bare)))).otherwise(F.lit(""))
-    project = F.when(product != "", F.concat(company, F.lit(" - "), product)).otherwise(company)
-    moment = F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd'T'HHmmss'Z'")).cast("timestamp_ntz")
-    return F.when(company != "", F.struct(project.alias("project_name"), company.alias("company"), product.alias("product"), version.cast("int").alias("version"), moment.alias("timestamp")))
+    from umbra.functions.matching import let
+
+    def version_of(n: Column) -> Column:
+        found = F.nullif(F.regexp_extract(n, r"-(\d{3})\.zip$", 1), F.lit("")).cast("int")
+        return F.coalesce(F.when(F.lower(n).endswith(".zip"), found), F.lit(0))
+
+    def bare_of(n: Column) -> Column:
+        plain = let(F.regexp_replace(n, r"^(.*?)-\d{8}T\d{6}Z", "$1"), lambda b: F.when(F.lower(b).endswith(".zip"), F.substring(b, F.lit(1), F.length(b) - 4)).otherwise(b))
+        unversioned = F.when(version_of(n) > 0, F.regexp_replace(plain, r"-\d{3}$", "")).otherwise(plain)
+        return F.regexp_replace(F.replace(unversioned, F.lit("--"), F.lit("-")), r"-+$", "")
+
+    def parts_of(b: Column) -> Column:
+        at = F.locate(" - ", b)
+        company = F.when(at > 0, F.substring(b, F.lit(1), at - 1)).otherwise(b)
+        product = F.when(at > 0, F.substring(b, at + 3, F.length(b))).otherwise(F.lit(""))
+        return F.struct(strip(company).alias("company"), strip(product).alias("product"))
+
+    moment = F.try_to_timestamp(F.nullif(F.regexp_extract(name, r"-(\d{8}T\d{6}Z)", 1), F.lit("")), F.lit("yyyyMMdd'T'HHmmss'Z'")).cast("timestamp_ntz")
+
+    def whole(p: Column) -> Column:
+        project = F.when(p["product"] != "", F.concat(p["company"], F.lit(" - "), p["product"])).otherwise(p["company"])
+        made = F.struct(project.alias("project_name"), p["company"].alias("company"), p["product"].alias("product"), version_of(name).cast("int").alias("version"), moment.alias("timestamp"))
+        return F.when(p["company"] != "", made)
+
+    return let(let(bare_of(name), parts_of), whole)
 
 
 def is_project_file(name: Column, is_dir: Column) -> Column:
