@@ -54,7 +54,7 @@ if __name__ == "__main__":
 
     import __spark_entry__ as e
 
-    spark = SparkSession.builder.master("local[6]").config("spark.sql.shuffle.partitions", "6").config("spark.driver.memory", "6g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "6").config("spark.driver.memory", "6g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sys.argv[1])
     queries, sql = e.queries(), e.oracle_sql()

@@ -361,9 +361,9 @@ def x8_x9_hashes(spark, sf_dir):
 # mapping and replacement
 
 _SEEN = f"seen as ({_hits('documents', RE2['email'], 1, 0, 'email', 1.0, path='doc_id')} union all {_hits('documents', RE2['phone'], 2, 0, 'phone', 1.0, path='doc_id')})"
-_MAPPED = """keyed as (select lower(trim(value)) as key, trim(value) as original, flag_type, path, (path, detector_ord, match_ord) as at from seen where trim(value) <> ''),
-    firsts as (select key, arg_min(original, at) as original, arg_min(flag_type, at) as entity_type, min(at) as at, count(*) as occurrence_count, list_sort(list(distinct cast(path as string))) as sources from keyed group by key),
-    mapping as (select key, original, entity_type, occurrence_count, sources, printf('[%s_%03d]', upper(entity_type), row_number() over (partition by entity_type order by at)) as placeholder from firsts)"""
+_MAPPED = """keyed as (select lower(trim(value)) as key, trim(value) as original, flag_type, path, (path, detector_ord, match_ord) as seq from seen where trim(value) <> ''),
+    firsts as (select key, arg_min(original, seq) as original, arg_min(flag_type, seq) as entity_type, min(seq) as seq, count(*) as occurrence_count, list_sort(list(distinct cast(path as string))) as sources from keyed group by key),
+    mapping as (select key, original, entity_type, occurrence_count, sources, printf('[%s_%03d]', upper(entity_type), row_number() over (partition by entity_type order by seq)) as placeholder from firsts)"""
 
 
 def _mapping(spark, sf_dir, docs=None):
