@@ -115,4 +115,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_quality_rules, op2_token_counts, op3_url_filters, op4_suffix_dedup, op5_sharding, op6_decontamination, op7_fixity_audit, op8_jaccard_join, op9_sentencepiece, op10_language_id)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_suffix_dedup": """
+with b as (select doc_id, encode(coalesce(text, '')) as t from documents),
+w as (select doc_id, i, t[i:i + 99] as v from (select doc_id, t, unnest(range(1, greatest(octet_length(t) - 98, 1))) as i from b)),
+f as (select doc_id, i from (select doc_id, i, row_number() over (partition by v order by doc_id, i) as k from w) where k > 1),
+g as (select doc_id, i, case when i > lag(i) over (partition by doc_id order by i) + 100 then 1 when lag(i) over (partition by doc_id order by i) is null then 1 else 0 end as s from f),
+r as (select doc_id, min(i) as a, max(i) + 100 as e from (select doc_id, i, sum(s) over (partition by doc_id order by i) as run from g) group by doc_id, run),
+k as (select doc_id, coalesce(lag(e) over (partition by doc_id order by a), 1) as a, a as e from r union all select r.doc_id, max(e), max(octet_length(t)) + 1 from r join b on r.doc_id = b.doc_id group by r.doc_id),
+j as (select k.doc_id, string_agg(substring(hex(t), cast(2 * a - 1 as bigint), cast(2 * (e - a) as bigint)), '' order by a) as h from k join b on k.doc_id = b.doc_id where e > a group by k.doc_id),
+n as (select doc_id, count(*) as n_spans, cast(sum(e - a) as bigint) as n_removed from r group by doc_id)
+select b.doc_id, cast(octet_length(t) as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+sha256(case when n.doc_id is null then t else unhex(coalesce(h, '')) end) as kept_sha256
+from b left join n on b.doc_id = n.doc_id left join j on b.doc_id = j.doc_id""",
+    "op8_jaccard_join": """
+with recursive w as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as v from documents),
+s as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(v) - 4, 1) + 1), lambda i: array_to_string(v[i:i + 4], ' '))) as x from w where len(v) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+l as (select a, b from (select p.doc_id as a, q.doc_id as b, count(*) as met from s p join s q on p.x = q.x and p.doc_id <> q.doc_id group by all) join n on n.doc_id = a join n as m on m.doc_id = b where 100 * met >= 75 * (n.n + m.n - met)),
+c as (select doc_id as a, doc_id as b from n union select c.a, l.b from c join l on l.a = c.b)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(min(c.b), d.doc_id) as component_id from documents d left join n on n.doc_id = d.doc_id left join c on c.a = d.doc_id group by d.doc_id, n.n""",
+}

@@ -308,17 +308,17 @@ def _removed(length: int, with_text: bool):
                 np.add.at(gone, b, -1)
                 keep = np.cumsum(gone)[:-1] == 0
                 left = text[keep].tobytes()
-                out.append((int((b - a).sum()), len(a), hashlib.sha256(left).hexdigest(), left if with_text else None))
+                out.append((int((b - a).sum()), len(a), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if with_text else None))
             n, s, sha, left = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(s, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.binary())], ["doc", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(s, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.string())], ["doc", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return run
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = GRAM, with_text: bool = False) -> DataFrame:
-    """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row; with_text adds kept, the bytes that remain.
+    """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row; with_text adds kept, the text that remains.
 
-    kept is null where nothing, or all, is removed.
+    kept is null where nothing is removed, and for copies; halves of characters at a cut are not in it.
     """
     if not 8 <= gram <= length:
         raise ValueError("gram must lie between 8 and length")
@@ -338,7 +338,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     index = rows.repartition(n, "key").select("anchor", "doc", "first", "many", "bytes").sortWithinPartitions("doc", "first")
     spans = index.mapInArrow(_scan(length), "doc long, first long, many long")
     spans = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "many")).alias("spans"))
-    touched = base.join(spans, "doc").select("doc", "text", "spans").mapInArrow(_removed(length, with_text), "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    touched = base.join(spans, "doc").select("doc", "text", "spans").mapInArrow(_removed(length, with_text), "doc long, n_removed long, n_spans long, kept_sha256 string, kept string")
 
     first = facts.join(firsts.select("sha", F.col("doc").alias("first_doc")), "sha", "left")
     empty = hashlib.sha256(b"").hexdigest()
@@ -362,13 +362,8 @@ def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     found = repeats(docs, id_col, text_col, length, with_text=True).where("n_removed > 0")
     left = found.select(F.col(id_col).alias("stripped_id"), "kept", (F.col("n_removed") == F.col("n_bytes")).alias("gone"))
     joined = docs.join(left, docs[id_col] == left["stripped_id"], "left").where("gone is null or not gone")
-    text = F.when(F.col("stripped_id").isNull(), F.col(text_col)).otherwise(_valid(F.col("kept")))
+    text = F.when(F.col("stripped_id").isNull(), F.col(text_col)).otherwise(F.col("kept"))
     joined = joined.withColumn(text_col, text)
     if length_col in docs.columns:
         joined = joined.withColumn(length_col, F.when(F.col("stripped_id").isNull(), F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
     return joined.select(docs.columns)
-
-
-def _valid(binary):
-    """The bytes as text, without sequences that are no UTF-8."""
-    return F.regexp_replace(F.expr("make_valid_utf8(cast(kept as string))"), "\ufffd", "")
