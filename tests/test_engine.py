@@ -79,9 +79,9 @@ def test_spans(spark):
 
 
 def test_pipeline(spark):
-    files = spark.createDataFrame([("docs/invoice a@b.cd.txt", "Mail a@b.cd or +49-170-1234567."), ("n.txt", "nothing"), ("e.txt", "")], "path string, text string")
+    files = spark.createDataFrame([("docs/invoice 7.txt", "Mail a@b.cd or +49-170-1234567."), ("n.txt", "nothing"), ("e.txt", "")], "path string, text string")
     done = pipeline.clean(files)
-    assert {r["path"]: r["cleaned"] for r in done.cleaned.collect()}["docs/invoice a@b.cd.txt"] == "Mail [EMAIL_001] or [PHONE_001]."
+    assert {r["path"]: r["cleaned"] for r in done.cleaned.collect()}["docs/invoice 7.txt"] == "Mail [EMAIL_001] or [PHONE_001]."
     checks = {r["check_name"]: r["passed"] for r in done.report.collect()}
     assert checks == {"leakage": True, "rescan": True, "legibility": False, "consistency": True}  # an empty text is not legible
     assert {r["file_path"]: r["change_count"] for r in done.diffs.collect()}["n.txt"] == 0
@@ -173,3 +173,18 @@ def test_stream(spark, tmp_path):
     watch(spark, str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "cp")).awaitTermination()
     got = {r["key"]: r["placeholder"] for r in spark.read.parquet(str(tmp_path / "state/v=1")).collect()}
     assert got == {"a@b.cd": "[EMAIL_001]", "b@b.cd": "[EMAIL_002]"}
+
+
+def test_reports(spark):
+    from umbra.plans import reports
+
+    rows = spark.createDataFrame([("A - One-001.zip", False), ("a - One", True), ("A - Two-003.zip", False)], "filepath string, is_dir boolean")
+    from umbra.operators import catalog
+
+    groups = catalog.groups(catalog.project_files(rows))
+    text = reports.projects(groups)
+    assert text.startswith("Projects: 3") and "A - Two (1 versions, latest A - Two-003.zip)" in text
+    assert "0.90  A - One + a - One" in reports.consolidations(discriminate.consolidations(groups))
+    hits = spark.createDataFrame([("leakage", f"f{k:02d}", "person", "Ann", "c") for k in range(12)], verify.HIT)
+    text = reports.verification(hits, verify.report(hits))
+    assert "leakage: FAILED, 12 hits" in text and "... and 2 more" in text and "rescan: passed" in text

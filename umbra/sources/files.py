@@ -129,3 +129,34 @@ def write_tree(files: DataFrame, folder: str) -> None:
             os.replace(f"{target}.draft", target)
 
     files.select("path", "content").foreachPartition(put)
+
+
+#: exiftool's names of the fields of SolidWorks files, and ours.
+SOLIDWORKS_FIELDS = {"Author": "author", "LastSavedBy": "last_saved_by", "CreatorTool": "creator_tool", "CreateDate": "create_date", "ModifyDate": "modify_date", "Description": "description", "Subject": "subject", "Comments": "comments", "Company": "company", "Manager": "manager", "Title": "title"}
+
+
+def solidworks_metadata(files: DataFrame, seconds: int = 30) -> DataFrame:
+    """(path, metadata) of SolidWorks files by exiftool; empty without it."""
+
+    @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+    def metadata(contents: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import json
+        import shutil
+        import subprocess
+
+        found = shutil.which("exiftool")
+
+        def one(content) -> dict:
+            if not found or content is None:
+                return {}
+            try:
+                done = subprocess.run([found, "-json", "-"], input=bytes(content), capture_output=True, timeout=seconds, check=True)
+                fields = json.loads(done.stdout)[0]
+            except (subprocess.SubprocessError, ValueError, IndexError):
+                return {}
+            return {ours: str(fields[theirs]) for theirs, ours in SOLIDWORKS_FIELDS.items() if fields.get(theirs)}
+
+        for batch in contents:
+            yield batch.map(one)
+
+    return files.where(F.lower(naming.suffix(F.col("path"))).isin(".sldprt", ".sldasm")).select("path", metadata("content").alias("metadata"))
