@@ -12,8 +12,9 @@
    any possible partner leave the bucket before a shingle is sent. A second one compares the leaves it reaches exactly
    and skips what is one component already.
 4. Each set goes to its largest bucket first; a bucket over ``block`` sets (or 32 MB) is dealt out over blocks, with
-   its first set in each. Then, in each bucket that is not one component by now and whose sets have not all met, those
-   that are not in its largest component are held against all its blocks, as queries, so that no link is lost.
+   its first set in each, and its blocks are held against each other. Then come the buckets that are not one component
+   by now and whose sets have not all met in one bucket. There, the sets that are not in a bucket's largest component
+   are held against all its blocks, as queries, so that no link is lost.
 
 Rows: a null text or one without a word has an empty set and links with nothing; a text with fewer than ``width``
 words has its whole sequence as one shingle. Repeated rows share a class. The least id names a component, so ties
@@ -418,21 +419,30 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = cut(dealt(rows))
     found = components(links)
 
-    # then the buckets that are not yet one component, unless their sets have all met in one place before; what is not
-    # in a bucket's largest component asks all of it
-    met = placed.join(main, ["doc", "pivot"]).select("doc", F.struct("pivot", own_block.alias("block")).alias("cell"))
-    labelled = placed.join(met, "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
-    labels = labelled.groupBy("pivot", "label").agg(F.count("*").alias("many"), F.min("cell").alias("low"), F.max("cell").alias("high"))
-    home = labels.groupBy("pivot").agg(F.max_by("label", F.struct("many", "label")).alias("home"), F.count("*").alias("labels"), F.min("low").alias("low"), F.max("high").alias("high"))
-    home = home.where("labels > 1 and low <> high").select("pivot", "home")
-    open_ = cut(labelled.join(home, "pivot").select("pivot", "doc", "n", "blocks", "label", own_block.alias("block"), (F.col("label") != F.col("home")).alias("query")))
-    if not open_.isEmpty():
-        asks = open_.where("query").select("pivot", every.alias("block"), F.lit(True).alias("query"), "doc", "label", "n")
-        rest = open_.select("pivot", "block", F.lit(False).alias("query"), "doc", "label", "n")
+    def completed(rows: DataFrame, apart: str, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links and components after the buckets of rows that hold several components, and several values of apart,
+        are done: what is not in a bucket's largest component asks all of it."""
+        labelled = rows.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
+        labels = labelled.groupBy("pivot", "label").agg(F.count("*").alias("many"), F.min(apart).alias("low"), F.max(apart).alias("high"))
+        home = labels.groupBy("pivot").agg(F.max_by("label", F.struct("many", "label")).alias("home"), F.count("*").alias("labels"), F.min("low").alias("low"), F.max("high").alias("high"))
+        home = home.where("labels > 1 and low <> high").select("pivot", "home")
+        due = cut(labelled.join(home, "pivot").select("pivot", "doc", "n", "blocks", "label", own_block.alias("block"), (F.col("label") != F.col("home")).alias("query")))
+        if due.isEmpty():
+            return links, found
+        asks = due.where("query").select("pivot", every.alias("block"), F.lit(True).alias("query"), "doc", "label", "n")
+        rest = due.select("pivot", "block", F.lit(False).alias("query"), "doc", "label", "n")
         across = asks.unionByName(rest).join(sets, "doc")
         more = cut(dealt(across.select("pivot", "block", "query", "doc", "label", "n", "shingles")))
-        if not more.isEmpty():
-            found = components(links.unionByName(more))
+        if more.isEmpty():
+            return links, found
+        all_links = links.unionByName(more)
+        return all_links, components(all_links)
+
+    # next the blocks of one bucket against each other, then the buckets whose sets have not all met in one bucket
+    mains = main.select("doc", F.col("pivot").alias("main"))
+    in_main = placed.join(mains, "doc").select("pivot", "doc", "n", "blocks", "main", own_block.alias("part"))
+    links, found = completed(in_main.where("pivot = main and blocks > 1"), "part", found)
+    links, found = completed(in_main, "main", found)
 
     named = classes.join(found.withColumnRenamed("node", "doc"), "doc", "left").select("h1", "h2", "n", F.coalesce("component", "doc").alias("component"))
     out = sizes.join(named, ["h1", "h2", "n"], "left")
