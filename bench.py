@@ -5,7 +5,7 @@ import os
 import sys
 import time
 
-HEADLINE = ["anonymize_documents", "d1_email_phone_documents", "d1c_company_documents", "a1_build_mapping", "a4_replace_values", "g7_duplicates", "x8_x9_hashes", "v1_leaks_in_originals", "d11_filename_patterns", "j6_similar_names", "g1_files_by_type", "x1_parse_projects"]
+HEADLINE = ["anonymize_documents", "d1_email_phone_documents", "d1c_company_documents", "a1_build_mapping", "a4_replace_values", "g7_duplicates", "x8_x9_hashes", "v1_leaks_in_originals", "d11_filename_patterns", "g1_files_by_type", "x1_parse_projects"]
 
 
 def main() -> None:
