@@ -93,6 +93,24 @@ def test_url_templates(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int"), []).count() == 0
 
 
+def judged(spark, pages, labels, **given):
+    """verdict and template of each url, of (page_id, url) and (page_id, bad)."""
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int"), [], **given)
+    return {r["page_id"]: (r["verdict"], r["template"]) for r in got.collect()}
+
+
+def test_small_share_of_a_large_host(spark):
+    """200 sections of 0.5 % each: one is bad, and has labels enough; one has few labels, all bad; 50 have none."""
+    pages = [(200 * k + s, f"http://big.example/section{s}x/{k}.html") for s in range(200) for k in range(60)]
+    labels = [(200 * k + s, int(s in (7, 8))) for s in range(150) for k in range(60 if s == 7 else 15 if s == 8 else 30)]
+    got = judged(spark, pages, labels)
+    assert {s for s in range(200) for k in range(60) if got[200 * k + s][0] == "block"} == {7, 8}
+    assert got[7][1] == "big.example/section7x|section8x/*.html"
+    # single labels of many segments are no ground to tell them apart
+    pages = [(k, f"http://big.example/page-of-{k}-x") for k in range(1000)]
+    assert set(judged(spark, pages, [(k, int(k % 20 == 0)) for k in range(1000)]).values()) == {("allow", "big.example/*")}
+
+
 # decontamination
 
 ITEM = "In 1999 the farmer Alice Moreau sold 25 kg of apples and later 25 kg of pears to a shop in town, so how many kg did Alice Moreau sell that day?"

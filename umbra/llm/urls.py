@@ -2,14 +2,16 @@
 
 Native: DataFrame expressions only. The tree is built level by level from aggregated paths, top down:
 1. numbers, hexadecimal runs and UUIDs in a segment become a wildcard by their form (an extension stays);
-2. below one host and prefix, a segment with fewer than ``least_share`` of the rows becomes a wildcard, so a node
-   has at most 1 / least_share + 1 literal children however many distinct segments there are;
+2. below one host and prefix, a segment becomes a wildcard if it has fewer than ``least_share`` of the rows, fewer
+   than ``least_labels`` labels, and a rate of bad labels that does not differ from that of all its siblings (G-test,
+   at ``z`` corrected for the number of labelled siblings). So rows or labels enough always bring a segment back;
 3. sibling branches whose rates of bad labels do not differ (two-proportion z-test between neighbours in the order of
    the smoothed rates) are merged to one;
 4. a template is rejected if its rate of bad labels, smoothed towards its host's, which is smoothed towards that of
    all pages, is over ``reject_over``.
 
-All sums are grouped before they are shuffled, and windows see at most the children of one node.
+All sums are grouped before they are shuffled, and windows see at most the children of one node: 1 / least_share + 1
+and those that labels single out. A merged template names its first NAMES branches and the number of the others.
 
 Rows: a null url, or one without ``://``, has an empty host and path and is judged as the template of those. Pages
 without labels count for shares, not for rates. Labels that repeat count each; ties in rates are ordered by segment.
@@ -25,6 +27,7 @@ from umbra.llm.shared import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEPTH = 4
+NAMES = 101
 NONE = ""
 WILD = "*"
 
@@ -64,7 +67,19 @@ def _form(segment: Column) -> Column:
     return F.when(segment.isNull(), NONE).when(wild, F.concat(F.lit(WILD), extension)).otherwise(segment)
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", least_share: float = 0.01, z: float = 1.96, smooth: float = 10.0, reject_over: float = 0.5) -> DataFrame:
+def _counts_term(part: Column, whole: Column, share: Column) -> Column:
+    """part * ln(part / (whole * share)), 0 for no part."""
+    return F.when(part > 0, part * F.ln(part / (whole * share))).otherwise(0.0)
+
+
+def _differs(l: Column, b: Column, l_rest: Column, b_rest: Column, siblings: Column, z: float) -> Column:  # noqa: E741
+    """Whether b bad of l labels differ from those of the rest: valid for few labels and for many siblings tested."""
+    bad = (b + b_rest) / (l + l_rest)
+    g = 2 * (_counts_term(b, l, bad) + _counts_term(l - b, l, 1 - bad) + _counts_term(b_rest, l_rest, bad) + _counts_term(l_rest - b_rest, l_rest, 1 - bad))
+    return F.when((l > 0) & (l_rest > 0), g > z * z + 2 * F.ln(siblings)).otherwise(False)
+
+
+def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", least_share: float = 0.01, z: float = 1.96, smooth: float = 10.0, reject_over: float = 0.5, least_labels: int = 20) -> DataFrame:
     """(id_col, host, path, rule, verdict, template, n_labelled, bad_rate) of every page.
 
     labels: (id_col, bad) with bad 1 or 0; several labels of a page count each.
@@ -84,9 +99,12 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
     named: list[str] = []
     for k in range(1, DEPTH + 1):
         above = ["host", *named]
-        parent = tree.groupBy(*above).agg(F.sum("n").alias("n_above"), F.sum("labelled").alias("l_above"), F.sum("bad").alias("b_above"))
-        child = tree.groupBy(*above, f"s{k}").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).join(parent, above)
-        branch = F.when((F.col(f"s{k}") == NONE) | (F.col("n") >= F.lit(least_share) * F.col("n_above")), F.col(f"s{k}")).otherwise(F.lit(WILD))
+        child = tree.groupBy(*above, f"s{k}").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+        parent = child.groupBy(*above).agg(F.sum("n").alias("n_above"), F.sum("labelled").alias("l_above"), F.sum("bad").alias("b_above"), F.count_if(F.col("labelled") > 0).alias("siblings"))
+        child = child.join(parent, above)
+        common = (F.col("n") >= F.lit(least_share) * F.col("n_above")) | (F.col("labelled") >= least_labels)
+        differs = _differs(F.col("labelled"), F.col("bad"), F.col("l_above") - F.col("labelled"), F.col("b_above") - F.col("bad"), F.col("siblings"), z)
+        branch = F.when((F.col(f"s{k}") == NONE) | common | differs, F.col(f"s{k}")).otherwise(F.lit(WILD))
         placed = child.withColumn("branch", branch)
         nodes = placed.groupBy(*above, "branch").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"), F.first("l_above").alias("la"), F.first("b_above").alias("ba"))
         prior = (F.col("ba") + smooth * overall) / (F.col("la") + smooth)
@@ -99,8 +117,11 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
         deviation = F.sqrt(pooled * (1 - pooled) * (1 / F.col("l") + 1 / F.col("l_last")))
         apart = (F.col("l") > 0) & (F.abs(F.col("b") / F.col("l") - F.col("b_last") / F.col("l_last")) > z * deviation)
         nodes = nodes.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn("cluster", F.sum("apart").over(w))
-        members = Window.partitionBy(*above, F.col("branch") == NONE, "cluster")
-        merged = nodes.withColumn(f"t{k}", F.array_join(F.array_sort(F.collect_list("branch").over(members)), "|")).select(*above, "branch", f"t{k}")
+        ended = (F.col("branch") == NONE).alias("ended")
+        members = F.array_sort(F.collect_list("branch"))
+        more = F.when(F.size(members) > NAMES, F.concat(F.lit("|+"), (F.size(members) - NAMES).cast("string"))).otherwise("")
+        clusters = nodes.groupBy(*above, ended, "cluster").agg(F.concat(F.array_join(F.slice(members, 1, NAMES), "|"), more).alias(f"t{k}"))
+        merged = nodes.withColumn("ended", ended).join(clusters, [*above, "ended", "cluster"]).select(*above, "branch", f"t{k}")
         names = placed.select(*above, f"s{k}", "branch").join(merged, [*above, "branch"]).select(*above, f"s{k}", f"t{k}")
         tree = cut(tree.join(names, [*above, f"s{k}"]))
         named.append(f"t{k}")
