@@ -111,6 +111,15 @@ def test_small_share_of_a_large_host(spark):
     assert set(judged(spark, pages, [(k, int(k % 20 == 0)) for k in range(1000)]).values()) == {("allow", "big.example/*")}
 
 
+def test_graded_branches(spark):
+    """41 branches with bad rates 0.10, 0.12 .. 0.90: neighbours are alike, the ends are not."""
+    pages = [(500 * s + k, f"http://graded.example/part{s}x/{k}.html") for s in range(41) for k in range(500)]
+    got = judged(spark, pages, [(500 * s + k, int(k < 50 + 10 * s)) for s in range(41) for k in range(500)])
+    verdicts = [got[500 * s][0] for s in range(41)]
+    assert set(verdicts[:15]) == {"allow"} and set(verdicts[26:]) == {"block"}
+    assert got[0][1] == got[500][1] != got[500 * 40][1]
+
+
 # decontamination
 
 ITEM = "In 1999 the farmer Alice Moreau sold 25 kg of apples and later 25 kg of pears to a shop in town, so how many kg did Alice Moreau sell that day?"

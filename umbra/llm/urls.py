@@ -5,8 +5,8 @@ Native: DataFrame expressions only. The tree is built level by level from aggreg
 2. below one host and prefix, a segment becomes a wildcard if it has fewer than ``least_share`` of the rows, fewer
    than ``least_labels`` labels, and a rate of bad labels that does not differ from that of all its siblings (G-test,
    at ``z`` corrected for the number of labelled siblings). So rows or labels enough always bring a segment back;
-3. sibling branches whose rates of bad labels do not differ (two-proportion z-test between neighbours in the order of
-   the smoothed rates) are merged to one;
+3. sibling branches, in the order of their smoothed rates, are merged to one while their rates of bad labels differ
+   neither from the pooled rate of those merged so far nor from the first of these (two-proportion z-tests);
 4. a template is rejected if its rate of bad labels, smoothed towards its host's, which is smoothed towards that of
    all pages, is over ``reject_over``.
 
@@ -21,7 +21,7 @@ columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from umbra.llm.shared import cut
 
@@ -79,6 +79,29 @@ def _differs(l: Column, b: Column, l_rest: Column, b_rest: Column, siblings: Col
     return F.when((l > 0) & (l_rest > 0), g > z * z + 2 * F.ln(siblings)).otherwise(False)
 
 
+def _apart(l: Column, b: Column, l_other: Column, b_other: Column, z: float) -> Column:  # noqa: E741
+    pooled = (b + b_other) / (l + l_other)
+    deviation = F.sqrt(pooled * (1 - pooled) * (1 / l + 1 / l_other))
+    return F.when((l > 0) & (l_other > 0), F.abs(b / l - b_other / l_other) > z * deviation).otherwise(False)
+
+
+def _starts(branches: Column, z: float) -> Column:
+    """The members that begin a new cluster, of branches ((rate, l, b), how many of these) in order.
+
+    A branch joins the cluster before it unless it differs from that cluster's pooled labels or from its first member.
+    """
+    none = F.struct(*[F.lit(0).cast("bigint").alias(c) for c in ("l", "b", "l_first", "b_first")], F.expr("cast(array() as array<struct<rate:double,l:bigint,b:bigint>>)").alias("starts"))
+
+    def step(c: Column, x: Column) -> Column:
+        me, l, b = x["me"], x["me"]["l"], x["me"]["b"]  # noqa: E741
+        new = _apart(l, b, c["l"], c["b"], z) | _apart(l, b, c["l_first"], c["b_first"], z)
+        first = lambda k: F.when(new | (c["l_first"] == 0), me[k]).otherwise(c[f"{k}_first"]).alias(f"{k}_first")
+        pooled = lambda k: (F.when(new, F.lit(0)).otherwise(c[k]) + me[k] * x["many"]).alias(k)
+        return F.struct(pooled("l"), pooled("b"), first("l"), first("b"), F.when(new, F.concat(c["starts"], F.array(me))).otherwise(c["starts"]).alias("starts"))
+
+    return F.aggregate(branches, none, step, lambda c: c["starts"])
+
+
 def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", least_share: float = 0.01, z: float = 1.96, smooth: float = 10.0, reject_over: float = 0.5, least_labels: int = 20) -> DataFrame:
     """(id_col, host, path, rule, verdict, template, n_labelled, bad_rate) of every page.
 
@@ -109,19 +132,15 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
         nodes = placed.groupBy(*above, "branch").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"), F.first("l_above").alias("la"), F.first("b_above").alias("ba"))
         prior = (F.col("ba") + smooth * overall) / (F.col("la") + smooth)
         nodes = nodes.withColumn("rate", (F.col("b") + smooth * prior) / (F.col("l") + smooth))
-        w = Window.partitionBy(*above, F.col("branch") == NONE).orderBy("rate", "branch")
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
-        last = lambda c: F.last(F.when(F.col("l") > 0, F.col(c)), ignorenulls=True).over(before)
-        nodes = nodes.withColumn("l_last", last("l")).withColumn("b_last", last("b"))
-        pooled = (F.col("b") + F.col("b_last")) / (F.col("l") + F.col("l_last"))
-        deviation = F.sqrt(pooled * (1 - pooled) * (1 / F.col("l") + 1 / F.col("l_last")))
-        apart = (F.col("l") > 0) & (F.abs(F.col("b") / F.col("l") - F.col("b_last") / F.col("l_last")) > z * deviation)
-        nodes = nodes.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn("cluster", F.sum("apart").over(w))
-        ended = (F.col("branch") == NONE).alias("ended")
+        nodes = nodes.withColumn("me", F.struct("rate", "l", "b")).withColumn("ended", F.col("branch") == NONE)
+        # branches of equal counts share a place, so the list is short even where a node has very many
+        alike = nodes.groupBy(*above, "ended", "me").agg(F.count("*").alias("many"))
+        listed = alike.groupBy(*above, "ended").agg(_starts(F.array_sort(F.collect_list(F.struct("me", "many"))), z).alias("starts"))
+        nodes = nodes.join(listed, [*above, "ended"]).withColumn("cluster", F.size(F.filter("starts", lambda s: s <= F.col("me"))))
         members = F.array_sort(F.collect_list("branch"))
         more = F.when(F.size(members) > NAMES, F.concat(F.lit("|+"), (F.size(members) - NAMES).cast("string"))).otherwise("")
-        clusters = nodes.groupBy(*above, ended, "cluster").agg(F.concat(F.array_join(F.slice(members, 1, NAMES), "|"), more).alias(f"t{k}"))
-        merged = nodes.withColumn("ended", ended).join(clusters, [*above, "ended", "cluster"]).select(*above, "branch", f"t{k}")
+        clusters = nodes.groupBy(*above, "ended", "cluster").agg(F.concat(F.array_join(F.slice(members, 1, NAMES), "|"), more).alias(f"t{k}"))
+        merged = nodes.join(clusters, [*above, "ended", "cluster"]).select(*above, "branch", f"t{k}")
         names = placed.select(*above, f"s{k}", "branch").join(merged, [*above, "branch"]).select(*above, f"s{k}", f"t{k}")
         tree = cut(tree.join(names, [*above, f"s{k}"]))
         named.append(f"t{k}")
