@@ -120,6 +120,17 @@ def test_graded_branches(spark):
     assert got[0][1] == got[500][1] != got[500 * 40][1]
 
 
+def test_deep_paths(spark):
+    """Branches that part at the sixth segment, a prefix that is a page too, and one path of a hundred segments."""
+    pages = [(2 * k + s, f"http://deep.example/a/b/c/d/e/{('spam', 'fine')[s]}/{k}/") for s in range(2) for k in range(100)]
+    labels = [(i, int(i % 2 == 0)) for i, _ in pages]
+    pages += [(1000, "http://deep.example/a/b/c/d/e"), (1001, "http://trap.example" + "/x" * 100)]
+    got = judged(spark, pages, labels)
+    assert {got[2 * k] for k in range(100)} == {("block", "deep.example/a/b/c/d/e/spam/*")}
+    assert {got[2 * k + 1] for k in range(100)} == {("allow", "deep.example/a/b/c/d/e/fine/*")}
+    assert got[1000][1] == "deep.example/a/b/c/d/e" and got[1001] == ("allow", "trap.example" + "/x" * 100)
+
+
 # decontamination
 
 ITEM = "In 1999 the farmer Alice Moreau sold 25 kg of apples and later 25 kg of pears to a shop in town, so how many kg did Alice Moreau sell that day?"

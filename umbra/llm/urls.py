@@ -15,18 +15,19 @@ and those that labels single out. A merged template names its first NAMES branch
 
 Rows: a null url, or one without ``://``, has an empty host and path and is judged as the template of those. Pages
 without labels count for shares, not for rates. Labels that repeat count each; ties in rates are ordered by segment.
-Paths deeper than ``depth`` segments share the template of their first ones. An empty table gives no rows. Extra
+The tree is as deep as the longest path; a node that one path alone passes is left at once. An empty table gives no rows. Extra
 columns are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from umbra.llm.shared import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DEPTH = 4
 NAMES = 101
 NONE = ""
 WILD = "*"
@@ -64,7 +65,7 @@ def _form(segment: Column) -> Column:
     extension = F.regexp_extract(segment, r"(\.[A-Za-z][A-Za-z0-9]{0,4})$", 1)
     stem = F.regexp_replace(segment, r"\.[A-Za-z][A-Za-z0-9]{0,4}$", "")
     wild = stem.rlike(r"^[0-9][0-9_.-]*$") | (stem.rlike(r"^[0-9a-fA-F-]{8,}$") & stem.rlike("[0-9]"))
-    return F.when(segment.isNull(), NONE).when(wild, F.concat(F.lit(WILD), extension)).otherwise(segment)
+    return F.when(wild, F.concat(F.lit(WILD), extension)).otherwise(segment)
 
 
 def _counts_term(part: Column, whole: Column, share: Column) -> Column:
@@ -110,24 +111,26 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
     source = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"))
     host, path = host_and_path(F.col("url"))
     parsed = rule_of(source.select("page", host.alias("host"), path.alias("path")), rules)
-    segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    level = [f"s{k}" for k in range(1, DEPTH + 1)]
-    parsed = parsed.withColumn("segments", segments).select("page", "host", "path", "rule", "rule_verdict", *[_form(F.get("segments", k - 1)).alias(f"s{k}") for k in range(1, DEPTH + 1)])
+    segments = F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), _form)
+    parsed = parsed.select("page", "host", "path", "rule", "rule_verdict", segments.alias("segments"))
 
     marks = labels.select(F.col(id_col).alias("page"), F.col("bad").cast("long").alias("bad")).where("bad is not null").groupBy("page").agg(F.count("*").alias("labelled"), F.sum("bad").alias("bad"))
-    tree = cut(parsed.join(marks, "page", "left").groupBy("host", *level).agg(F.count("*").alias("n"), F.coalesce(F.sum("labelled"), F.lit(0)).alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
-    row = tree.agg(F.sum("labelled"), F.sum("bad")).first()
+    tree = cut(parsed.join(marks, "page", "left").groupBy("host", "segments").agg(F.count("*").alias("n"), F.coalesce(F.sum("labelled"), F.lit(0)).alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
+    row = tree.agg(F.sum("labelled"), F.sum("bad"), F.max(F.size("segments"))).first()
     overall = ((row[1] or 0) + 1.0) / ((row[0] or 0) + 2.0)
 
-    named: list[str] = []
-    for k in range(1, DEPTH + 1):
-        above = ["host", *named]
-        child = tree.groupBy(*above, f"s{k}").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-        parent = child.groupBy(*above).agg(F.sum("n").alias("n_above"), F.sum("labelled").alias("l_above"), F.sum("bad").alias("b_above"), F.count_if(F.col("labelled") > 0).alias("siblings"))
+    above = ["host", "node"]  # node: the template so far
+    tree = tree.withColumn("node", F.lit(NONE))
+    done: list[DataFrame] = []
+    # one level more than the longest path has, for the paths that end there
+    for k in range((row[2] if row[2] is not None else -1) + 1):
+        segment = F.coalesce(F.get("segments", k), F.lit(NONE))
+        child = tree.groupBy(*above, segment.alias("segment")).agg(F.count("*").alias("paths"), F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+        parent = child.groupBy(*above).agg(F.sum("paths").alias("paths_above"), F.sum("n").alias("n_above"), F.sum("labelled").alias("l_above"), F.sum("bad").alias("b_above"), F.count_if(F.col("labelled") > 0).alias("siblings"))
         child = child.join(parent, above)
         common = (F.col("n") >= F.lit(least_share) * F.col("n_above")) | (F.col("labelled") >= least_labels)
         differs = _differs(F.col("labelled"), F.col("bad"), F.col("l_above") - F.col("labelled"), F.col("b_above") - F.col("bad"), F.col("siblings"), z)
-        branch = F.when((F.col(f"s{k}") == NONE) | common | differs, F.col(f"s{k}")).otherwise(F.lit(WILD))
+        branch = F.when((F.col("segment") == NONE) | common | differs, F.col("segment")).otherwise(F.lit(WILD))
         placed = child.withColumn("branch", branch)
         nodes = placed.groupBy(*above, "branch").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"), F.first("l_above").alias("la"), F.first("b_above").alias("ba"))
         prior = (F.col("ba") + smooth * overall) / (F.col("la") + smooth)
@@ -139,19 +142,27 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
         nodes = nodes.join(listed, [*above, "ended"]).withColumn("cluster", F.size(F.filter("starts", lambda s: s <= F.col("me"))))
         members = F.array_sort(F.collect_list("branch"))
         more = F.when(F.size(members) > NAMES, F.concat(F.lit("|+"), (F.size(members) - NAMES).cast("string"))).otherwise("")
-        clusters = nodes.groupBy(*above, "ended", "cluster").agg(F.concat(F.array_join(F.slice(members, 1, NAMES), "|"), more).alias(f"t{k}"))
-        merged = nodes.join(clusters, [*above, "ended", "cluster"]).select(*above, "branch", f"t{k}")
-        names = placed.select(*above, f"s{k}", "branch").join(merged, [*above, "branch"]).select(*above, f"s{k}", f"t{k}")
-        tree = cut(tree.join(names, [*above, f"s{k}"]))
-        named.append(f"t{k}")
+        clusters = nodes.groupBy(*above, "ended", "cluster").agg(F.concat(F.array_join(F.slice(members, 1, NAMES), "|"), more).alias("template"))
+        merged = nodes.join(clusters, [*above, "ended", "cluster"]).select(*above, "branch", "template")
+        names = placed.select(*above, "segment", "branch", "paths_above").join(merged, [*above, "branch"])
+        # below a node with one path nothing is left to tell apart: its segments would all stay as they are
+        lone = F.col("paths_above") == 1
+        rest = F.when(lone, F.expr(f"slice(segments, {k + 1}, greatest(size(segments) - {k}, 0))")).when(F.col("template") == NONE, F.expr("cast(array() as array<string>)")).otherwise(F.array("template"))
+        node = F.array_join(F.concat(F.when(F.col("node") == NONE, F.expr("cast(array() as array<string>)")).otherwise(F.array("node")), rest), "/")
+        tree = tree.withColumn("segment", segment).join(names, [*above, "segment"])
+        tree = cut(tree.select("host", "segments", node.alias("node"), "n", "labelled", "bad", (lone | (F.col("segment") == NONE)).alias("finished")))
+        done.append(tree.where("finished").drop("finished"))
+        tree = tree.where("not finished").drop("finished")
+        if tree.isEmpty():
+            break
+    tree = reduce(DataFrame.unionByName, done) if done else tree
 
     hosts = tree.groupBy("host").agg(F.sum("labelled").alias("l_host"), F.sum("bad").alias("b_host"))
-    leaves = tree.groupBy("host", *named).agg(F.sum("labelled").alias("l_leaf"), F.sum("bad").alias("b_leaf")).join(hosts, "host")
+    leaves = tree.groupBy(*above).agg(F.sum("labelled").alias("l_leaf"), F.sum("bad").alias("b_leaf")).join(hosts, "host")
     host_rate = (F.col("b_host") + smooth * overall) / (F.col("l_host") + smooth)
     leaves = leaves.withColumn("bad_rate", (F.col("b_leaf") + smooth * host_rate) / (F.col("l_leaf") + smooth))
-    judged = tree.select("host", *level, *named).join(leaves, ["host", *named])
-    shown = F.concat_ws("/", "host", F.array_join(F.filter(F.array(*named), lambda t: t != NONE), "/"))
-    judged = judged.select("host", *level, shown.alias("template"), F.col("l_leaf").alias("n_labelled"), "bad_rate")
-    return parsed.join(judged, ["host", *level]).select(
+    judged = tree.select("segments", *above).join(leaves, above)
+    judged = judged.select("host", "segments", F.concat_ws("/", "host", "node").alias("template"), F.col("l_leaf").alias("n_labelled"), "bad_rate")
+    return parsed.join(judged, ["host", "segments"]).select(
         F.col("page").alias(id_col), "host", "path", "rule", F.coalesce("rule_verdict", F.when(F.col("bad_rate") > reject_over, "block").otherwise("allow")).alias("verdict"), "template", "n_labelled", "bad_rate"
     )
