@@ -157,6 +157,13 @@ def test_leaks(spark):
     assert got == {(3, 1), (4, 1), (5, 1), (6, 2), (7, 2), (8, 5), (11, 1), (11, 2)}
 
 
+def test_leaks_of_slots_alone(spark):
+    """Numbers and names are found as they are, and not with other values."""
+    items = [(1, "What is 12 + 7 - 3 * 5?"), (2, "3 1 4 1 5 9 2 6 5 3 5 8"), (3, "name Alice Bob Carol Dave Erin Frank Grace Heidi Ivan Judy")]
+    texts = ["so what is 12 + 7 - 3 * 5? yes", "so what is 13 + 8 - 4 * 6? yes", "pi has 3 1 4 1 5 9 2 6 5 3 5 8 and more", "and 3 1 4 1 5 8 2 7 5 3 5 8 is none", "they name Alice Bob Carol Dave Erin Frank Grace Heidi Ivan Judy again"]
+    assert leaked(spark, texts, items) == {(0, 1), (2, 2), (4, 3)}
+
+
 def test_leaks_brute_force(spark):
     """Without slots the operator is: half of the item's word windows stand in the document."""
     r = random.Random(7)

@@ -7,7 +7,9 @@ its slots are then checked: where the item repeats a value, the document must re
 the slots. An item with fewer than ``width`` words is one window of its own length.
 
 A number is a word with a digit. A unit is a word of UNITS after a number. A name is a capitalised word that does not
-begin a text, a line or a sentence. Windows with fewer than half literal words say too little and are not used.
+begin a text, a line or a sentence. The template of a window with fewer than half literal words says too little, so
+such a window is found by its literal words only; every window is found by these too. ``least_cover`` is met either
+among the windows with a template or among all, and the figures reported are those of the first that is.
 
 The hash join's build side is the benchmark, taken in blocks of at most ``block_chars`` characters, so what is
 broadcast has a bound; all documents are held against each block.
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from umbra.llm import text as tx
 
-NUMBER, NAME, UNIT = (tx.mix(np.array([k], np.uint64))[0] for k in (101, 102, 103))
+NUMBER, NAME, UNIT, LITERAL = (tx.mix(np.array([k], np.uint64))[0] for k in (101, 102, 103, 104))
 #: Words that are units after a number.
 UNITS = "kg g mg lb lbs oz km m cm mm mi ft in yd s sec secs second seconds ms min mins minute minutes h hr hrs hour hours day days week weeks month months year years dollar dollars euro euros usd eur cent cents percent meter meters metre metres kilometer kilometers kilometre kilometres mile miles foot feet inch inches pound pounds gram grams kilogram kilograms liter liters litre litres l ml mph kph kmh c f degrees".split()
 LETTER = np.ones(256, bool)
@@ -89,17 +91,21 @@ class Templates:
         self.code[name] = NAME
         self.code[unit] = UNIT
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, hashes) of all windows of width words within one text and with enough literal words."""
+    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, hashes, template) of all windows of width words within one text.
+
+        Each has a hash of its literal words (template 0), and one of its template (1) if half its words are literal.
+        """
         m = len(self.code) - width + 1
         if m <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, tx.U64)
-        hashes = tx.window_hashes(self.code, width)
+            return np.zeros(0, np.int64), np.zeros(0, tx.U64), np.zeros(0, bool)
         slots = np.concatenate([[0], np.cumsum(self.slot)])
         text = np.repeat(np.arange(len(self.count)), self.count)
-        fine = (text[:m] == text[width - 1 :]) & (2 * (slots[width:] - slots[:-width]) <= width)
-        at = np.flatnonzero(fine)
-        return at, hashes[at]
+        inside = text[:m] == text[width - 1 :]
+        every = np.flatnonzero(inside)
+        some = np.flatnonzero(inside & (2 * (slots[width:] - slots[:-width]) <= width))
+        hashes = [tx.window_hashes(self.value, width)[every] ^ LITERAL, tx.window_hashes(self.code, width)[some]]
+        return np.concatenate([every, some]), np.concatenate(hashes), np.arange(len(every) + len(some)) >= len(every)
 
 
 _units: list[np.ndarray] = []
@@ -130,19 +136,24 @@ class Index:
         self.items = [i for i, _ in items]
         self.value, self.slot, self.first = t.value, t.slot, t.first
         text = np.repeat(np.arange(len(t.count)), t.count)
-        hashes, entries, sizes = [], [], []
+        hashes, entries, sizes, light = [], [], [], np.zeros(len(t.code), bool)
         for size in sorted({width, *(int(c) for c in t.count if least_words <= c < width)}):
-            at, h = t.windows(size)
+            at, h, template = t.windows(size)
             own = t.count[text[at]] if len(at) else np.zeros(0, np.int64)
             keep = own >= width if size == width else own == size
             hashes.append(h[keep])
             entries.append(at[keep])
             sizes.append(np.full(int(keep.sum()), size))
+            light[at[keep & template]] = True
         self.hash, self.at, self.size = map(np.concatenate, (hashes, entries, sizes))
         order = np.argsort(self.hash, kind="stable")
         self.hash, self.at, self.size = self.hash[order], self.at[order], self.size[order]
         self.item = text[self.at] if len(self.at) else np.zeros(0, np.int64)
-        self.total = np.bincount(self.item, minlength=len(items))
+        # each window of an item counts once, and so does each that has a template
+        self.light = light
+        once = np.unique(self.at)
+        self.total = np.bincount(text[once], minlength=len(items))
+        self.total_light = np.bincount(text[once[light[once]]], minlength=len(items))
         self.widths = sorted(set(self.size.tolist()))
 
 
@@ -155,22 +166,25 @@ def matches(column: pa.Array, index: Index, least_cover: float, least_agree: flo
         text = np.repeat(np.arange(j - i), t.count)
         pairs = []
         for width in index.widths:
-            at, h = t.windows(width)
+            at, h, _ = t.windows(width)
             low, high = np.searchsorted(index.hash, h), np.searchsorted(index.hash, h, side="right")
             hit = np.flatnonzero(high > low)
             for p, a, b in zip(at[hit].tolist(), low[hit].tolist(), high[hit].tolist()):
                 pairs += [(int(text[p]), int(index.item[e]), int(index.at[e]), p, width) for e in range(a, b) if index.size[e] == width]
-        pairs.sort()
+        pairs = sorted(set(pairs))
         k = 0
         while k < len(pairs):
             e = k
             while e < len(pairs) and pairs[e][:2] == pairs[k][:2]:
                 e += 1
             row, item = pairs[k][:2]
-            found = len({p[2] for p in pairs[k:e]})
-            if found >= least_cover * index.total[item]:
-                slots, agree = _slots(index, t, pairs[k:e])
-                out.append((i + row, item, found, int(index.total[item]), slots, agree, agree >= least_agree * slots))
+            places = {p[2] for p in pairs[k:e]}
+            light = sum(bool(index.light[q]) for q in places)
+            for found, total in ((light, int(index.total_light[item])), (len(places), int(index.total[item]))):
+                if found and found >= least_cover * total:
+                    slots, agree = _slots(index, t, pairs[k:e])
+                    out.append((i + row, item, found, total, slots, agree, agree >= least_agree * slots))
+                    break
             k = e
     return out
 
