@@ -164,6 +164,13 @@ def test_leaks_of_slots_alone(spark):
     assert leaked(spark, texts, items) == {(0, 1), (2, 2), (4, 3)}
 
 
+def test_leaks_in_running_text(spark):
+    """The first word of an item is no name and no unit, also where the words before make it look like one."""
+    items = [(1, "What is the capital of France"), (2, "Minutes make up how many of the hours")]
+    texts = ["Q) What is the capital of France", "Q) What is the capital of Spain", "part 3 Minutes make up how many of the hours", "Q) Where is the capital of France"]
+    assert leaked(spark, texts, items) == {(0, 1), (1, 1), (2, 2)}
+
+
 def test_leaks_brute_force(spark):
     """Without slots the operator is: half of the item's word windows stand in the document."""
     r = random.Random(7)

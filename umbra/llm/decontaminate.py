@@ -7,7 +7,8 @@ its slots are then checked: where the item repeats a value, the document must re
 the slots. An item with fewer than ``width`` words is one window of its own length.
 
 A number is a word with a digit. A unit is a word of UNITS after a number. A name is a capitalised word that does not
-begin a text, a line or a sentence. The template of a window with fewer than half literal words says too little, so
+begin a text, a line or a sentence; the first word of a window is also read as literal, whatever stands before it, so
+an item's first window is found in running text. The template of a window with fewer than half literal words says too little, so
 such a window is found by its literal words only; every window is found by these too. ``least_cover`` is met either
 among the windows with a template or among all, and the figures reported are those of the first that is.
 
@@ -86,6 +87,7 @@ class Templates:
             unit[self.first[self.count > 0]] = False
         name &= ~unit
         self.slot = number | name | unit
+        self.context = name | unit
         self.code = self.value.copy()
         self.code[number] = NUMBER
         self.code[name] = NAME
@@ -94,7 +96,7 @@ class Templates:
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(starts, hashes, template) of all windows of width words within one text.
 
-        Each has a hash of its literal words (template 0), and one of its template (1) if half its words are literal.
+        Each has a hash of its literal words (template 0), and one or two of its template (1) if half its words are literal.
         """
         m = len(self.code) - width + 1
         if m <= 0:
@@ -104,8 +106,13 @@ class Templates:
         inside = text[:m] == text[width - 1 :]
         every = np.flatnonzero(inside)
         some = np.flatnonzero(inside & (2 * (slots[width:] - slots[:-width]) <= width))
-        hashes = [tx.window_hashes(self.value, width)[every] ^ LITERAL, tx.window_hashes(self.code, width)[some]]
-        return np.concatenate([every, some]), np.concatenate(hashes), np.arange(len(every) + len(some)) >= len(every)
+        # names and units depend on the word before, so a window is also read as if nothing stood before it
+        bare = np.flatnonzero(inside & self.context[:m] & (2 * (slots[width:] - slots[1 : m + 1]) <= width))
+        codes = self.code[bare[:, None] + np.arange(width)]
+        codes[:, 0] = self.value[bare]
+        read = np.array([], tx.U64) if not len(bare) else tx.window_hashes(codes.reshape(-1), width)[::width]
+        hashes = [tx.window_hashes(self.value, width)[every] ^ LITERAL, tx.window_hashes(self.code, width)[some], read]
+        return np.concatenate([every, some, bare]), np.concatenate(hashes), np.arange(len(every) + len(some) + len(bare)) >= len(every)
 
 
 _units: list[np.ndarray] = []
