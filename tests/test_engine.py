@@ -188,3 +188,15 @@ def test_reports(spark):
     hits = spark.createDataFrame([("leakage", f"f{k:02d}", "person", "Ann", "c") for k in range(12)], verify.HIT)
     text = reports.verification(hits, verify.report(hits))
     assert "leakage: FAILED, 12 hits" in text and "... and 2 more" in text and "rescan: passed" in text
+
+
+def test_mapping_over_the_limit(spark):
+    """Beyond the limit leak checks and replacement give the rows they give below it."""
+    rows = [("a@x.org", "[EMAIL_001]", "email"), ("mail", "[WORD_002]", "word"), ("Bo", "[PERSON_001]", "person"), ("7", "[NUMBER_001]", "number"), ("Ann Lee", "[PERSON_002]", "person"), ("ann", "[PERSON_003]", "person"), ("\u0130zmir", "[PLACE_001]", "place")]
+    mapping = spark.createDataFrame(rows, "original string, placeholder string, entity_type string")
+    texts = spark.createDataFrame([(1, "Write A@X.ORG, or bo at 7 of ann lee; Ann"), (2, None), (3, ""), (4, "7"), (5, "nothing here"), (6, "an \u0130zmir mail to Bob")], "path long, text string")
+    for mode in ("sequential", "single_pass"):
+        few, many = ({r["path"]: r["cleaned"] for r in replace.apply(texts, mapping, mode=mode, limit=k).collect()} for k in (100, 3))
+        assert few == many and few[4] != "7"
+    few, many = (sorted(map(tuple, verify.leaks(texts, mapping, limit=k).collect())) for k in (100, 3))
+    assert few == many and len(few) > 5

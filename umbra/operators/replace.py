@@ -31,7 +31,7 @@ def ordered(mapping: DataFrame) -> list[tuple[str, str]]:
 def apply(texts: DataFrame, mapping: DataFrame, text: str = "text", into: str = "cleaned", mode: str = "sequential", limit: int = LIMIT) -> DataFrame:
     """texts with column ``into``; mode single_pass never looks into what it has put in."""
     if mapping.limit(limit + 1).count() > limit:
-        return _apply_joined(texts, mapping, text, into)
+        return _apply_joined(texts, mapping, text, into, mode)
     entries = ordered(mapping)
     if not entries:
         return texts.withColumn(into, F.col(text))
@@ -69,6 +69,8 @@ def apply(texts: DataFrame, mapping: DataFrame, text: str = "text", into: str =
 
 def _scanner(values: list[str]):
     """Which values occur in a text, as a set of their numbers."""
+    if not values:
+        return lambda low: set()
     try:
         import ahocorasick
     except ImportError:
@@ -80,16 +82,58 @@ def _scanner(values: list[str]):
     return lambda low: {k for _, ks in machine.iter(low) for k in ks}
 
 
-def _apply_joined(texts: DataFrame, mapping: DataFrame, text: str, into: str) -> DataFrame:
-    """For mappings too large to broadcast: candidates meet on the least three-character window of the entry."""
-    grams = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda k: F.substring(c, k, F.lit(3)))
+def _apply_joined(texts: DataFrame, mapping: DataFrame, text: str, into: str, mode: str = "sequential") -> DataFrame:
+    """For mappings too large to broadcast: candidates meet on the least three-character window of the entry.
+
+    Shorter entries meet on themselves. Entries that occur within placeholders go to each text that has any other, as
+    in apply; the driver holds these and the names of the placeholders.
+    """
+    mapping = mapping.where("original <> ''")
+    lengths = sorted({r[0] for r in mapping.select(F.least(F.length(F.col("original")), F.lit(3))).distinct().collect()} | {3})
+    names = "".join(sorted({r["placeholder"] for r in mapping.select("placeholder").distinct().collect()})).lower()
+    signs = set(names)
+
+    @F.pandas_udf("array<string>")
+    def windows(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: sorted({v[k : k + n] for v in (v.lower(),) for n in lengths for k in range(len(v) - n + 1)}), na_action="ignore")
+
+    @F.pandas_udf("string")
+    def least(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: min(v[k : k + 3] for v in (v.lower(),) for k in range(max(len(v) - 2, 1))))
+
+    @F.pandas_udf("boolean")
+    def within(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: set(v.lower()) <= signs and v.lower() in names)
+
+    inside = ordered(mapping.select("original", "placeholder", "entity_type").where(within("original"))) if mode != "single_pass" else []
+
+    @F.pandas_udf("string")
+    def cleaned(values: pd.Series, near: pd.Series) -> pd.Series:
+        def one(t, entries):
+            if t is None or entries is None:
+                return t
+            low = t.lower()
+            found = {(e["original"], e["placeholder"]) for e in entries if e["original"].lower() in low}
+            if not found:
+                return t
+            order = lambda e: (-len(e[0]), e[1], e[0])
+            if mode == "single_pass":
+                by_low: dict[str, str] = {}
+                for o, p in sorted(found, key=order):
+                    by_low.setdefault(o.lower(), p)
+                return re.sub("|".join(re.escape(o) for o, _ in sorted(found, key=order)), lambda m: by_low.get(m.group().lower(), m.group()), t, flags=re.IGNORECASE)
+            for o, p in sorted(found | set(inside), key=order):
+                t = re.sub(re.escape(o), p, t, flags=re.IGNORECASE)
+            return t
+
+        return pd.Series([one(t, e) for t, e in zip(values, near)], dtype=object)
+
     keyed = texts.withColumn("__row", F.monotonically_increasing_id())
-    low = F.lower(F.col(text))
-    asked = keyed.select("__row", F.explode(F.array_distinct(grams(low))).alias("gram"))
-    entries = mapping.select("original", "placeholder", F.array_min(grams(F.lower("original"))).alias("gram"))
-    near = asked.join(entries, "gram").groupBy("__row").agg(F.collect_set(F.struct((-F.length("original")).alias("o"), "placeholder", "original")).alias("entries"))
+    asked = keyed.select("__row", F.explode(windows(F.col(text))).alias("gram"))
+    entries = mapping.select("original", "placeholder", least("original").alias("gram"))
+    near = asked.join(entries, "gram").groupBy("__row").agg(F.collect_set(F.struct("placeholder", "original")).alias("entries"))
     joined = keyed.join(near, "__row", "left")
-    return joined.withColumn(into, F.when(F.col("entries").isNull(), F.col(text)).otherwise(replace_all(F.col(text), F.array_sort("entries")))).drop("__row", "entries")
+    return joined.withColumn(into, cleaned(F.col(text), F.col("entries"))).drop("__row", "entries")
 
 
 def columns_only(text: Column, entries: list[tuple[str, str]]) -> Column:

@@ -23,9 +23,18 @@ def is_text_file(path: Column) -> Column:
 
 
 def leaks(texts: DataFrame, mapping: DataFrame, path: str = "path", text: str = "text", limit: int = LIMIT) -> DataFrame:
-    """Each place where an original of two characters or more is left, in any case, as HIT with start."""
+    """Each place where an original of two characters or more is left, in any case, as HIT with start.
+
+    A mapping over the limit is checked in blocks of about half of it, all texts against each.
+    """
     if mapping.limit(limit + 1).count() > limit:
-        raise ValueError("the mapping is over the limit; check it in parts")
+        many = -(-2 * mapping.count() // limit)
+        blocks = [mapping.where(F.pmod(F.xxhash64("original"), F.lit(many)) == k) for k in range(many)]
+        return reduce(DataFrame.unionByName, [_leaks_of(texts, b, path, text) for b in blocks])
+    return _leaks_of(texts, mapping, path, text)
+
+
+def _leaks_of(texts: DataFrame, mapping: DataFrame, path: str, text: str) -> DataFrame:
     kinds = {r["original"]: r["entity_type"] for r in mapping.select("original", "entity_type").collect()}
     entries = [o for o, _ in ordered(mapping) if len(o) >= 2]
 
