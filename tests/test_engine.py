@@ -200,3 +200,23 @@ def test_mapping_over_the_limit(spark):
         assert few == many and few[4] != "7"
     few, many = (sorted(map(tuple, verify.leaks(texts, mapping, limit=k).collect())) for k in (100, 3))
     assert few == many and len(few) > 5
+
+
+def test_all_consolidations(spark, monkeypatch):
+    """The query returns similar companies too, as all pairs by SequenceMatcher do."""
+    from difflib import SequenceMatcher
+
+    from umbra.plans import catalogue
+
+    names = ["Acme Corp", "acme corp", "Acme Corps", "Akme Corp", "Acme Incorporated", "Beta LLC"]
+    groups = spark.createDataFrame([(f"{c} - {p} {k}", c, p) for k, c in enumerate(names) for p in ("Pro", "Mini")], "project_name string, company string, product string")
+    monkeypatch.setattr(catalogue, "_projects", lambda *_: None)
+    monkeypatch.setattr(catalogue.catalog, "groups", lambda _: groups)
+    got = {(r["project_name_a"], r["project_name_b"]): r["confidence"] for r in catalogue.QUERIES["j5_consolidations_all"](spark, "").collect()}
+    rows, want = [tuple(r) for r in groups.collect()], {}
+    for a, ca, pa in rows:
+        for b, cb, pb in rows:
+            like = SequenceMatcher(None, ca.lower(), cb.lower()).ratio()
+            if a < b and pa == pb and like >= 0.8:
+                want[a, b] = pytest.approx(0.9 * like)
+    assert got == want and any(v < 0.9 for v in got.values())

@@ -290,6 +290,12 @@ def j5_consolidations(spark, sf_dir):
     return discriminate.consolidations(catalog.groups(_projects(spark, sf_dir))).where("confidence = 0.9")
 
 
+@query()
+def j5_consolidations_all(spark, sf_dir):
+    """With the projects of similar company names; tested by brute force."""
+    return discriminate.consolidations(catalog.groups(_projects(spark, sf_dir)))
+
+
 _KIND = "case " + " ".join(f"when lower({_SUFFIX}) in ({', '.join(repr(e) for e in v.split())}) then '{k}'" for k, v in lx.EXTENSIONS.items()) + " else 'other' end"
 
 
@@ -431,6 +437,20 @@ def f8_resolve(spark, sf_dir):
     return mp.resolve(asked, _mapping(spark, sf_dir)[1])
 
 
+@query(f"with recursive {_SEEN}, {_MAPPED} select s.path as doc_id, m.key is not null as known, m.placeholder from seen s left join mapping m on lower(trim(s.value)) = m.key")
+def f7_get_mapping_all(spark, sf_dir):
+    """Every match of every document."""
+    flags, mapping = _mapping(spark, sf_dir)
+    return mp.get_mapping(flags.select(F.col("path").alias("doc_id"), "value"), mapping).select("doc_id", F.col("placeholder").isNotNull().alias("known"), "placeholder")
+
+
+@query(f"with recursive {_SEEN}, {_MAPPED} select placeholder, original from mapping")
+def f8_resolve_all(spark, sf_dir):
+    """Every placeholder of the mapping."""
+    mapping = _mapping(spark, sf_dir)[1]
+    return mp.resolve(mapping.select("placeholder"), mapping)
+
+
 # verification
 
 
@@ -515,6 +535,14 @@ def j9_overlap(spark, sf_dir):
     return evaluate.overlap(a, b)
 
 
+@query("with a as (select distinct lower(p_type) as v from part union select distinct lower(split_part(p_name, ' ', 1)) from part), b as (select distinct lower(p_name) as v from part), both_of as (select a.v from a, b where contains(a.v, b.v) or contains(b.v, a.v) union select b.v from a, b where contains(a.v, b.v) or contains(b.v, a.v)) select v as value, 'both' as side from both_of union all select v, 'only_a' from a where v not in (select v from both_of) union all select v, 'only_b' from b where v not in (select v from both_of)")
+def j9_overlap_all(spark, sf_dir):
+    """Whole columns."""
+    part = table(spark, sf_dir, "part")
+    a = part.select(F.lower("p_type").alias("value")).union(part.select(F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))))).distinct()
+    return evaluate.overlap(a, part.select(F.lower("p_name").alias("value")).distinct())
+
+
 @query("select doc_id, case when length(text) > 4000 then substring(text, 1, 4000) || chr(10) || '... (truncated)' else text end as text from documents")
 def x18_truncate(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", evaluate.truncated(F.col("text")).alias("text"))
