@@ -43,7 +43,9 @@ def test_jaccard_tree_over_many_leaves():
             sets.append(np.unique(x))
     sets.sort(key=len)
     label = np.arange(len(sets))
-    links = jaccard.tree_join(sets, label, None, None, 75)
+    size = jaccard.resolution(max(map(len, sets)))
+    bits, sizes = np.stack([jaccard.bitmap(s, size) for s in sets]), np.array([len(s) for s in sets])
+    links = jaccard.tree_join((bits,), (sizes,), (label,), 75, lambda i, j: jaccard.similar(sets[i], sets[j], 75))
     rows = [(i, None) for i in range(len(sets))]
     parent = list(range(len(rows)))
 
@@ -64,11 +66,19 @@ def test_jaccard_tree_over_many_leaves():
                 p, q = sorted((find(a), find(b)))
                 parent[q] = p
     assert got == [find(x) for x in label]
-    size = jaccard.resolution(max(map(len, sets)))
-    kept = jaccard.with_partner(np.stack([jaccard.bitmap(s, size) for s in sets]), np.array([len(s) for s in sets]), 75)
+    allowed = list(range(len(sets)))
+    for a, b in jaccard.tree_join((bits,), (sizes,), (label,), 75, lambda i, j: True):
+        parent[:] = allowed
+        p, q = sorted((find(a), find(b)))
+        allowed[q] = p
+    parent[:] = allowed
     for a in range(len(sets)):
-        if any(a != b and jaccard.similar(sets[a], sets[b], 75) for b in range(len(sets))):
-            assert kept[a]
+        for b in range(a):
+            if jaccard.similar(sets[a], sets[b], 75):
+                assert find(a) == find(b)
+    left, right = np.arange(0, 400, 2), np.arange(1, 400, 2)
+    across = jaccard.tree_join((bits[left], bits[right]), (sizes[left], sizes[right]), (label[left], label[right]), 75, lambda i, j: jaccard.similar(sets[left[i]], sets[right[j]], 75))
+    assert across and all(jaccard.similar(sets[left[i]], sets[right[j]], 75) for i, j in across)
     assert (jaccard.folded(jaccard.bitmap(sets[0], 4096), 16) == jaccard.bitmap(sets[0], 1024)).all()
 
 

@@ -6,15 +6,17 @@
    are parted where their sizes are too different. Frequent shingles, which a bounded summary of counts names, come last in the
    order, so a shared passage or line draws no crowd. The sets that hold a routing shingle go to the bucket of its
    smallest holder, each once for a bucket however many shingles lead there.
-3. In a bucket, sets are leaves of a signature tree: a node holds the OR of its leaves' token bitmaps, their range of
-   sizes and the most tokens of a leaf that share a bit with another of its tokens. Two nodes are descended only if
-   the greatest overlap these allow can reach the threshold. A first traversal needs the bitmaps alone; sets without
-   any possible partner leave the bucket before a shingle is sent. A second one compares the leaves it reaches exactly
-   and skips what is one component already.
-4. Each set goes to its largest bucket first; a bucket over ``block`` sets (or 32 MB) is dealt out over blocks, with
-   its first set in each, and its blocks are held against each other. Then come the buckets that are not one component
-   by now and whose sets have not all met in one bucket. There, the sets that are not in a bucket's largest component
-   are held against all its blocks, as queries, so that no link is lost.
+3. In a bucket, the sets' bitmaps are leaves of a signature tree: a node holds the OR of its leaves' token bitmaps,
+   their range of sizes and the most tokens of a leaf that share a bit with another of its tokens. Two nodes are
+   descended only if the greatest overlap these allow can reach the threshold. The leaf pairs that are reached can be
+   links; a bucket tells a forest that joins what such pairs join. The components of all forests are families: two
+   linked sets are of one family, and a set is of one only.
+4. So a set of shingles is sent once, to its family. There a tree compares the leaf pairs it reaches exactly, and
+   skips what is one component already.
+
+Both joins are dealt out alike: a group over ``block`` sets (or 32 MB) is spread over blocks, with its first set in
+each. The sets that are then not of the group's largest component are held against all of the group, block by block, so
+no task holds more than two blocks and no link is lost.
 
 Rows: a null text or one without a word has an empty set and links with nothing; a text with fewer than ``width``
 words has its whole sequence as one shingle. Repeated rows share a class. The least id names a component, so ties
@@ -265,40 +267,39 @@ def descend(one: SignatureTree, two: SignatureTree, percent: int, visit, done) -
     down(len(one.levels) - 1, len(two.levels) - 1, p, q)
 
 
-def with_partner(bits: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Which leaves can be similar enough to another leaf, as far as bitmaps tell; sizes ascend."""
-    tree, marked = SignatureTree(bits, sizes), np.zeros(len(bits), bool)
-
-    def visit(i: np.ndarray, j: np.ndarray) -> None:
-        marked[i] = True
-        marked[j] = True
-
-    descend(tree, tree, percent, visit, lambda x, y, n, m: marked[x : x + n].all() and marked[y : y + m].all())
-    return marked
+def by_signature(bits: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """An order of bitmaps in which alike ones are near, so that the nodes above them stay sparse: by their first bits
+    in three fixed orders of the words, then by size."""
+    words, firsts = bits.shape[1], []
+    for k in range(3):
+        turned = bits[:, (np.arange(words) * (2 * k + 1) + 5 * k) % words]
+        at = (turned != 0).argmax(1)
+        word = turned[np.arange(len(bits)), at]
+        firsts.append(at * 64 + np.bitwise_count((word & (~word + tx.U64(1))) - tx.U64(1)))
+    return np.lexsort((sizes, *firsts[::-1]))
 
 
-def tree_join(left: list[np.ndarray], left_label: np.ndarray, right: list[np.ndarray] | None, right_label: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
-    """Links (leaf of left, leaf of right; of left itself if right is None) that join all linked leaves' labels.
+def tree_join(bits: tuple, sizes: tuple, labels: tuple, percent: int, verify) -> list[tuple[int, int]]:
+    """Links (leaf of the first side, leaf of the second) that join the labels of all linked leaves.
 
-    Labels that are equal from the start, or become so by a link, are not compared: the links span the components.
+    bits, sizes, labels: of the leaves of each side, or of one side that is joined with itself. Labels that are equal
+    from the start, or become so by a link, are not compared: the links span the components. verify(i, j) tells
+    whether a pair that the bitmaps allow is a link.
     """
-    own = right is None
-    size = resolution(max(map(len, left if own else [*left, *right])))
-
-    def tree(sets: list[np.ndarray]) -> SignatureTree:
-        return SignatureTree(np.stack([bitmap(s, size) for s in sets]), np.array([len(s) for s in sets], np.int64))
-
-    one = tree(left)
-    two = one if own else tree(right)
-    right = left if own else right
-    a = left_label.copy()
-    b = a if own else right_label.copy()
+    own = len(bits) == 1
+    orders = [by_signature(b, n) for b, n in zip(bits, sizes)]
+    trees = [SignatureTree(b[o], n[o]) for b, n, o in zip(bits, sizes, orders)]
+    one, two = trees[0], trees[-1]
+    back, forth = orders[0], orders[-1]
+    a = labels[0][back].copy()
+    b = a if own else labels[-1][forth].copy()
     links: list[tuple[int, int]] = []
 
     def visit(i: np.ndarray, j: np.ndarray) -> None:
-        for x, y in zip(i.tolist(), j.tolist()):
-            if a[x] != b[y] and similar(left[x], right[y], percent):
-                links.append((x, y))
+        apart = a[i] != b[j]
+        for x, y in zip(i[apart].tolist(), j[apart].tolist()):
+            if a[x] != b[y] and verify(back[x], forth[y]):
+                links.append((int(back[x]), int(forth[y])))
                 old, new = b[y], a[x]
                 b[b == old] = new
                 if not own:
@@ -311,44 +312,31 @@ def tree_join(left: list[np.ndarray], left_label: np.ndarray, right: list[np.nda
     return links
 
 
-def _screened(percent: int):
-    """Groups (pivot) of rows (pivot, doc, n, bits) to the rows (pivot, doc, n) with a possible partner."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for group in sorted_groups(batches, ["pivot"]):
-            group = group.sort_by([("n", "ascending"), ("doc", "ascending")])
-            maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["bits"]]
-            n = group["n"].to_numpy()
-            words = min(map(len, maps))
-            keep = with_partner(np.stack([folded(x, words) for x in maps]), n, percent)
-            if keep.any():
-                out.append((group["pivot"].to_numpy()[keep], group["doc"].to_numpy()[keep], n[keep]))
-            if len(out) > 500:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["pivot", "doc", "n"])
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["pivot", "doc", "n"])
-
-    return run
-
+def _joined(percent: int, exact: bool):
+    """Groups (pivot, block, part) of rows (side, doc, label, n, payload) to links between docs.
 
-def _joined(percent: int):
-    """Groups (pivot, block) of rows (query, doc, label, shingles) to links between docs."""
+    payload is a bitmap or, if exact, a set of shingles. Rows of side 0 are joined with one another, or with those of
+    side 1 if there are some.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
-        for group in sorted_groups(batches, ["pivot", "block"]):
-            group = group.sort_by([("n", "ascending"), ("doc", "ascending")])
-            docs, labels = group["doc"].to_numpy(), group["label"].to_numpy()
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["shingles"]]
-            asks = group["query"].to_numpy(zero_copy_only=False)
-            if asks.any():
-                x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
-                if len(x) and len(y):
-                    found += [(docs[x[i]], docs[y[j]]) for i, j in tree_join([sets[k] for k in x], labels[x], [sets[k] for k in y], labels[y], percent)]
+        for group in sorted_groups(batches, ["pivot", "block", "part"]):
+            docs, labels, n, side = (group[c].to_numpy() for c in ("doc", "label", "n", "side"))
+            held = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["payload"]]
+            if exact:
+                size = resolution(int(n.max()))
+                bits = np.stack([bitmap(s, size) for s in held])
             else:
-                found += [(docs[i], docs[j]) for i, j in tree_join(sets, labels, None, None, percent)]
+                words = min(map(len, held))
+                bits = np.stack([folded(x, words) for x in held])
+            parts = [np.flatnonzero(side == k) for k in (0, 1)] if side.any() else [np.arange(len(docs))]
+            if not all(map(len, parts)):
+                continue
+            first, last = parts[0], parts[-1]
+            check = (lambda i, j: similar(held[first[i]], held[last[j]], percent)) if exact else lambda i, j: True
+            links = tree_join(tuple(bits[p] for p in parts), tuple(n[p] for p in parts), tuple(labels[p] for p in parts), percent, check)
+            found += [(docs[first[i]], docs[last[j]]) for i, j in links]
             if len(found) > 10000:
                 yield _pairs(found)
                 found = []
@@ -371,11 +359,46 @@ def _shingles(width: int):
                 rows.append(k)
                 sets.append(s.tobytes())
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(sets, pa.binary())], ["doc", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(sets, pa.binary())], ["doc", "payload"])
 
     return run
 
 
+def spread_join(rows: DataFrame, payloads: DataFrame, block: int, bytes_each: float, percent: int, exact: bool) -> DataFrame:
+    """(node, component) of every doc with a link, of rows (pivot, doc, n) with payloads (doc, payload).
+
+    Rows of a pivot are compared with one another. bytes_each: of payload for one element of a set.
+    """
+    n = shuffle_partitions(rows.sparkSession)
+    weight = rows.groupBy("pivot").agg(F.count("*").alias("many"), F.sum("n").alias("total"), F.min("doc").alias("lead")).where("many > 1")
+    blocks = F.greatest(F.ceil(F.col("many") / block), F.ceil(F.col("total") * bytes_each / BLOCK_BYTES)).cast("int")
+    placed = cut(rows.join(weight.select("pivot", "lead", blocks.alias("blocks")), "pivot"))
+    own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    columns = ["pivot", "block", "part", "side", "doc", "label", "n"]
+
+    def dealt(x: DataFrame) -> DataFrame:
+        sent = x.select(*columns).join(payloads, "doc").repartition(n, "pivot", "block", "part")
+        return sent.sortWithinPartitions("pivot", "block", "part").mapInArrow(_joined(percent, exact), "a long, b long")
+
+    no = F.lit(0)
+    homed = placed.where("doc <> lead or blocks = 1").select("pivot", own.alias("block"), no.alias("part"), no.alias("side"), "doc", F.col("doc").alias("label"), "n")
+    leads = placed.where("doc = lead and blocks > 1").select("pivot", F.explode(F.sequence(no, F.col("blocks") - 1)).alias("block"), no.alias("part"), no.alias("side"), "doc", F.col("doc").alias("label"), "n")
+    links = cut(dealt(homed.unionByName(leads)))
+    found = components(links)
+    wide = placed.where("blocks > 1")
+    if wide.isEmpty():
+        return found
+
+    labelled = wide.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
+    labels = labelled.groupBy("pivot", "label").agg(F.count("*").alias("many"), F.sum("n").alias("total"))
+    home = labels.groupBy("pivot").agg(F.max_by("label", F.struct("many", "label")).alias("home"), (F.sum("many") - F.max("many")).alias("asks"), (F.sum("total") - F.max("total")).alias("load")).where("asks > 0")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("asks") / block), F.ceil(F.col("load") * bytes_each / BLOCK_BYTES)).cast("int")
+    due = cut(labelled.join(home.select("pivot", "home", parts.alias("parts")), "pivot").select("pivot", "doc", "n", "blocks", "parts", "label", (F.col("label") != F.col("home")).alias("asks")))
+    asks = due.where("asks").select("pivot", F.explode(F.sequence(no, F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("doc", F.lit(1)), F.col("parts")).cast("int").alias("part"), no.alias("side"), "doc", "label", "n")
+    rest = due.select("pivot", own.alias("block"), F.explode(F.sequence(no, F.col("parts") - 1)).alias("part"), F.lit(1).alias("side"), "doc", "label", "n")
+    return components(links.unionByName(cut(dealt(asks.unionByName(rest)))))
+
+
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75, block: int = BLOCK) -> DataFrame:
     """(id_col, n_shingles, component_id) of every row of docs."""
     spark = docs.sparkSession
@@ -393,56 +416,15 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     routes = base.select("text").mapInArrow(_routes(width, percent, hot, level), "shingle long, size long, class long")
     routed = routes.repartition(shuffle_partitions(spark), "shingle").sortWithinPartitions("shingle", "size", "class")
     buckets = routed.mapInArrow(_buckets(percent), "pivot long, class long").distinct()
-    members = cut(buckets.join(classes.select(F.col("h1").alias("class"), "doc", "n"), "class").select("pivot", "class", "doc", "n"))
-
-    many = members.groupBy("pivot").agg(F.count("*").alias("many")).where("many > 1")
-    held = members.join(many, "pivot").select("pivot", "doc", "n", "many")
-    bits = first.where("kind = 0").select("doc", "bits").join(held.select("doc").distinct(), "doc", "left_semi")
-    small = held.where(F.col("many") <= block).select("pivot", "doc", "n").join(bits, "doc").select("pivot", "doc", "n", "bits")
-    small = small.repartition(shuffle_partitions(spark), "pivot").sortWithinPartitions("pivot").mapInArrow(_screened(percent), "pivot long, doc long, n long")
-    left = cut(small.unionByName(held.where(F.col("many") > block).select("pivot", "doc", "n")))
-
-    weight = left.groupBy("pivot").agg(F.count("*").alias("many"), F.sum("n").alias("total"), F.min("doc").alias("lead"))
-    blocks = F.greatest(F.ceil(F.col("many") / block), F.ceil(F.col("total") * 8 / BLOCK_BYTES)).cast("int")
-    placed = cut(left.join(weight.select("pivot", "lead", "many", blocks.alias("blocks")), "pivot"))
-    own_block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    active = cut(left.select("doc").distinct())
-    sets = cut(among(base, active, "doc").join(active, "doc", "left_semi").mapInArrow(_shingles(width), "doc long, shingles binary"))
-    dealt = lambda x: x.repartition(shuffle_partitions(spark), "pivot", "block").sortWithinPartitions("pivot", "block").mapInArrow(_joined(percent), "a long, b long")
-
-    # each set goes to its largest bucket first, which settles most families
-    main = placed.groupBy("doc").agg(F.max_by("pivot", F.struct("many", "pivot")).alias("pivot"))
-    homed = placed.join(main, ["doc", "pivot"]).where("doc <> lead or blocks = 1").select("pivot", own_block.alias("block"), "doc", "n")
-    leads = placed.where("doc = lead and blocks > 1").select("pivot", every.alias("block"), "doc", "n")
-    rows = homed.unionByName(leads).join(sets, "doc").select("pivot", "block", F.lit(False).alias("query"), "doc", F.col("doc").alias("label"), "n", "shingles")
-    links = cut(dealt(rows))
-    found = components(links)
+    members = cut(buckets.join(classes.select(F.col("h1").alias("class"), "doc", "n"), "class").select("pivot", "doc", "n"))
+
+    bits = first.where("kind = 0").select("doc", F.col("bits").alias("payload")).join(members.select("doc").distinct(), "doc", "left_semi")
+    families = spread_join(members, bits, block, 0.5, percent, False)
 
-    def completed(rows: DataFrame, apart: str, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Links and components after the buckets of rows that hold several components, and several values of apart,
-        are done: what is not in a bucket's largest component asks all of it."""
-        labelled = rows.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
-        labels = labelled.groupBy("pivot", "label").agg(F.count("*").alias("many"), F.min(apart).alias("low"), F.max(apart).alias("high"))
-        home = labels.groupBy("pivot").agg(F.max_by("label", F.struct("many", "label")).alias("home"), F.count("*").alias("labels"), F.min("low").alias("low"), F.max("high").alias("high"))
-        home = home.where("labels > 1 and low <> high").select("pivot", "home")
-        due = cut(labelled.join(home, "pivot").select("pivot", "doc", "n", "blocks", "label", own_block.alias("block"), (F.col("label") != F.col("home")).alias("query")))
-        if due.isEmpty():
-            return links, found
-        asks = due.where("query").select("pivot", every.alias("block"), F.lit(True).alias("query"), "doc", "label", "n")
-        rest = due.select("pivot", "block", F.lit(False).alias("query"), "doc", "label", "n")
-        across = asks.unionByName(rest).join(sets, "doc")
-        more = cut(dealt(across.select("pivot", "block", "query", "doc", "label", "n", "shingles")))
-        if more.isEmpty():
-            return links, found
-        all_links = links.unionByName(more)
-        return all_links, components(all_links)
-
-    # next the blocks of one bucket against each other, then the buckets whose sets have not all met in one bucket
-    mains = main.select("doc", F.col("pivot").alias("main"))
-    in_main = placed.join(mains, "doc").select("pivot", "doc", "n", "blocks", "main", own_block.alias("part"))
-    links, found = completed(in_main.where("pivot = main and blocks > 1"), "part", found)
-    links, found = completed(in_main, "main", found)
+    held = cut(families.join(classes.select("doc", "n"), families["node"] == classes["doc"]).select(F.col("component").alias("pivot"), "doc", "n"))
+    active = held.select("doc")
+    sets = cut(among(base, active, "doc").join(active, "doc", "left_semi").mapInArrow(_shingles(width), "doc long, payload binary"))
+    found = spread_join(held, sets, block, 8, percent, True)
 
     named = classes.join(found.withColumnRenamed("node", "doc"), "doc", "left").select("h1", "h2", "n", F.coalesce("component", "doc").alias("component"))
     out = sizes.join(named, ["h1", "h2", "n"], "left")
