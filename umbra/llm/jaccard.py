@@ -178,8 +178,8 @@ def _buckets(percent: int):
 
 
 def resolution(n: int) -> int:
-    """Bits of the bitmap of a set of n: a power of two of 2 n or more, from 1024 to 16384."""
-    return min(1 << 14, max(1 << 10, 1 << (2 * n - 1).bit_length()))
+    """Bits of the bitmap of a set of n: a power of two of 3 n or more, and of 1024."""
+    return max(1 << 10, 1 << (3 * n - 1).bit_length())
 
 
 def bitmap(s: np.ndarray, size: int) -> np.ndarray:
@@ -312,6 +312,33 @@ def tree_join(bits: tuple, sizes: tuple, labels: tuple, percent: int, verify) ->
     return links
 
 
+def group_links(maps: list[np.ndarray], n: np.ndarray, labels: np.ndarray, sides: list[np.ndarray], percent: int, verify) -> list[tuple[int, int]]:
+    """Links between leaves of sides[0] and sides[-1], which may be one; as tree_join, for bitmaps of several sizes.
+
+    Sets that are similar enough have bitmaps of one size or of neighbouring ones, so each size is joined with itself
+    and with the next, and no bitmap is folded more than once.
+    """
+    labels, links = labels.copy(), []
+    words = np.array([len(x) for x in maps])
+    own = len(sides) == 1
+    for size in np.unique(words).tolist():
+        for x, y in ((size, size), (size, 2 * size), (2 * size, size)):
+            if x == y and own:
+                leaves = (sides[0][words[sides[0]] == size],)
+            elif own and x > y:
+                continue
+            else:
+                leaves = (sides[0][words[sides[0]] == x], sides[-1][words[sides[-1]] == y])
+            if not all(map(len, leaves)):
+                continue
+            bits = tuple(np.stack([folded(maps[k], size) for k in p.tolist()]) for p in leaves)
+            first, last = leaves[0], leaves[-1]
+            for i, j in tree_join(bits, tuple(n[p] for p in leaves), tuple(labels[p] for p in leaves), percent, lambda i, j: verify(first[i], last[j])):
+                links.append((int(first[i]), int(last[j])))
+                labels[labels == labels[last[j]]] = labels[first[i]]
+    return links
+
+
 def _joined(percent: int, exact: bool):
     """Groups (pivot, block, part) of rows (side, doc, label, n, payload) to links between docs.
 
@@ -324,19 +351,10 @@ def _joined(percent: int, exact: bool):
         for group in sorted_groups(batches, ["pivot", "block", "part"]):
             docs, labels, n, side = (group[c].to_numpy() for c in ("doc", "label", "n", "side"))
             held = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["payload"]]
-            if exact:
-                size = resolution(int(n.max()))
-                bits = np.stack([bitmap(s, size) for s in held])
-            else:
-                words = min(map(len, held))
-                bits = np.stack([folded(x, words) for x in held])
-            parts = [np.flatnonzero(side == k) for k in (0, 1)] if side.any() else [np.arange(len(docs))]
-            if not all(map(len, parts)):
-                continue
-            first, last = parts[0], parts[-1]
-            check = (lambda i, j: similar(held[first[i]], held[last[j]], percent)) if exact else lambda i, j: True
-            links = tree_join(tuple(bits[p] for p in parts), tuple(n[p] for p in parts), tuple(labels[p] for p in parts), percent, check)
-            found += [(docs[first[i]], docs[last[j]]) for i, j in links]
+            maps = [bitmap(s, resolution(len(s))) for s in held] if exact else held
+            sides = [np.flatnonzero(side == k) for k in (0, 1)] if side.any() else [np.arange(len(docs))]
+            check = (lambda i, j: similar(held[i], held[j], percent)) if exact else lambda i, j: True
+            found += [(docs[i], docs[j]) for i, j in group_links(maps, n, labels, sides, percent, check)]
             if len(found) > 10000:
                 yield _pairs(found)
                 found = []
