@@ -1,9 +1,13 @@
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.data import SCHEMA, corpus
-from umbra.llm import jaccard, langid, quality, suffix
+from umbra.llm import components, jaccard, langid, quality, suffix
+from umbra.llm import text as tx
 
 
 @pytest.fixture(scope="module", params=[1, 2])
@@ -162,3 +166,32 @@ def test_empty_tables(spark):
     assert jaccard.link_components(none).count() == 0
     assert suffix.repeats(none).count() == 0
     assert quality.judge(none).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_components(spark, parts):
+    r = random.Random(3)
+    links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(200)] + [(r.randrange(2000, 2400), r.randrange(2000, 2400)) for _ in range(350)]
+    r.shuffle(links)
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    df = spark.createDataFrame([*links, (None, 1), (2, None)], "a long, b long").repartition(parts)
+    assert {tuple(r) for r in components.components(df).collect()} == {(x, find(x)) for x in parent}
+    assert components.components(df.where("a < 0")).count() == 0
+
+
+def test_hashes_of_like_texts():
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    two = one.translate(str.maketrans("ab", "ba"))
+    for n in (1, 8, 9, 256, 1024, 4096):
+        raw = np.frombuffer(f"{one[:n]} {two[:n]} {one[:n]}".encode(), np.uint8)
+        h = tx.Words(raw, np.array([0]), np.array([len(raw)])).word_hashes().tolist()
+        assert h[0] == h[2] != h[1]
