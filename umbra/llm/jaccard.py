@@ -388,7 +388,7 @@ def spread_join(rows: DataFrame, payloads: DataFrame, block: int, bytes_each: fl
     Rows of a pivot are compared with one another. bytes_each: of payload for one element of a set.
     """
     n = shuffle_partitions(rows.sparkSession)
-    weight = rows.groupBy("pivot").agg(F.count("*").alias("many"), F.sum("n").alias("total"), F.min("doc").alias("lead")).where("many > 1")
+    weight = cut(rows.groupBy("pivot").agg(F.count("*").alias("many"), F.sum("n").alias("total"), F.min("doc").alias("lead")).where("many > 1"))  # kept, so that a hot pivot of rows can be split in the join
     blocks = F.greatest(F.ceil(F.col("many") / block), F.ceil(F.col("total") * bytes_each / BLOCK_BYTES)).cast("int")
     placed = cut(rows.join(weight.select("pivot", "lead", blocks.alias("blocks")), "pivot"))
     own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
