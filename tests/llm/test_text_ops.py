@@ -88,7 +88,7 @@ def test_jaccard_tree_over_many_leaves():
 
 def test_suffix_repeats(spark, rows):
     want = brute.repeats([(r[0], r[1]) for r in rows])
-    got = suffix.repeats(spread(spark, rows), with_text=True).collect()
+    got = suffix.repeats(spread(spark, rows)).collect()
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want and len(got) == len(rows)
 
 
@@ -98,19 +98,45 @@ def test_suffix_lengths(spark, rows):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
 
 
-def test_index_family_grows_geometrically():
-    import numpy as np
-
-    r, index, seen = np.random.RandomState(1), suffix.IndexFamily(), set()
-    for _ in range(200):
-        batch = r.randint(0, 3000, 37).astype(np.uint64)
+def test_index_family_grows_geometrically(monkeypatch):
+    monkeypatch.setattr(suffix, "SLICE", 64)  # so that a merge-scan has many slices
+    r, index, seen = np.random.RandomState(1), suffix.IndexFamily(12), set()
+    for _ in range(150):
+        text = r.choice(np.array([0, 97, 98, 255], np.uint8), 90)
+        at = np.arange(len(text) - 11)
         want = []
-        for x in batch.tolist():
-            want.append(x in seen)
-            seen.add(x)
-        assert index.add(batch).tolist() == want
+        for k in at.tolist():
+            window = text[k : k + 12].tobytes()
+            want.append(window in seen)
+            seen.add(window)
+        assert index.add(text, at).tolist() == want
     assert sum(map(len, index.levels)) == len(seen)
     assert len(index.levels) <= 14
+    for level in index.levels:
+        held = [level.text[k : k + 12].tobytes() for k in level.at.tolist()]
+        assert held == sorted(set(held))
+
+
+def test_suffix_texts_of_one_hash(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, two), (3, "x" + two + one), (4, one[:500] + "\0" * 120), (5, "\0" * 110)]
+    got = suffix.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == brute.repeats(rows)
+
+
+def test_suffix_strip(spark, rows):
+    docs = spread(spark, rows)
+    got = {r["doc_id"]: r for r in suffix.strip(docs).collect()}
+    want = brute.repeats([(r[0], r[1]) for r in rows])
+    assert set(got) == {d for d, (n, gone, *_) in want.items() if not n or gone < n}
+    for d, text, lang, source, n in rows:
+        if d in got:
+            removed = want[d][1]
+            assert (got[d]["lang"], got[d]["source"], got[d]["query"]) == (lang, source, "clash")
+            assert got[d]["text"] == text if not removed else len(got[d]["text"].encode()) <= want[d][0] - removed
+            assert got[d]["n_chars"] == (len(got[d]["text"]) if removed else n)
+    assert suffix.strip(docs.where("doc_id < 0")).count() == 0
 
 
 def test_quality_counts(spark, rows):

@@ -1,19 +1,22 @@
 """Suffix-array dedup with a logarithmic index family: removes bytes that a long enough earlier string covers.
 
-A match of ``length`` bytes or more is a shared window of ``length`` bytes, so suffixes are cut at ``length`` bytes.
+A match of ``length`` bytes or more is a shared window of ``length`` bytes, so suffixes are compared up to ``length``
+bytes, and those that have fewer left are in no array.
 
 1. Equal texts form a class; the first stands for it. A later copy of ``length`` bytes or more goes as a whole.
 2. Each window is filed under its anchor: the ``gram`` bytes in it with the least hash, leftmost on a tie. Equal
    windows have equal anchors. Anchors that occur once in all texts cannot belong to a match; their windows stop here.
+   An anchor is a hash, but nothing is removed by it: two that collide only bring more windows to one place.
 3. Runs of adjacent windows with one anchor stay together, with their bytes, and go to the partition of the anchor.
-   There they arrive in the order of (doc, start), in batches. A batch's suffixes are sorted to a suffix array - by a
-   64-bit fingerprint of their first ``length`` bytes, seeded with the anchor, as only equality is asked for - and
-   merge-scanned against the levels of the index; what is found is a later copy. The new suffixes become a level, and
-   levels of similar size are merged, so an index of n suffixes has about log(n) levels.
+   There they arrive in the order of (doc, start), in batches. A batch's windows are sorted to a suffix array, in the
+   order of their bytes, and merge-scanned against the arrays of the index: neighbours whose common prefix reaches
+   ``length`` are a match, and the later one is a copy. The new suffixes become a level, and levels of similar size
+   merge, so an index of n suffixes has about log(n) levels.
 4. What is found becomes byte runs by document.
 
-Hot passages: within each input batch, anchors known to repeat and runs of equal bytes are settled before the
-shuffle, so one passage sends one row a batch, not one a document.
+Anchors travel packed by partition, as planes of bytes. Partitions are as many as hold about 32 MB of text each.
+Hot passages: runs of equal bytes within a few MB of input are settled before the shuffle, so one passage sends one row
+for these, not one a document; a partition indexes equal runs once.
 
 Rows: a null text is an empty one; nothing is removed from texts shorter than ``length`` bytes. Repeated rows are
 copies. Ids are distinct integers, which set who is earlier. Extra columns are not read.
@@ -30,9 +33,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from umbra.llm import text as tx
-from umbra.llm.shared import cut, shuffle_partitions
+from umbra.llm.shared import among, cut, shuffle_partitions, sorted_groups
 
 GRAM = 32
+PART_BYTES = 32 << 20  # of text for each partition of the index
+HELD = 4 << 20  # bytes of runs in which equal ones are settled before the shuffle
+SLICE = 1 << 16  # suffixes whose first bytes are laid out at once
 PLACE = np.uint64(32)  # low bits of a sort key that hold a place in the text
 
 
@@ -94,190 +100,285 @@ def _pieces(batch: pa.RecordBatch, k: int, length: int, gram: int) -> Iterator[t
 
 
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, text) to (doc, n_bytes, sha, name); name is the first 56 bits of the digest."""
     for batch in batches:
         raw, starts, ends = _texts(batch, 1)
         digest = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(starts.tolist(), ends.tolist())]
-        name = np.zeros(batch.num_rows, np.int64)
-        for i, j in tx.chunks(starts, ends):
-            w = tx.Words(raw, starts[i:j], ends[i:j])
-            name[i:j] = tx.as_long(w.hashes(w.text_start, w.text_end))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ends - starts), pa.array(digest, pa.string()), pa.array(name & np.int64(-2))], ["doc", "n_bytes", "sha", "name"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ends - starts), pa.array(digest, pa.string()), pa.array([int(x[:14], 16) for x in digest], pa.int64())], ["doc", "n_bytes", "sha", "name"])
 
 
-def _anchors(length: int, gram: int):
-    """(anchor, text, known): text is a hash of the text, its lowest bit set if the anchor repeats in it."""
+def planes(columns: list[tuple[np.ndarray, int]]) -> bytes:
+    """The low bytes of columns of 64-bit numbers, so many of each, byte by byte, so that alike ones are neighbours."""
+    return b"".join(np.ascontiguousarray(c.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].T).tobytes() for c, k in columns)
+
+
+def unplaned(data: np.ndarray, widths: list[int]) -> list[np.ndarray]:
+    m, at, out = len(data) // sum(widths), 0, []
+    for k in widths:
+        wide = np.zeros((m, 8), np.uint8)
+        wide[:, :k] = data[at : at + k * m].reshape(k, m).T
+        out.append(wide.view("<u8").reshape(-1).astype(np.int64))
+        at += k * m
+    return out
+
+
+ANCHOR, NAME = 6, 7  # bytes of an anchor within its part, and of a text's name
+
+
+def _anchors(length: int, gram: int, bits: int):
+    """Texts to rows (part, pairs, known): anchors of a part and the texts that hold them, packed.
+
+    An anchor's first ``bits`` bits are its part. pairs: one text of each anchor, and whether the anchor repeats in this
+    batch; known: all texts of those that do.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, texts = [], []
-            seen: set[int] = set()
-            for _, x in _pieces(batch, 0, length, gram):
-                name = tx.as_long(x.fingerprints(x.start, x.end - x.start))
-                once = np.zeros(len(name), bool)
-                for k, v in enumerate(name.tolist()):  # copies within a batch count once
+            hashes, texts, seen = [], [], set()
+            raw, starts, ends = _texts(batch, 0)
+            names = np.array([int.from_bytes(hashlib.sha256(raw[a:b]).digest()[:7], "big") for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
+            for i, x in _pieces(batch, 0, length, gram):
+                once = np.zeros(len(x.start), bool)
+                for k, v in enumerate(names[i : i + len(x.start)].tolist()):  # copies within a batch count once
                     if v not in seen:
                         seen.add(v)
                         once[k] = True
                 use = once[x.text]
-                hashes.append(x.hash[use])
-                texts.append(name[x.text[use]])
+                hashes.append(x.hash[use] >> tx.U64(16 - bits))
+                texts.append(names[i + x.text[use]])
             if not hashes:
                 continue
-            h, t = np.concatenate(hashes), np.concatenate(texts) & np.int64(-2)
+            h, t = tx.as_long(np.concatenate(hashes)), np.concatenate(texts)
             order = np.lexsort((t, h))
             h, t = h[order], t[order]
             m = len(h)
             if not m:
                 continue
-            same_h = h[1:] == h[:-1]
             new_h, new_ht = np.ones(m, bool), np.ones(m, bool)
-            new_h[1:] = ~same_h
-            new_ht[1:] = ~(same_h & (t[1:] == t[:-1]))
+            new_h[1:] = h[1:] != h[:-1]
+            new_ht[1:] = new_h[1:] | (t[1:] != t[:-1])
             begin = np.flatnonzero(new_h)
             many = np.diff(np.append(begin, m))
-            repeats = np.repeat(many > 1, many)
-            told = repeats & new_ht
-            # one row for the shuffle; the texts of an anchor that repeats here are known already
-            out_h = np.concatenate([h[begin], h[told]])
-            out_t = np.concatenate([t[begin] | (many > 1), t[told]])
-            known = np.concatenate([np.zeros(len(begin), bool), np.ones(int(told.sum()), bool)])
-            yield pa.RecordBatch.from_arrays([pa.array(tx.as_long(out_h)), pa.array(out_t), pa.array(known)], ["anchor", "text", "known"])
+            told = np.flatnonzero(np.repeat(many > 1, many) & new_ht)
+            part = h >> 48
+            edge = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            one, two = np.searchsorted(begin, np.append(edge, m)), np.searchsorted(told, np.append(edge, m))
+            pairs = [planes([(h[begin[a:b]], ANCHOR), (t[begin[a:b]], NAME), (many[a:b] > 1, 1)]) for a, b in zip(one[:-1], one[1:])]
+            known = [planes([(h[told[a:b]], ANCHOR), (t[told[a:b]], NAME)]) for a, b in zip(two[:-1], two[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(part[edge].astype(np.int32)), pa.array(pairs, pa.binary()), pa.array(known, pa.binary())], ["part", "pairs", "known"])
 
     return run
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor to (text, anchor) of the anchors with two texts, or a repeating one; known rows pass."""
-    held = None  # the last anchor, its texts so far if it has not been seen to repeat
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, t, known = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-        if known.any():
-            yield pa.RecordBatch.from_arrays([pa.array(t[known]), pa.array(a[known])], ["text", "anchor"])
-            a, t = a[~known], t[~known]
-            if not len(a):
-                continue
-        if held is not None:
-            a, t = np.concatenate([held[0], a]), np.concatenate([held[1], t])
-        begin = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
-        many = np.diff(np.append(begin, len(a)))
-        name = t & np.int64(-2)
-        multi = np.bitwise_or.reduceat(t & 1, begin) > 0
-        repeats = np.repeat(multi | (np.minimum.reduceat(name, begin) != np.maximum.reduceat(name, begin)), many)
-        if repeats.any():
-            yield pa.RecordBatch.from_arrays([pa.array(name[repeats]), pa.array(a[repeats])], ["text", "anchor"])
-        tail = slice(begin[-1], begin[-1] + 2) if not repeats[-1] else slice(begin[-1], begin[-1] + 1)
-        held = (a[tail], t[tail] | (1 if repeats[-1] else 0))
-
-
-def _index_rows(length: int, gram: int):
-    """Rows (doc, text, anchors) to runs with a repeating anchor. A run that stands earlier in the batch has been found:
-    it goes without bytes, under a key of its own, to any partition."""
-    names = ["key", "anchor", "doc", "first", "many", "bytes"]
+    """Rows sorted by part to (text, anchor) of the anchors with two texts, or a repeating one; known rows pass."""
+
+    def joined(column: pa.ChunkedArray, widths: list[int]) -> list[np.ndarray]:
+        parts = [unplaned(np.frombuffer(x.as_buffer(), np.uint8), widths) for x in column]
+        return [np.concatenate(c) for c in zip(*parts)]
+
+    for group in sorted_groups(batches, ["part"]):
+        high = np.int64(group["part"][0].as_py()) << 48
+        a, t, twice = joined(group["pairs"], [ANCHOR, NAME, 1])
+        known_a, known_t = joined(group["known"], [ANCHOR, NAME])
+        order = np.argsort(a, kind="stable")
+        a, t, twice = a[order], t[order], twice[order]
+        begin = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+        if len(begin):
+            repeats = (np.maximum.reduceat(twice, begin) > 0) | (np.minimum.reduceat(t, begin) != np.maximum.reduceat(t, begin))
+            use = np.repeat(repeats, np.diff(np.append(begin, len(a))))
+            a, t = a[use], t[use]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([t, known_t])), pa.array(np.concatenate([a, known_a]) | high)], ["text", "anchor"])
+
+
+def _index_rows(length: int, gram: int, bits: int):
+    """Rows (doc, text, anchors, ...) to runs with a repeating anchor. A run that stands earlier in what is held has been
+    found: it goes without bytes, under a key of its own, to any partition."""
+
+    def settled(held: list[tuple]) -> pa.RecordBatch:
+        h, d, f, m, size = (np.concatenate(c) for c in zip(*[x[:5] for x in held]))
+        data = np.concatenate([x[5] for x in held])
+        edges = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        whole, content, seen = data.tobytes(), [None] * len(h), set()
+        later = np.zeros(len(h), bool)
+        for k in np.lexsort((f, d)).tolist():
+            run = whole[edges[k] : edges[k + 1]]
+            if run in seen:
+                later[k] = True
+            else:
+                seen.add(run)
+                content[k] = run
+        key = np.where(later, tx.as_long(tx.mix(d.astype(tx.U64) ^ tx.mix(f.astype(tx.U64)))), h)
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(d), pa.array(f), pa.array(m), pa.array(content, pa.binary())], ["key", "doc", "first", "many", "bytes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size_held = [], 0
         for batch in batches:
+            if not batch.num_rows:
+                continue
             docs = batch.column(0).to_numpy()
-            lists = batch.column(2)
+            lists = batch.column(batch.schema.get_field_index("anchors"))
             values, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
-            got: list[tuple] = []
             for i, x in _pieces(batch, 1, length, gram):
                 if not len(x.first):
                     continue
                 use = np.zeros(len(x.first), bool)
-                hashed = tx.as_long(x.hash)
+                hashed = tx.as_long(x.hash >> tx.U64(16 - bits))
                 edges = np.searchsorted(x.text, np.arange(len(x.start) + 1))
                 for k in range(len(x.start)):
                     a, b = edges[k], edges[k + 1]
-                    if b > a:
+                    if b > a and at[i + k + 1] > at[i + k]:
                         use[a:b] = np.isin(hashed[a:b], values[at[i + k] : at[i + k + 1]])
+                if not use.any():
+                    continue
                 f, m = x.first[use], x.many[use]
                 size = m + length - 1
-                name = x.fingerprints(f, size) ^ (x.hash[use] + m.astype(tx.U64))
                 stop = np.cumsum(size)
-                take = np.arange(int(stop[-1]) if len(stop) else 0) - np.repeat(stop - size - f, size)
-                got.append((x.hash[use], docs[i + x.text[use]], f - x.start[x.text[use]], m, name, x.data[take], size))
-            if not got:
-                continue
-            h, d, f, m, name, data, size = (np.concatenate(c) for c in zip(*got))
-            if not len(h):
-                continue
-            order = np.lexsort((f, d, name))
-            later = np.zeros(len(h), bool)
-            later[order[1:]] = name[order[1:]] == name[order[:-1]]
-            offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-            content = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(h), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(data).tobytes())])
-            content = content.cast(pa.binary())
-            content = pc.if_else(pa.array(later), pa.scalar(None, pa.binary()), content)
-            key = np.where(later, tx.as_long(tx.mix(d.astype(tx.U64) ^ tx.mix(f.astype(tx.U64)))), tx.as_long(h))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(tx.as_long(h)), pa.array(d), pa.array(f), pa.array(m), content], names)
+                take = np.arange(int(stop[-1])) - np.repeat(stop - size - f, size)
+                held.append((hashed[use], docs[i + x.text[use]], f - x.start[x.text[use]], m, size, x.data[take]))
+                size_held += int(stop[-1])
+                if size_held >= HELD:
+                    yield settled(held)
+                    held, size_held = [], 0
+        if held:
+            yield settled(held)
 
     return run
 
 
-class IndexFamily:
-    """Sorted arrays of suffix fingerprints whose sizes grow geometrically."""
+class SuffixArray:
+    """Suffixes of a text that differ in their first ``length`` bytes, in the order of these."""
+
+    def __init__(self, text: np.ndarray, at: np.ndarray, length: int):
+        self.text, self.at, self.length = text, at, length
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+    def heads(self, low: int = 0, high: int | None = None) -> np.ndarray:
+        return heads(self.text, self.at[low:high], self.length)
+
+    def places(self, ordered: "SuffixArray") -> tuple[np.ndarray, np.ndarray]:
+        """Merge-scan: how many suffixes here precede each of the ordered ones, and whether the next is equal as far as
+        length. Both arrays are gone through once, a slice at a time."""
+        place, equal = np.zeros(len(ordered), np.int64), np.zeros(len(ordered), bool)
+        for low in range(0, len(ordered), SLICE):
+            asked = ordered.heads(low, low + SLICE)
+            a, b = (self._first_not_below(x) for x in (asked[0], asked[-1]))
+            b = min(b + 1, len(self))
+            for c in range(a, max(b, a + 1), SLICE):
+                here = self.heads(c, min(c + SLICE, b))
+                if not len(here):
+                    place[low : low + len(asked)] = len(self)
+                    break
+                last = c + SLICE >= b
+                some = slice(0 if c == a else int(np.searchsorted(asked, before, side="right")), len(asked) if last else int(np.searchsorted(asked, here[-1], side="right")))
+                at = np.searchsorted(here, asked[some])
+                place[low + some.start : low + some.stop] = c + at
+                inside = np.minimum(at, len(here) - 1)
+                equal[low + some.start : low + some.stop] = (at < len(here)) & (here[inside] == asked[some])
+                before = here[-1]
+        return place, equal
+
+    def _first_not_below(self, head: np.bytes_) -> int:
+        low, high = 0, len(self)
+        while low < high:
+            middle = (low + high) // 2
+            if self.heads(middle, middle + 1)[0] < head:
+                low = middle + 1
+            else:
+                high = middle
+        return low
+
+    def merged(self, other: "SuffixArray") -> "SuffixArray":
+        """Both arrays, which have no suffix in common, by one merge."""
+        place, _ = self.places(other)
+        at = np.empty(len(self) + len(other), np.int64)
+        theirs = place + np.arange(len(other))
+        mine = np.ones(len(at), bool)
+        mine[theirs] = False
+        at[theirs] = other.at + len(self.text)
+        at[mine] = self.at
+        return SuffixArray(np.concatenate([self.text, other.text]), at, self.length)
+
+
+def heads(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """The first length bytes of the suffixes from at on; all have so many, so they compare as bytes do."""
+    if not len(at):
+        return np.zeros(0, f"S{length}")
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, length)[at]).view(f"S{length}").reshape(-1)
 
-    def __init__(self) -> None:
-        self.levels: list[np.ndarray] = []
 
-    def add(self, batch: np.ndarray) -> np.ndarray:
-        """Which suffixes of the batch, given in order, are in the index or stand earlier in the batch; the rest joins it."""
-        order = np.argsort(batch, kind="stable")
-        ordered = batch[order]
-        copy = np.zeros(len(batch), bool)
+class IndexFamily:
+    """Suffix arrays whose sizes grow geometrically."""
+
+    def __init__(self, length: int) -> None:
+        self.levels: list[SuffixArray] = []
+        self.length = length
+
+    def add(self, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which suffixes of the text, from at on and in order, are in the index or stand earlier in at; the rest joins it."""
+        found = np.zeros(len(at), bool)
+        if not len(at):
+            return found
+        keys = heads(text, at, self.length)
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+        copy = np.zeros(len(at), bool)
         copy[1:] = ordered[1:] == ordered[:-1]
+        del keys, ordered
+        found[order] = copy
+        order = order[~copy]
         for level in self.levels:
-            at = np.minimum(np.searchsorted(level, ordered), len(level) - 1)
-            copy |= level[at] == ordered
-        fresh = ordered[~copy]
-        if len(fresh):
-            self.levels.append(fresh)
+            if len(order):
+                equal = level.places(SuffixArray(text, at[order], self.length))[1]
+                found[order[equal]] = True
+                order = order[~equal]
+        if len(order):
+            self.levels.append(SuffixArray(text, at[order], self.length))
             while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
-                merged = np.concatenate([self.levels.pop(), self.levels.pop()])
-                merged.sort(kind="stable")
-                self.levels.append(merged)
-        found = np.zeros(len(batch), bool)
-        found[order] = copy
+                last = self.levels.pop()
+                self.levels.append(self.levels.pop().merged(last))
         return found
 
 
 def _scan(length: int):
     """Runs of one anchor partition in the order of (doc, first) to the runs of windows that are later copies."""
+    names = ["doc", "first", "many"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = IndexFamily()
+        index, known = IndexFamily(length), set()
         for batch in batches:
-            found = batch.column(4).is_null()
-            if batch.column(4).null_count:
-                done = batch.filter(found)
-                yield pa.RecordBatch.from_arrays([done.column(1), done.column(2), done.column(3)], ["doc", "first", "many"])
-                batch = batch.filter(pc.invert(found))
-            if not batch.num_rows:
+            data = batch.column(3)
+            fresh = np.zeros(batch.num_rows, bool)
+            raw, starts, ends = tx.string_bytes(data)
+            for k in np.flatnonzero(ends > starts).tolist():
+                name = hashlib.blake2b(raw[starts[k] : ends[k]], digest_size=16).digest()
+                if name not in known:  # a run whose equal has been indexed is a copy as a whole
+                    known.add(name)
+                    fresh[k] = True
+            done = batch.filter(pa.array(~fresh)).select([0, 1, 2])
+            if done.num_rows:
+                yield done.rename_columns(names)
+            if not fresh.any():
                 continue
-            raw, starts, ends = tx.string_bytes(batch.column(4))
-            anchor = batch.column(0).to_numpy().view(np.uint64)
-            docs, first = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            for i, j in tx.chunks(starts, ends, 1 << 22):
+            batch = batch.filter(pa.array(fresh))
+            docs, first = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            raw, starts, ends = tx.string_bytes(batch.column(3))
+            for i, j in tx.chunks(starts, ends, 1 << 20):
                 low, high = int(starts[i]), int(ends[j - 1])
-                data = raw[low:high]
-                total = np.zeros(len(data) + 1, tx.U64)
-                np.cumsum(tx.BYTE[data] * tx.powers("up", len(data) + 1)[: len(data)], out=total[1:])
                 many = ends[i:j] - starts[i:j] - length + 1
                 stop = np.cumsum(many)
                 row = np.repeat(np.arange(j - i), many)
                 place = np.arange(int(stop[-1])) - (stop - many)[row]
-                at = place + (starts[i:j] - low)[row]
-                prints = tx.mix(tx.mix((total[at + length] - total[at]) * tx.powers("down", len(data) + 1)[at]) ^ anchor[i:j][row])
-                found = index.add(prints)
+                found = index.add(raw[low:high].copy(), place + (starts[i:j] - low)[row])
                 if not found.any():
                     continue
                 begin = found & np.append(True, ~found[:-1] | (row[1:] != row[:-1]))
                 end = found & np.append(~found[1:] | (row[1:] != row[:-1]), True)
                 b, e = np.flatnonzero(begin), np.flatnonzero(end)
                 r = i + row[b]
-                yield pa.RecordBatch.from_arrays([pa.array(docs[r]), pa.array(first[r] + place[b]), pa.array(e - b + 1)], ["doc", "first", "many"])
+                yield pa.RecordBatch.from_arrays([pa.array(docs[r]), pa.array(first[r] + place[b]), pa.array(e - b + 1)], names)
 
     return run
 
@@ -292,78 +393,115 @@ def merged_runs(first: np.ndarray, many: np.ndarray, length: int) -> tuple[np.nd
     return a[at], reach[np.append(at[1:] - 1, len(a) - 1)]
 
 
-def _removed(length: int, with_text: bool):
+def _left(text: np.ndarray, spans: pa.StructArray, length: int) -> tuple[int, int, bytes]:
+    """(bytes removed, runs, bytes that remain) of a text."""
+    a, b = merged_runs(spans.field("first").to_numpy(), spans.field("many").to_numpy(), length)
+    gone = np.zeros(len(text) + 1, np.int64)
+    np.add.at(gone, a, 1)
+    np.add.at(gone, b, -1)
+    return int((b - a).sum()), len(a), text[np.cumsum(gone)[:-1] == 0].tobytes()
+
+
+def _removed(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, starts, ends = _texts(batch, 1)
             out = []
             for k in range(batch.num_rows):
-                spans = batch.column(2)[k].values
-                first, many = spans.field(0).to_numpy(), spans.field(1).to_numpy()
-                a, b = merged_runs(first, many, length)
-                text = raw[starts[k] : ends[k]]
-                keep = np.ones(len(text) + 1, np.int64)
-                gone = np.zeros(len(text) + 1, np.int64)
-                np.add.at(gone, a, 1)
-                np.add.at(gone, b, -1)
-                keep = np.cumsum(gone)[:-1] == 0
-                left = text[keep].tobytes()
-                out.append((int((b - a).sum()), len(a), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if with_text else None))
-            n, s, sha, left = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(s, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.string())], ["doc", "n_removed", "n_spans", "kept_sha256", "kept"])
+                n, s, left = _left(raw[starts[k] : ends[k]], batch.column(2)[k].values, length)
+                out.append((n, s, hashlib.sha256(left).hexdigest()))
+            n, s, sha = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(s, pa.int64()), pa.array(sha, pa.string())], ["doc", "n_removed", "n_spans", "kept_sha256"])
+
+    return run
+
+
+def _stripped(length: int):
+    """Rows (doc, text, rest, spans) to (text, changed, rest) without the bytes that spans cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, starts, ends = _texts(batch, 1)
+            text, lists = batch.column(1), batch.column(3)
+            hit = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False))
+            out = text.to_pylist() if len(hit) else text
+            for k in hit.tolist():
+                out[k] = _left(raw[starts[k] : ends[k]], lists[k].values, length)[2].decode("utf-8", "ignore")
+            yield pa.RecordBatch.from_arrays([pa.array(out, text.type) if len(hit) else text, lists.is_valid(), batch.column(2)], ["text", "changed", "rest"])
 
     return run
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = GRAM, with_text: bool = False) -> DataFrame:
-    """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row; with_text adds kept, the text that remains.
+def _facts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return cut(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(_facts, "doc long, n_bytes long, sha string, name long"))
+
 
-    kept is null where nothing is removed, and for copies; halves of characters at a cut are not in it.
+def _spans(texts: DataFrame, facts: DataFrame, length: int, gram: int, few: bool) -> DataFrame:
+    """(doc, spans) of the first of each class of equal texts (doc, text, ...), where something is to be removed.
+
+    few: texts without a repeated anchor are kept out of the join; else all of texts is dealt by doc, as is needed if
+    the caller joins it by doc too.
     """
     if not 8 <= gram <= length:
         raise ValueError("gram must lie between 8 and length")
-    spark = docs.sparkSession
-    n = shuffle_partitions(spark)
-    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    facts = cut(base.mapInArrow(_facts, "doc long, n_bytes long, sha string, name long"))
+    spark = texts.sparkSession
+    size = facts.agg(F.sum("n_bytes")).first()[0] or 0
+    n = max(shuffle_partitions(spark), -(-size // PART_BYTES))
+    bits = min(15, (16 * n - 1).bit_length())
     firsts = facts.where(F.col("n_bytes") >= length).groupBy("sha", "name").agg(F.min("doc").alias("doc"))
-
-    anchors = base.select("text").mapInArrow(_anchors(length, gram), "anchor long, text long, known boolean")
-    place = F.when(F.col("known"), F.xxhash64("text", "anchor")).otherwise(F.col("anchor"))
-    counted = anchors.repartition(n, place).sortWithinPartitions("anchor").mapInArrow(_repeated, "text long, anchor long")
+    anchors = texts.select("text").mapInArrow(_anchors(length, gram, bits), "part int, pairs binary, known binary")
+    counted = anchors.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_repeated, "text long, anchor long")
     wanted = counted.groupBy("text").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("text", "name")
     wanted = firsts.join(wanted, "name").select("doc", "anchors")
-    chosen = base.join(wanted, "doc").select("doc", "text", "anchors")
-    rows = chosen.mapInArrow(_index_rows(length, gram), "key long, anchor long, doc long, first long, many long, bytes binary")
-    index = rows.repartition(n, "key").select("anchor", "doc", "first", "many", "bytes").sortWithinPartitions("doc", "first")
+    if few:
+        wanted = cut(wanted)
+        chosen = among(texts, wanted.select("doc"), "doc").join(wanted, "doc")
+    else:
+        chosen = texts.join(wanted, "doc", "left")
+    rows = chosen.mapInArrow(_index_rows(length, gram, bits), "key long, doc long, first long, many long, bytes binary")
+    index = rows.repartition(n, "key").select("doc", "first", "many", "bytes").sortWithinPartitions("doc", "first")
     spans = index.mapInArrow(_scan(length), "doc long, first long, many long")
-    spans = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "many")).alias("spans"))
-    touched = base.join(spans, "doc").select("doc", "text", "spans").mapInArrow(_removed(length, with_text), "doc long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    return spans.groupBy("doc").agg(F.collect_list(F.struct("first", "many")).alias("spans"))
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = GRAM) -> DataFrame:
+    """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
+    facts = _facts_of(docs, id_col, text_col)
+    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    spans = cut(_spans(base, facts, length, gram, True))
+    touched = among(base, spans.select("doc"), "doc").join(spans, "doc").select("doc", "text", "spans").mapInArrow(_removed(length), "doc long, n_removed long, n_spans long, kept_sha256 string")
 
-    first = facts.join(firsts.select("sha", F.col("doc").alias("first_doc")), "sha", "left")
+    firsts = facts.where(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc").alias("first_doc"))
+    first = facts.join(firsts, "sha", "left")
     empty = hashlib.sha256(b"").hexdigest()
     copy = F.col("first_doc").isNotNull() & (F.col("first_doc") != F.col("doc"))
-    out = first.join(touched, "doc", "left").select(
+    return first.join(touched, "doc", "left").select(
         F.col("doc").alias(id_col),
         "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copy, F.lit(empty)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        "kept",
     )
-    return out if with_text else out.drop("kept")
 
 
-def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", length: int = 100) -> DataFrame:
+def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", length: int = 100, gram: int = GRAM) -> DataFrame:
     """docs, all columns, without the repeated bytes; rows of which nothing is left go.
 
-    Halves of characters at a cut go too, and length_col, where there is one, is the length of what is left.
+    Halves of characters at a cut go too, and length_col, where there is one, is the length of what is left. A copy of
+    an earlier text of length bytes or more goes, as does a text that earlier strings cover. Rows without an id go,
+    as nothing can be said of what is earlier.
     """
-    found = repeats(docs, id_col, text_col, length, with_text=True).where("n_removed > 0")
-    left = found.select(F.col(id_col).alias("stripped_id"), "kept", (F.col("n_removed") == F.col("n_bytes")).alias("gone"))
-    joined = docs.join(left, docs[id_col] == left["stripped_id"], "left").where("gone is null or not gone")
-    text = F.when(F.col("stripped_id").isNull(), F.col(text_col)).otherwise(F.col("kept"))
-    joined = joined.withColumn(text_col, text)
+    rest = [c for c in docs.columns if c != text_col]
+    facts = _facts_of(docs, id_col, text_col)
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.struct(*rest).alias("rest"))
+    copies = facts.where(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc").alias("first"), F.count("*").alias("many")).where("many > 1")
+    copies = facts.join(copies, "sha").where("doc <> first").select("doc")
+    spans = _spans(texts, facts, length, gram, False)
+    joined = texts.join(spans, "doc", "left").join(copies, "doc", "left_anti").select("doc", "text", "rest", "spans")
+    kind = docs.select(F.col(text_col).alias("text"), F.struct(*rest).alias("rest")).schema
+    left = joined.mapInArrow(_stripped(length), f"text string, changed boolean, rest {kind['rest'].dataType.simpleString()}").where("not changed or text <> ''")
+    out = left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
     if length_col in docs.columns:
-        joined = joined.withColumn(length_col, F.when(F.col("stripped_id").isNull(), F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
-    return joined.select(docs.columns)
+        kept = F.when(F.col("changed"), F.length("text")).otherwise(F.col(f"rest.`{length_col}`")).cast(docs.schema[length_col].dataType)
+        out = left.select(*[F.col("text").alias(c) if c == text_col else kept.alias(c) if c == length_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+    return out
