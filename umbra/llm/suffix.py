@@ -38,7 +38,7 @@ from umbra.llm.shared import among, cut, shuffle_partitions, sorted_groups
 GRAM = 32
 PART_BYTES = 32 << 20  # of text for each partition of the index
 HELD = 4 << 20  # bytes of runs in which equal ones are settled before the shuffle
-SLICE = 1 << 16  # suffixes whose first bytes are laid out at once
+SLICE = 1 << 15  # suffixes whose first bytes are laid out at once
 PLACE = np.uint64(32)  # low bits of a sort key that hold a place in the text
 
 
@@ -365,7 +365,7 @@ def _scan(length: int):
             batch = batch.filter(pa.array(fresh))
             docs, first = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             raw, starts, ends = tx.string_bytes(batch.column(3))
-            for i, j in tx.chunks(starts, ends, 1 << 20):
+            for i, j in tx.chunks(starts, ends, 1 << 19):
                 low, high = int(starts[i]), int(ends[j - 1])
                 many = ends[i:j] - starts[i:j] - length + 1
                 stop = np.cumsum(many)
@@ -420,7 +420,7 @@ def _stripped(length: int):
     """Rows (doc, text, rest, spans) to (text, changed, rest) without the bytes that spans cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
             raw, starts, ends = _texts(batch, 1)
             text, lists = batch.column(1), batch.column(3)
             hit = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False))
@@ -436,7 +436,12 @@ def _facts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return cut(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(_facts, "doc long, n_bytes long, sha string, name long"))
 
 
-def _spans(texts: DataFrame, facts: DataFrame, length: int, gram: int, few: bool) -> DataFrame:
+def _firsts(facts: DataFrame, length: int) -> DataFrame:
+    """(sha, name, doc, many) of each class of equal texts; kept, so that a hot class can be split in joins with it."""
+    return cut(facts.where(F.col("n_bytes") >= length).groupBy("sha", "name").agg(F.min("doc").alias("doc"), F.count("*").alias("many")))
+
+
+def _spans(texts: DataFrame, facts: DataFrame, firsts: DataFrame, length: int, gram: int, few: bool) -> DataFrame:
     """(doc, spans) of the first of each class of equal texts (doc, text, ...), where something is to be removed.
 
     few: texts without a repeated anchor are kept out of the join; else all of texts is dealt by doc, as is needed if
@@ -448,11 +453,10 @@ def _spans(texts: DataFrame, facts: DataFrame, length: int, gram: int, few: bool
     size = facts.agg(F.sum("n_bytes")).first()[0] or 0
     n = max(shuffle_partitions(spark), -(-size // PART_BYTES))
     bits = min(15, (16 * n - 1).bit_length())
-    firsts = facts.where(F.col("n_bytes") >= length).groupBy("sha", "name").agg(F.min("doc").alias("doc"))
     anchors = texts.select("text").mapInArrow(_anchors(length, gram, bits), "part int, pairs binary, known binary")
     counted = anchors.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_repeated, "text long, anchor long")
     wanted = counted.groupBy("text").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("text", "name")
-    wanted = firsts.join(wanted, "name").select("doc", "anchors")
+    wanted = firsts.select("name", "doc").join(wanted, "name").select("doc", "anchors")
     if few:
         wanted = cut(wanted)
         chosen = among(texts, wanted.select("doc"), "doc").join(wanted, "doc")
@@ -468,11 +472,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     facts = _facts_of(docs, id_col, text_col)
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    spans = cut(_spans(base, facts, length, gram, True))
+    firsts = _firsts(facts, length)
+    spans = cut(_spans(base, facts, firsts, length, gram, True))
     touched = among(base, spans.select("doc"), "doc").join(spans, "doc").select("doc", "text", "spans").mapInArrow(_removed(length), "doc long, n_removed long, n_spans long, kept_sha256 string")
 
-    firsts = facts.where(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc").alias("first_doc"))
-    first = facts.join(firsts, "sha", "left")
+    first = facts.join(firsts.where("many > 1").select("sha", F.col("doc").alias("first_doc")), "sha", "left")
     empty = hashlib.sha256(b"").hexdigest()
     copy = F.col("first_doc").isNotNull() & (F.col("first_doc") != F.col("doc"))
     return first.join(touched, "doc", "left").select(
@@ -494,9 +498,9 @@ def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     rest = [c for c in docs.columns if c != text_col]
     facts = _facts_of(docs, id_col, text_col)
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.struct(*rest).alias("rest"))
-    copies = facts.where(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc").alias("first"), F.count("*").alias("many")).where("many > 1")
-    copies = facts.join(copies, "sha").where("doc <> first").select("doc")
-    spans = _spans(texts, facts, length, gram, False)
+    firsts = _firsts(facts, length)
+    copies = facts.join(firsts.where("many > 1").select("sha", F.col("doc").alias("first")), "sha").where("doc <> first").select("doc")
+    spans = _spans(texts, facts, firsts, length, gram, False)
     joined = texts.join(spans, "doc", "left").join(copies, "doc", "left_anti").select("doc", "text", "rest", "spans")
     kind = docs.select(F.col(text_col).alias("text"), F.struct(*rest).alias("rest")).schema
     left = joined.mapInArrow(_stripped(length), f"text string, changed boolean, rest {kind['rest'].dataType.simpleString()}").where("not changed or text <> ''")
