@@ -157,6 +157,40 @@ def test_quality_follows_the_source(spark):
     assert all(got[i] for i in range(600)) and not got[1000]
 
 
+@pytest.mark.parametrize("min_rows", [5, 40])
+def test_quality_verdict_like_brute_force(spark, rows, min_rows):
+    docs = spread(spark, rows)
+    got = {r["doc_id"]: r for r in quality.judge(docs, min_rows=min_rows).collect()}
+    values = {}
+    for d, text, lang, source, _ in rows:
+        n, chars, symbols, dup, rep = brute.quality_counts(text)
+        if n >= 50 and 100 * rep <= 50 * n:
+            lines = len([x for x in text.split("\n") if brute.WORD.search(x)])
+            values[d] = (lang, source, [100 * chars // n, 1000 * symbols // n, 1000 * dup // lines, 1000 * rep // n])
+
+    def fence(group, k):
+        ordered = sorted(v[k] for v in group)
+        spare = [max(0, x.bit_length() - 6) for x in ordered]
+        low, high = [x >> s << s for x, s in zip(ordered, spare)], [((x >> s) + 1 << s) - 1 for x, s in zip(ordered, spare)]
+        a, b = low[-(-len(low) * 25 // 100) - 1], high[-(-len(low) * 75 // 100) - 1]
+        more = 6 * (b - a) + quality.METRICS[k][2]
+        return a - more, b + more
+
+    def group(d):
+        lang, source, _ = values[d]
+        for same in (lambda v: v[:2] == (lang, source), lambda v: v[0] == lang):
+            if len(found := [v[2] for v in values.values() if same(v)]) >= min_rows:
+                return found
+        return [v[2] for v in values.values()]
+
+    for d, *_ in rows:
+        want = d in values
+        for k in range(4 if want else 0):
+            floor, ceiling = fence(group(d), k)
+            want = want and values[d][2][k] <= ceiling and (k > 0 or values[d][2][k] >= floor)
+        assert got[d]["kept"] == want
+
+
 def test_quality_sketches_merge(spark):
     df = spark.range(5000).selectExpr("id % 7 as k", "id * id as v")
     whole = quality.sketch(df, ["k"], "v")
@@ -221,3 +255,18 @@ def test_hashes_of_like_texts():
         raw = np.frombuffer(f"{one[:n]} {two[:n]} {one[:n]}".encode(), np.uint8)
         h = tx.Words(raw, np.array([0]), np.array([len(raw)])).word_hashes().tolist()
         assert h[0] == h[2] != h[1]
+
+
+def test_language_of_invalid_bytes_and_ties(spark):
+    import pyarrow as pa
+
+    rows = [(k, w, lang) for k, (w, lang) in enumerate([("the house of the king", "en"), ("la maison du roi", "fr"), ("le chat et la souris", "fr"), ("and this is not that", "en")] * 5)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [b"the house", b"the \xff\xfe king", b"la maison", b"\xff\xfe", b"", "Größe é".encode()]
+    column = pa.Array.from_buffers(pa.string(), len(texts), pa.array(texts, pa.binary()).buffers())
+    alone = [model.predict(pa.Array.from_buffers(pa.string(), 1, pa.array([t], pa.binary()).buffers())) for t in texts]
+    best, score = model.predict(column)
+    assert best.tolist() == [int(b[0]) for b, _ in alone] and np.allclose(score, [s[0] for _, s in alone])
+    assert (best >= 0).tolist() == [True, True, True, False, False, True]
+    many = spark.createDataFrame([(k, f"word {chr(97 + k % 26)}{chr(97 + k // 26)}", f"l{k:03d}") for k in range(300)], "doc_id long, text string, lang string")
+    assert len(langid.fit(many, sample_rows=300, epochs=1).languages) == 300

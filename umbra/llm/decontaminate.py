@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from umbra.llm import text as tx
+from umbra.llm.shared import in_arrow
 
 NUMBER, NAME, UNIT, LITERAL = (tx.mix(np.array([k], np.uint64))[0] for k in (101, 102, 103, 104))
 #: Words that are units after a number.
@@ -58,9 +59,7 @@ class Templates:
         if n > 1:
             upper2[1:] = (w.data[:-1] == 0xC3) & (w.data[1:] >= 0x80) & (w.data[1:] <= 0x9E) & (w.data[1:] != 0x97)
             low[upper2] += 0x20
-        total = np.zeros(n + 1, tx.U64)
-        np.cumsum(tx.BYTE[low] * tx.powers("up", n + 1)[:n], out=total[1:])
-        self.value = tx.mix((total[end] - total[begin]) * tx.powers("down", n + 1)[begin])
+        self.value = tx.range_hashes(tx.padded(low), begin, end)
 
         def some(flags: np.ndarray) -> np.ndarray:
             t = np.zeros(n + 1, np.int64)
@@ -243,7 +242,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                     r, item, *numbers, leaked = zip(*rows)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(r)), pa.array([index.items[k] for k in item], item_type), *(pa.array(x, pa.int64()) for x in numbers), pa.array([bool(x) for x in leaked])], kind.names)
 
-        found = found.unionByName(source.mapInArrow(run, kind))
+        found = found.unionByName(source.transform(in_arrow, run, kind))
     return found
 
 
@@ -259,5 +258,5 @@ def keep(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
                 fine[[m[0] for m in matches(batch.column(where), index, least_cover, least_agree) if m[-1]]] = False
                 yield batch.filter(pa.array(fine))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.transform(in_arrow, run, docs.schema)
     return docs

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from umbra.llm.shared import cut
+from umbra.llm.shared import cut, in_arrow
 
 RECORD = "archive string, offset long, target string, kind string, payload binary, n_bytes long"
 
@@ -64,7 +64,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64()))], ["archive", "offset", "target", "kind", "payload", "n_bytes"])
 
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInArrow(run, RECORD)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").transform(in_arrow, run, RECORD)
 
 
 def packed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", records: int = 256) -> DataFrame:

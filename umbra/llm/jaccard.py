@@ -14,7 +14,7 @@
 4. So a set of shingles is sent once, to its family. There a tree compares the leaf pairs it reaches exactly, and
    skips what is one component already.
 
-Both joins are dealt out alike: a group over ``block`` sets (or 32 MB) is spread over blocks, with its first set in
+Both joins are dealt out alike: a group over ``block`` sets (or 16 MB) is spread over blocks, with its first set in
 each. The sets that are then not of the group's largest component are held against all of the group, block by block, so
 no task holds more than two blocks and no link is lost.
 
@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from umbra.llm import text as tx
 from umbra.llm.components import components
-from umbra.llm.shared import among, cut, shuffle_partitions, sorted_groups
+from umbra.llm.shared import among, cut, in_arrow, shuffle_partitions, sorted_groups
 
 HOT_KEPT = 1 << 16  # shingles in the summary of frequent ones
-HOT_LEAST = 8  # times that one slice of about 32 MB of text holds them
-SLICE = 4_000_000  # shingles in a slice
-BLOCK, BLOCK_BYTES = 2048, 32 << 20
+HOT_LEAST = 6  # times that one slice of about 8 MB of text holds them
+SLICE = 1_000_000  # shingles in a slice
+BLOCK, BLOCK_BYTES = 2048, 16 << 20
 FAN_OUT = 16  # children of a node
 
 
@@ -115,20 +115,27 @@ def prefix(s: np.ndarray, hot: np.ndarray, level: np.ndarray, percent: int) -> n
 
 def _routes(width: int, percent: int, hot: np.ndarray, level: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(parts: list[np.ndarray], names: list[tuple]) -> pa.RecordBatch:
+            ids, n, m = np.array(names, np.int64).T
+            first = n - -(-2 * percent * n // (100 + percent)) + 1  # one of these is shared with each larger similar set
+            place = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+            size = 2 * np.repeat(n, m) + (place >= np.repeat(first, m))
+            return pa.RecordBatch.from_arrays([pa.array(tx.as_long(np.concatenate(parts))), pa.array(size), pa.array(np.repeat(ids, m))], ["shingle", "size", "class"])
+
         for batch in batches:
-            parts, names, seen = [], [], set()
+            parts, names, seen, held = [], [], set(), 0
             for _, s in shingle_sets(*_texts(batch, 0), width):
                 name = set_hashes(s)
                 if name not in seen:  # copies within a batch route once
                     seen.add(name)
                     parts.append(p := prefix(s, hot, level, percent))
                     names.append((name[0], len(s), len(p)))
+                    held += len(p)
+                    if held > 1 << 18:
+                        yield rows(parts, names)
+                        parts, names, held = [], [], 0
             if parts:
-                ids, n, m = np.array(names, np.int64).T
-                first = n - -(-2 * percent * n // (100 + percent)) + 1  # one of these is shared with each larger similar set
-                place = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
-                size = 2 * np.repeat(n, m) + (place >= np.repeat(first, m))
-                yield pa.RecordBatch.from_arrays([pa.array(tx.as_long(np.concatenate(parts))), pa.array(size), pa.array(np.repeat(ids, m))], ["shingle", "size", "class"])
+                yield rows(parts, names)
 
     return run
 
@@ -396,7 +403,7 @@ def spread_join(rows: DataFrame, payloads: DataFrame, block: int, bytes_each: fl
 
     def dealt(x: DataFrame) -> DataFrame:
         sent = x.select(*columns).join(payloads, "doc").repartition(n, "pivot", "block", "part")
-        return sent.sortWithinPartitions("pivot", "block", "part").mapInArrow(_joined(percent, exact), "a long, b long")
+        return sent.sortWithinPartitions("pivot", "block", "part").transform(in_arrow, _joined(percent, exact), "a long, b long")
 
     no = F.lit(0)
     homed = placed.where("doc <> lead or blocks = 1").select("pivot", own.alias("block"), no.alias("part"), no.alias("side"), "doc", F.col("doc").alias("label"), "n")
@@ -421,7 +428,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id_col, n_shingles, component_id) of every row of docs."""
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    first = cut(base.mapInArrow(_sizes(width), "kind int, doc long, n long, h1 long, h2 long, bits binary"))
+    first = cut(base.transform(in_arrow, _sizes(width), "kind int, doc long, n long, h1 long, h2 long, bits binary"))
     sizes = first.where("kind = 0").select("doc", "n", "h1", "h2")
 
     top = first.where("kind = 1").groupBy("h1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h1").limit(HOT_KEPT).collect()
@@ -431,9 +438,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hot, level = hot[order], level[order]
 
     classes = cut(sizes.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc").alias("doc")))
-    routes = base.select("text").mapInArrow(_routes(width, percent, hot, level), "shingle long, size long, class long")
+    routes = base.select("text").transform(in_arrow, _routes(width, percent, hot, level), "shingle long, size long, class long")
     routed = routes.repartition(shuffle_partitions(spark), "shingle").sortWithinPartitions("shingle", "size", "class")
-    buckets = routed.mapInArrow(_buckets(percent), "pivot long, class long").distinct()
+    buckets = routed.transform(in_arrow, _buckets(percent), "pivot long, class long").distinct()
     members = cut(buckets.join(classes.select(F.col("h1").alias("class"), "doc", "n"), "class").select("pivot", "doc", "n"))
 
     bits = first.where("kind = 0").select("doc", F.col("bits").alias("payload")).join(members.select("doc").distinct(), "doc", "left_semi")
@@ -441,7 +448,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     held = cut(families.join(classes.select("doc", "n"), families["node"] == classes["doc"]).select(F.col("component").alias("pivot"), "doc", "n"))
     active = held.select("doc")
-    sets = cut(among(base, active, "doc").join(active, "doc", "left_semi").mapInArrow(_shingles(width), "doc long, payload binary"))
+    sets = cut(among(base, active, "doc").join(active, "doc", "left_semi").transform(in_arrow, _shingles(width), "doc long, payload binary"))
     found = spread_join(held, sets, block, 8, percent, True)
 
     named = classes.join(found.withColumnRenamed("node", "doc"), "doc", "left").select("h1", "h2", "n", F.coalesce("component", "doc").alias("component"))

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from umbra.llm import text as tx
+from umbra.llm.shared import in_arrow
 
 BITS = 16
 ORDERS = (1, 2, 3)
@@ -47,7 +48,10 @@ def grams(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tup
     lead = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=lead[1:])
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    if len(points) != lead[-1]:  # bytes between texts that are no text
+    if len(points) != lead[-1]:  # bytes that are no UTF-8: their texts are read with U+FFFD, which is no letter
+        texts = [data[a:b].tobytes().decode("utf-8", "replace").encode() for a, b in zip(starts - low, ends - low)]
+        edges = np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
+        yield from grams(np.frombuffer(b"".join(texts), np.uint8), edges[:-1], edges[1:])
         return
     x = _letters()[points]
     keep = np.ones(len(x), bool)
@@ -200,23 +204,26 @@ def temperature(margin: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin([loss(t) for t in grid]))])
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3000, max_languages: int = 256, epochs: int = 3, alpha: float = 0.5, beta: float = 0.1, l1: float = 0.01, l2: float = 0.1) -> LanguageModel:
-    """A model from the rows with a label and a text; sample_rows bounds what the weights are fitted on."""
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3000, epochs: int = 3, alpha: float = 0.5, beta: float = 0.1, l1: float = 0.01, l2: float = 0.1) -> LanguageModel:
+    """A model from the rows with a label and a text; sample_rows bounds what the weights are fitted on.
+
+    Every label is learned, each from eight sample rows at least; the weights take 3 MB of the driver for a label.
+    """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    counts = sorted((r["lang"], r["count"]) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect())
+    counts = sorted((r["lang"], r["count"]) for r in rows.groupBy("lang").count().collect())
     if not counts:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0))
     languages, each = [x for x, _ in counts], max(8, sample_rows // len(counts))
     spread = labelled.sparkSession.sparkContext.defaultParallelism
-    per_task = rows.select("text").mapInArrow(_frequencies, "n long, df binary")
-    partial = per_task.repartition(min(16, 2 * spread)).mapInArrow(_summed, "n long, df binary").collect()
+    per_task = rows.select("text").transform(in_arrow, _frequencies, "n long, df binary")
+    partial = per_task.repartition(min(16, 2 * spread)).transform(in_arrow, _summed, "n long, df binary").collect()
     n = sum(r["n"] for r in partial)
     df = sum(np.frombuffer(r["df"], np.int64) for r in partial)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float64)
 
     share = F.create_map(*[F.lit(x) for lang, count in counts for x in (lang, min(1.0, each / count))])
     uniform = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    picked = rows.where(uniform < share[F.col("lang")]).mapInArrow(_vectors, T.StructType([rows.schema["id"], T.StructField("lang", T.StringType()), T.StructField("at", T.BinaryType()), T.StructField("n", T.BinaryType())])).collect()
+    picked = rows.where(uniform < share[F.col("lang")]).transform(in_arrow, _vectors, T.StructType([rows.schema["id"], T.StructField("lang", T.StringType()), T.StructField("at", T.BinaryType()), T.StructField("n", T.BinaryType())])).collect()
     train, apart = [], []
     for k, r in enumerate(sorted(picked, key=lambda r: (r["id"] is None, r["id"], r["at"]))):
         at, count = np.frombuffer(r["at"], np.uint32), np.frombuffer(r["n"], np.uint32)
@@ -239,7 +246,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([batch.column(0), names.take(pa.array(best)), pa.array(score)], [id_col, "lang_pred", "score"])
 
     source = docs.select(id_col, text_col)
-    return source.mapInArrow(run, T.StructType([source.schema[id_col], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return source.transform(in_arrow, run, T.StructType([source.schema[id_col], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def keep(docs: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.5, accepted: Callable[[str], bool] | None = None) -> DataFrame:
@@ -252,4 +259,4 @@ def keep(docs: DataFrame, model: LanguageModel, text_col: str = "text", least: f
             best, score = model.predict(batch.column(where))
             yield batch.filter(pa.array(fine[best] & (score >= least)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(in_arrow, run, docs.schema)

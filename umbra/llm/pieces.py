@@ -26,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from umbra.llm import text as tx
+from umbra.llm.shared import in_arrow
 
 BLANK = 0xFF
 MARK = "▁".encode()
-MEMORY = 400_000  # units remembered by a worker
+MEMORY = 100_000  # units remembered by a worker
 CHUNK = 1 << 20  # bytes of text segmented together
 ROWS = 500  # texts encoded and decoded together
 TOGETHER = 12  # below so many units, the rest of each is walked alone
@@ -267,9 +268,7 @@ class Encoder:
         new[begin] = True
         first = np.flatnonzero(new)
         width = np.diff(np.append(first, len(data)))
-        total = np.zeros(len(data) + 1, tx.U64)
-        np.cumsum(tx.BYTE[data] * tx.powers("up", len(data) + 1)[: len(data)], out=total[1:])
-        name = tx.mix((total[first + width] - total[first]) * tx.powers("down", len(data) + 1)[first])
+        name = tx.range_hashes(tx.padded(data), first, first + width)
         distinct, where, back = np.unique(name, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.known, distinct), max(len(self.known) - 1, 0))
         old = self.known[at] == distinct if len(self.known) else np.zeros(len(distinct), bool)
@@ -345,7 +344,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
             coded = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids), mask=gone)
             yield pa.RecordBatch.from_arrays([*batch.columns[:where], coded], [id_col, *keep, "ids"])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:where], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return source.transform(in_arrow, run, T.StructType([*source.schema.fields[:where], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -361,7 +360,7 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids
             gone = lists.is_null().to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string(), mask=gone)], [id_col, "text"])
 
-    return source.mapInArrow(run, T.StructType([source.schema[id_col], T.StructField("text", T.StringType())]))
+    return source.transform(in_arrow, run, T.StructType([source.schema[id_col], T.StructField("text", T.StringType())]))
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -380,4 +379,4 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
             sha = [hashlib.sha256(ids[a:b].astype("<i4").tobytes()).hexdigest() for a, b in zip(edges[:-1], edges[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(edges)), pa.array(sha, pa.string()), pa.array(same, pa.bool_())], [id_col, "n_tokens", "ids_sha256", "intact"])
 
-    return source.mapInArrow(run, T.StructType([source.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("intact", T.BooleanType())]))
+    return source.transform(in_arrow, run, T.StructType([source.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("intact", T.BooleanType())]))

@@ -3,7 +3,8 @@
 A sketch counts values in buckets whose width is at most 1/32 of the value (all bits of an integer below the six
 highest are cleared), so it has a bounded number of rows, and sketches merge by adding counts. Sketches of (language,
 source) merge to those of the language and of everything; a group with fewer than ``min_rows`` documents takes the
-fences of the next larger one. A fence lies ``reach`` quartile ranges, and a tolerance, beyond the quartile.
+fences of the next larger one. A fence lies ``reach`` quartile ranges, and a tolerance, beyond the quartile; the lower
+quartile is its bucket's least value and the upper one its bucket's greatest, so the bounds are on the safe side.
 
 Rows: a null text is an empty one; it and short texts fail the base rules. Null languages and sources are groups of
 their own. Repeated rows count as often as they occur. An empty table gives no rows. Extra columns are not read.
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from umbra.llm import text as tx
-from umbra.llm.shared import cut
+from umbra.llm.shared import cut, in_arrow
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -86,7 +87,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     source = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    return source.mapInArrow(_counts, T.StructType([*source.schema.fields[:3], *(T.StructField(c, T.LongType()) for c in COUNTS)]))
+    return source.transform(in_arrow, _counts, T.StructType([*source.schema.fields[:3], *(T.StructField(c, T.LongType()) for c in COUNTS)]))
 
 
 def base_failed() -> Column:
@@ -109,7 +110,7 @@ def fences(sketches: DataFrame, min_rows: int, reach: float) -> DataFrame:
     group = ["level", "lang", "source", "metric"]
     w = Window.partitionBy(*group)
     ranked = merged.withColumn("upto", F.sum("n").over(w.orderBy("low"))).withColumn("all", F.sum("n").over(w))
-    quartiles = ranked.groupBy(*group).agg(F.first("all").alias("rows"), *[F.min(F.when(F.col("upto") * 100 >= F.col("all") * q, F.col("low"))).alias(f"q{q}") for q in (25, 75)])
+    quartiles = ranked.groupBy(*group).agg(F.first("all").alias("rows"), *[F.min(F.when(F.col("upto") * 100 >= F.col("all") * q, F.expr(bound))).alias(f"q{q}") for q, bound in ((25, "low"), (75, "low + shiftleft(1L, greatest(0, length(bin(low)) - 6)) - 1"))])
     wide = F.lit(reach) * (F.col("q75") - F.col("q25"))
     tolerance = F.create_map(*[F.lit(x) for name, _, t, _ in METRICS for x in (name, t)])[F.col("metric")]
     fenced = quartiles.select(*group, "rows", (F.col("q25") - wide - tolerance).alias("floor"), (F.col("q75") + wide + tolerance).alias("ceiling"))
@@ -125,7 +126,7 @@ def fences(sketches: DataFrame, min_rows: int, reach: float) -> DataFrame:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_rows: int = 200, reach: float = 6.0) -> DataFrame:
-    """(id_col, counts, base_failed, kept) of every row, and each metric's value."""
+    """(id_col, counts, base_failed, kept) of every row, and its lines with a word and each metric's value."""
     found = cut(counts(docs, id_col, text_col, lang_col, source_col))
     values = found.select("*", *[F.expr(f"case when n_words > 0 then {formula} end").alias(name) for name, formula, *_ in METRICS])
     good = values.where((F.col("n_words") > 0) & ~base_failed())
@@ -139,4 +140,5 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         fine = fine & (F.col(name) <= F.col(f"limit_{name}.ceiling"))
         if two_sided:
             fine = fine & (F.col(name) >= F.col(f"limit_{name}.floor"))
-    return both.select(F.col("id").alias(id_col), *COUNTS, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(fine, F.lit(False))).alias("kept"), *[name for name, *_ in METRICS])
+    first = [c for c in COUNTS if c != "n_lines"]
+    return both.select(F.col("id").alias(id_col), *first, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(fine, F.lit(False))).alias("kept"), "n_lines", *[name for name, *_ in METRICS])

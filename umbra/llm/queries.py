@@ -116,6 +116,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_quality_rules": """
+with d as (select doc_id, lang, source, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 2], ' ') as v from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 1))) as i from d)),
+twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, v) as k from win) where k > 1),
+cover as (select doc_id, count(distinct i + j) as n from twice, (values (0), (1), (2)) as o(j) group by doc_id),
+l as (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from d),
+c as (select l.doc_id, lang, source, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+  cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols, cast(len(lines) as bigint) as n_lines, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines, cast(coalesce(cover.n, 0) as bigint) as n_repeat_words
+  from l left join cover on cover.doc_id = l.doc_id),
+v as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, case when n_words > 0 then 100 * word_chars // n_words end as word_length, case when n_words > 0 then 1000 * n_symbols // n_words end as symbols,
+  case when n_words > 0 then 1000 * n_dup_lines // n_lines end as dup_lines, case when n_words > 0 then 1000 * n_repeat_words // n_words end as repeats from c),
+m as (select lang, source, metric, value, greatest(0, length(bin(value)) - 6) as spare from (select lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) as metric, unnest([word_length, symbols, dup_lines, repeats]) as value from v where not base_failed)),
+k as (select lang, source, metric, (value >> spare) << spare as low, ((value >> spare) << spare) + (cast(1 as bigint) << spare) - 1 as high, count(*) as n from m group by all),
+g as (select 0 as level, lang, source, metric, low, high, n from k union all select 1, lang, null, metric, low, high, sum(n) from k group by all union all select 2, null, null, metric, low, high, sum(n) from k group by all),
+r as (select *, sum(n) over (partition by level, lang, source, metric order by low) as upto, sum(n) over (partition by level, lang, source, metric) as n_all from g),
+q as (select level, lang, source, metric, any_value(n_all) as n_rows, min(case when upto * 100 >= n_all * 25 then low end) as q25, min(case when upto * 100 >= n_all * 75 then high end) as q75 from r group by level, lang, source, metric),
+f as (select *, q25 - 6 * (q75 - q25) - tolerance as lowest, q75 + 6 * (q75 - q25) + tolerance as highest from q join (values ('word_length', 100), ('symbols', 50), ('dup_lines', 300), ('repeats', 300)) as t(name, tolerance) on name = metric),
+b as (select o.lang, o.source, o.metric, case when o.n_rows >= 200 then o.lowest when p.n_rows >= 200 then p.lowest else a.lowest end as lowest, case when o.n_rows >= 200 then o.highest when p.n_rows >= 200 then p.highest else a.highest end as highest
+  from f as o join f as p on p.level = 1 and p.lang is not distinct from o.lang and p.metric = o.metric join f as a on a.level = 2 and a.metric = o.metric where o.level = 0),
+z as (select lang, source, max(case when metric = 'word_length' then lowest end) as least, max(case when metric = 'word_length' then highest end) as most, max(case when metric = 'symbols' then highest end) as s, max(case when metric = 'dup_lines' then highest end) as u, max(case when metric = 'repeats' then highest end) as p from b group by all)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(not base_failed and word_length between least and most and symbols <= s and dup_lines <= u and repeats <= p, false) as kept, n_lines, word_length, symbols, dup_lines, repeats
+from v left join z on z.lang is not distinct from v.lang and z.source is not distinct from v.source""",
     "op4_suffix_dedup": """
 with b as (select doc_id, encode(coalesce(text, '')) as t from documents),
 w as (select doc_id, i, t[i:i + 99] as v from (select doc_id, t, unnest(range(1, greatest(octet_length(t) - 98, 1))) as i from b)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -27,6 +28,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def in_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """df.mapInArrow(function, schema), after which a worker, which Spark keeps for later tasks, gives freed memory back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return df.mapInArrow(run, schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -99,7 +112,7 @@ def among(rows: DataFrame, ids: DataFrame, id_col: str, most_bits: int = 1 << 26
                 total |= np.frombuffer(x.as_buffer(), np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["bits"])
 
-    parts = ids.mapInArrow(marked, "bits binary").coalesce(8).mapInArrow(ored, "bits binary").collect()
+    parts = ids.transform(in_arrow, marked, "bits binary").coalesce(8).transform(in_arrow, ored, "bits binary").collect()
     total = np.zeros(bits // 8, np.uint8)
     for r in parts:
         total |= np.frombuffer(r["bits"], np.uint8)
@@ -111,4 +124,4 @@ def among(rows: DataFrame, ids: DataFrame, id_col: str, most_bits: int = 1 << 26
             a, b = places(batch.column(where))
             yield batch.filter(pa.array(flags[a] & flags[b]))
 
-    return rows.mapInArrow(passed, rows.schema)
+    return in_arrow(rows, passed, rows.schema)

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from umbra.llm import text as tx
-from umbra.llm.shared import among, cut, shuffle_partitions, sorted_groups
+from umbra.llm.shared import among, cut, in_arrow, shuffle_partitions, sorted_groups
 
 GRAM = 32
 PART_BYTES = 32 << 20  # of text for each partition of the index
@@ -433,7 +433,7 @@ def _stripped(length: int):
 
 
 def _facts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return cut(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(_facts, "doc long, n_bytes long, sha string, name long"))
+    return cut(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).transform(in_arrow, _facts, "doc long, n_bytes long, sha string, name long"))
 
 
 def _firsts(facts: DataFrame, length: int) -> DataFrame:
@@ -453,8 +453,8 @@ def _spans(texts: DataFrame, facts: DataFrame, firsts: DataFrame, length: int, g
     size = facts.agg(F.sum("n_bytes")).first()[0] or 0
     n = max(shuffle_partitions(spark), -(-size // PART_BYTES))
     bits = min(15, (16 * n - 1).bit_length())
-    anchors = texts.select("text").mapInArrow(_anchors(length, gram, bits), "part int, pairs binary, known binary")
-    counted = anchors.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_repeated, "text long, anchor long")
+    anchors = texts.select("text").transform(in_arrow, _anchors(length, gram, bits), "part int, pairs binary, known binary")
+    counted = anchors.repartition(n, "part").sortWithinPartitions("part").transform(in_arrow, _repeated, "text long, anchor long")
     wanted = counted.groupBy("text").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("text", "name")
     wanted = firsts.select("name", "doc").join(wanted, "name").select("doc", "anchors")
     if few:
@@ -462,9 +462,9 @@ def _spans(texts: DataFrame, facts: DataFrame, firsts: DataFrame, length: int, g
         chosen = among(texts, wanted.select("doc"), "doc").join(wanted, "doc")
     else:
         chosen = texts.join(wanted, "doc", "left")
-    rows = chosen.mapInArrow(_index_rows(length, gram, bits), "key long, doc long, first long, many long, bytes binary")
+    rows = chosen.transform(in_arrow, _index_rows(length, gram, bits), "key long, doc long, first long, many long, bytes binary")
     index = rows.repartition(n, "key").select("doc", "first", "many", "bytes").sortWithinPartitions("doc", "first")
-    spans = index.mapInArrow(_scan(length), "doc long, first long, many long")
+    spans = index.transform(in_arrow, _scan(length), "doc long, first long, many long")
     return spans.groupBy("doc").agg(F.collect_list(F.struct("first", "many")).alias("spans"))
 
 
@@ -474,7 +474,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     firsts = _firsts(facts, length)
     spans = cut(_spans(base, facts, firsts, length, gram, True))
-    touched = among(base, spans.select("doc"), "doc").join(spans, "doc").select("doc", "text", "spans").mapInArrow(_removed(length), "doc long, n_removed long, n_spans long, kept_sha256 string")
+    touched = among(base, spans.select("doc"), "doc").join(spans, "doc").select("doc", "text", "spans").transform(in_arrow, _removed(length), "doc long, n_removed long, n_spans long, kept_sha256 string")
 
     first = facts.join(firsts.where("many > 1").select("sha", F.col("doc").alias("first_doc")), "sha", "left")
     empty = hashlib.sha256(b"").hexdigest()
@@ -503,7 +503,7 @@ def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     spans = _spans(texts, facts, firsts, length, gram, False)
     joined = texts.join(spans, "doc", "left").join(copies, "doc", "left_anti").select("doc", "text", "rest", "spans")
     kind = docs.select(F.col(text_col).alias("text"), F.struct(*rest).alias("rest")).schema
-    left = joined.mapInArrow(_stripped(length), f"text string, changed boolean, rest {kind['rest'].dataType.simpleString()}").where("not changed or text <> ''")
+    left = joined.transform(in_arrow, _stripped(length), f"text string, changed boolean, rest {kind['rest'].dataType.simpleString()}").where("not changed or text <> ''")
     out = left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
     if length_col in docs.columns:
         kept = F.when(F.col("changed"), F.length("text")).otherwise(F.col(f"rest.`{length_col}`")).cast(docs.schema[length_col].dataType)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from umbra.llm.shared import cut
+from umbra.llm.shared import cut, in_arrow
 
 BLOCK = 1 << 16
 SUPER = 4096  # blocks summed together first
@@ -82,7 +82,7 @@ def flatten(docs: DataFrame, vocabulary: dict[bytes, int], end_id: int, id_col:
         if size:
             yield row(np.concatenate(held))
 
-    return docs.select(id_col, text_col).mapInArrow(run, "kind int, file long, block long, doc long, tokens binary")
+    return docs.select(id_col, text_col).transform(in_arrow, run, "kind int, file long, block long, doc long, tokens binary")
 
 
 def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = 2) -> DataFrame:
@@ -97,7 +97,7 @@ def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = 2
                     yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int64()), pa.array([bytes(data[k * step : (k + 1) * step])], pa.binary())], ["file", "block", "tokens"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(run, "file string, block long, tokens binary")
+    return files.select("path", "content").transform(in_arrow, run, "file string, block long, tokens binary")
 
 
 def scan(blocks: DataFrame, end_id: int, width: int = 2, group: int = SUPER) -> DataFrame:
@@ -116,7 +116,7 @@ def scan(blocks: DataFrame, end_id: int, width: int = 2, group: int = SUPER) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))], ["file", "block", "n", "ends"])
 
     file = blocks.schema["file"].dataType.simpleString()
-    found = cut(blocks.select("file", F.col("block").cast("long").alias("block"), "tokens").mapInArrow(run, f"file {file}, block long, n long, ends array<long>"))
+    found = cut(blocks.select("file", F.col("block").cast("long").alias("block"), "tokens").transform(in_arrow, run, f"file {file}, block long, n long, ends array<long>"))
     short = found.select("file", "block", "n", F.size("ends").cast("long").alias("k"), F.try_element_at("ends", F.lit(-1)).alias("last"), F.floor(F.col("block") / group).alias("super"))
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     inner = Window.partitionBy("file", "super").orderBy("block")
