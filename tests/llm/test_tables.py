@@ -21,6 +21,16 @@ def test_token_counts(spark):
     assert tokencount.count(docs.where("doc_id < 0"), ranks, 50256).count() == 0
 
 
+def test_long_blanks_and_vocabularies(spark):
+    ranks = tokencount.ranks("/opt/tokenizers/byte_bpe_50k.tiktoken")
+    encoding = tokencount._encoding(ranks, tokencount.PATTERN)
+    for text in ("a" + " " * 3000 + "b", " " * 2500, "x \n" * 3 + "\n " * 1200 + "\nend", "é" + "\u2003" * 2100 + "\t", " " * 2000 + "!" + "\x1f" * 10):
+        assert tokencount.encoded(encoding, text) == encoding.encode_ordinary(text)
+    assert tokencount.encoded(encoding, "a" + " " * 1_000_000 + "b")
+    other = {k: len(ranks) - 1 - v for k, v in ranks.items()}
+    assert tokencount._encoding(other, tokencount.PATTERN).encode_ordinary("a") != encoding.encode_ordinary("a")
+
+
 @pytest.mark.parametrize("block,group", [(1, 2), (3, 2), (7, 100), (1000, 3)])
 def test_separator_scan(spark, block, group):
     r = np.random.RandomState(block)
@@ -208,13 +218,19 @@ def test_fixity(spark):
     hurt -= lost
     rows = [(a, o, base[a, o][:-1] + b"?" if (a, o) in hurt else base[a, o]) for a, o in keys if (a, o) not in lost]
     two = spark.createDataFrame(rows, "archive string, offset long, record binary")
-    got = {(x["archive"], x["offset"]): x["status"] for x in fixity.audit(one.select("archive", "offset", "record"), two, fan_out=4).collect()}
+    got = {(x["archive"], x["offset"]): x["status"] for x in fixity.audit(one.select("archive", "offset", "record"), two, fan_out=4, span=100).collect()}
     assert got == {k: "corrupt" for k in hurt} | {k: "missing in two" for k in lost}
     assert fixity.audit(one.select("archive", "offset", "record"), one.select("archive", "offset", "record")).count() == 0
     leaf = fixity.leaves(one)
     assert fixity.root(fixity.trees(leaf)) == fixity.root(fixity.trees(leaf.repartition(7))) != fixity.root(fixity.trees(fixity.leaves(two)))
     none = two.where("offset < 0")
     assert fixity.audit(none, none).count() == 0
+    assert fixity.audit(none, two).where("status <> 'missing in one'").count() == 0
+    ranges = [x.join(y, ["archive", "node"]).where(x["hash"] != y["hash"]).count() for x, y in zip(fixity.trees(leaf, 4, 100), fixity.trees(fixity.leaves(two), 4, 100))]
+    assert 0 < ranges[1] <= 10  # a lost record changes its own range, not those after it
+    double = spark.createDataFrame([("a", 0, b"x"), ("a", 0, b"y"), (None, 3, b"z"), ("b", 1, None)], "archive string, offset long, record binary").withColumn("node", F.lit("clash"))
+    assert fixity.audit(double, double.orderBy("record")).where("archive is not null").count() == 0
+    assert [x["status"] for x in fixity.audit(double, double.where("record is null or record <> x'79'")).where("archive is not null").collect()] == ["corrupt"]
 
 
 def test_warc_files(spark, tmp_path):
@@ -252,3 +268,34 @@ def test_shards(spark, tmp_path):
     empty = ShardedTable(spark, f"file://{tmp_path}/u")
     empty.append(docs.where("doc_id < 0"))
     assert empty.manifest() == [] and empty.compact() == 0
+
+
+def test_shards_of_other_columns(spark, tmp_path):
+    made = ShardedTable(spark, f"file://{tmp_path}/t", run=2)
+    made.append(spark.range(3).selectExpr("id", "cast(null as long) as size", "'a' as path").coalesce(1))
+    made.append(spark.range(3, 5).selectExpr("id", "id as more", "'b' as path").coalesce(1))
+    with pytest.raises(ValueError):
+        made.append(spark.range(1).selectExpr("cast(id as string) as id"))
+    want = [(0, None, "a", None), (1, None, "a", None), (2, None, "a", None), (3, None, "b", 3), (4, None, "b", 4)]
+    for _ in range(2):
+        assert sorted(tuple(r) for r in made.read().select("id", "size", "path", "more").collect()) == want
+        made.compact()
+    assert len(made.manifest()) == 1
+    made.vacuum()
+    assert sorted(tuple(r) for r in made.read().select("id", "size", "path", "more").collect()) == want
+
+
+def test_shards_of_two_writers(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    made = ShardedTable(spark, f"file://{tmp_path}/t")
+
+    def write(_):
+        try:
+            return made.commit([], 0)
+        except RuntimeError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        assert sorted(map(str, pool.map(write, range(8)))) == ["1"] + ["None"] * 7
+    assert made.versions() == [1]

@@ -1,14 +1,15 @@
 """WARC fixity audit with Merkle trees.
 
-A record's leaf is the SHA-256 of its bytes. Leaves of an archive stand in the order of their offsets; a node covers
-``fan_out`` neighbours, an ordered offset range, and hashes their hashes and ranges; the archives' roots, by name, are
-the leaves of a tree above. Two replicas are compared from the root down: only children of nodes that differ, or that
-one replica lacks, are joined on the next level, until the records are found.
+A record's leaf is the SHA-256 of its bytes. The lowest nodes cover ``span`` bytes of an archive each, a node above
+covers ``fan_out`` of these ranges, and each hashes the hashes and ranges of what begins in it, in order; the archives'
+roots, by name, are the leaves of a tree above. Ranges are fixed, so a lost record changes the nodes above it and no
+others. Two replicas are compared from the root down: only children of nodes that differ, or that one replica lacks,
+are joined on the next level, until the records are found.
 
-A node is made from at most fan_out rows, so no group grows, and each level is 1/fan_out of the one below.
+A node is made from at most fan_out rows, or the records that begin within span bytes, so no group grows.
 
 Rows: a record with null bytes counts as empty. An archive or record that one replica lacks is reported as missing
-there. Two records at one offset of an archive are both hashed, ordered by digest. Empty replicas have no nodes and
+there. Records at one offset of an archive are one leaf: the hash of their digests, in order. Empty replicas have no nodes and
 no mismatch. Extra columns are not read.
 """
 
@@ -19,10 +20,11 @@ import io
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from umbra.llm.shared import cut, in_arrow
 
+SPAN = 1 << 16  # bytes of an archive for each lowest node
 RECORD = "archive string, offset long, target string, kind string, payload binary, n_bytes long"
 
 
@@ -67,15 +69,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").transform(in_arrow, run, RECORD)
 
 
-def packed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", records: int = 256) -> DataFrame:
-    """(archive, offset, n_bytes, record, id): pages as records of archives of at most ``records`` consecutive ids."""
+def packed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", records: int = 256, keep: dict[str, Column] | None = None) -> DataFrame:
+    """(archive, offset, n_bytes, record, id): pages as records of archives of at most ``records`` consecutive ids.
+
+    keep: columns to have instead of record, made from record and id where the pages are read, so that what moves to
+    learn the offsets is these and the lengths.
+    """
     body = F.coalesce(F.col(body_col), F.lit("")).cast("binary")
     head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Target-URI: "), F.coalesce(F.col(url_col), F.lit("")), F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
     made = pages.select(F.col(id_col).alias("id"), F.floor(F.col(id_col) / records).cast("string").alias("archive"), F.concat(head.cast("binary"), body, F.lit("\r\n\r\n").cast("binary")).alias("record"))
-    sized = made.withColumn("n_bytes", F.octet_length("record").cast("long"))
+    kept = keep if keep is not None else {"record": F.col("record")}
+    sized = made.select("id", "archive", F.octet_length("record").cast("long").alias("n_bytes"), *[c.alias(name) for name, c in kept.items()])
     w = Window.partitionBy("archive").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    places = sized.select("id", "archive", "n_bytes").withColumn("offset", F.coalesce(F.sum("n_bytes").over(w), F.lit(0)))
-    return sized.select("id", "record").join(places, "id").select("archive", "offset", "n_bytes", "record", "id")
+    return sized.select("archive", F.coalesce(F.sum("n_bytes").over(w), F.lit(0)).alias("offset"), "n_bytes", *kept, "id")
 
 
 def leaves(records: DataFrame) -> DataFrame:
@@ -84,55 +90,58 @@ def leaves(records: DataFrame) -> DataFrame:
     return records.select("archive", F.col("offset").cast("long").alias("offset"), F.octet_length(record).cast("long").alias("n_bytes"), F.sha2(record, 256).alias("hash"))
 
 
-def trees(leaf: DataFrame, fan_out: int = 16, most: int | None = None) -> list[DataFrame]:
-    """Levels (archive, node, first, stop, hash) from the leaves to one root an archive.
+def trees(leaf: DataFrame, fan_out: int = 16, span: int = SPAN, most: int | None = None) -> list[DataFrame]:
+    """Levels (archive, node, first, stop, hash) from the records to one root an archive.
 
-    node is a leaf's rank by offset in its archive, then that divided by fan_out on each level, so replicas that hold
-    the same offsets have nodes of the same numbers. most: leaves of the largest archive, counted if not given.
+    node is the offset, then the number of the range of span bytes, then that divided by fan_out on each level.
+    most: where the largest archive's last record begins, found out if not given.
     """
-    w = Window.partitionBy("archive").orderBy("offset", "hash")
-    level = leaf.select("archive", (F.row_number().over(w) - 1).cast("long").alias("node"), F.col("offset").alias("first"), (F.col("offset") + F.col("n_bytes")).alias("stop"), "hash")
-    level = cut(level)
-    most = most or (level.agg(F.max("node")).first()[0] or 0) + 1
-    found = [level]
-    while most > 1:
-        most = -(-most // fan_out)
-        level = cut(_above(level, fan_out))
+    digests = F.array_sort(F.collect_list("hash"))
+    one = F.when(F.size(digests) == 1, digests[0]).otherwise(F.sha2(F.array_join(digests, ";"), 256))
+    level = cut(leaf.groupBy("archive", F.col("offset").alias("node")).agg(F.min("offset").alias("first"), F.max(F.col("offset") + F.col("n_bytes")).alias("stop"), one.alias("hash")))
+    most = (level.agg(F.max("node")).first()[0] or 0) if most is None else most
+    level, found, most = cut(_above(level, span)), [level], most // span
+    found.append(level)
+    while most > 0:
+        level, most = cut(_above(level, fan_out)), most // fan_out
         found.append(level)
     return found
 
 
-def _above(level: DataFrame, fan_out: int) -> DataFrame:
+def _above(level: DataFrame, wide: int) -> DataFrame:
     text = F.concat_ws(":", F.col("node").cast("string"), F.col("first").cast("string"), F.col("stop").cast("string"), "hash")
-    child = level.select("archive", F.floor(F.col("node") / fan_out).alias("node"), "first", "stop", F.struct(F.col("node").alias("rank"), text.alias("text")).alias("child"))
+    child = level.select("archive", F.floor(F.col("node") / wide).alias("node"), "first", "stop", F.struct(F.col("node").alias("rank"), text.alias("text")).alias("child"))
     below = F.array_join(F.array_sort(F.collect_list("child")).getField("text"), ";")
     return child.groupBy("archive", "node").agg(F.min("first").alias("first"), F.max("stop").alias("stop"), F.sha2(below, 256).alias("hash"))
 
 
-def audit(one: DataFrame, two: DataFrame, fan_out: int = 16) -> DataFrame:
-    """(archive, offset, n_bytes, hash_one, hash_two, status) of the records that differ: corrupt, moved or missing.
+def audit(one: DataFrame, two: DataFrame, fan_out: int = 16, span: int = SPAN) -> DataFrame:
+    """(archive, offset, n_bytes, hash_one, hash_two, status) of the records that differ: corrupt or missing.
 
     one, two: (archive, offset, record) of each replica.
     """
-    a, b = leaves(one), leaves(two)
-    ordered = [cut(x.groupBy("archive").agg(F.count("*").alias("n"))).agg(F.max("n")).first()[0] or 0 for x in (a, b)]
-    most = max(ordered) or 1
-    left, right = trees(a, fan_out, most), trees(b, fan_out, most)
+    return compared(leaves(one), leaves(two), fan_out, span)
+
+
+def compared(one: DataFrame, two: DataFrame, fan_out: int = 16, span: int = SPAN) -> DataFrame:
+    """As audit, from the leaves (archive, offset, n_bytes, hash) of each replica.
+
+    Equal roots of the replicas end the audit; the archives' roots are compared first.
+    """
+    most = max((x.agg(F.max("offset")).first()[0] or 0) for x in (one, two))
+    left, right = trees(one, fan_out, span, most), trees(two, fan_out, span, most)
     suspects: DataFrame | None = None
     for depth in range(len(left) - 1, -1, -1):
         x, y = left[depth], right[depth]
         if suspects is not None:
             parents = suspects.select("archive", F.col("node").alias("parent"))
-            x, y = (z.withColumn("parent", F.floor(F.col("node") / fan_out)).join(parents, ["archive", "parent"], "left_semi").drop("parent") for z in (x, y))
+            x, y = (z.withColumn("parent", F.floor(F.col("node") / (fan_out if depth else span))).join(parents, ["archive", "parent"], "left_semi").drop("parent") for z in (x, y))
         p, q = x.alias("p"), y.alias("q")
         both = p.join(q, (F.col("p.archive") == F.col("q.archive")) & (F.col("p.node") == F.col("q.node")), "full_outer")
-        differ = both.where(~F.col("p.hash").eqNullSafe(F.col("q.hash")) | ~F.col("p.first").eqNullSafe(F.col("q.first")))
-        suspects = cut(differ.select(F.coalesce("p.archive", "q.archive").alias("archive"), F.coalesce("p.node", "q.node").alias("node"), F.col("p.first").alias("first_one"), F.col("q.first").alias("first_two"), (F.col("p.stop") - F.col("p.first")).alias("n_one"), (F.col("q.stop") - F.col("q.first")).alias("n_two"), F.col("p.hash").alias("hash_one"), F.col("q.hash").alias("hash_two")))
-    ones = suspects.where("hash_one is not null").select("archive", F.col("first_one").alias("offset"), F.col("n_one").alias("n_bytes"), "hash_one")
-    twos = suspects.where("hash_two is not null").select("archive", F.col("first_two").alias("offset"), F.col("n_two").alias("n_bytes_two"), "hash_two")
-    met = ones.join(twos, ["archive", "offset"], "full_outer")
-    status = F.when(F.col("hash_two").isNull(), "missing in two").when(F.col("hash_one").isNull(), "missing in one").when(F.col("hash_one") == F.col("hash_two"), "moved").otherwise("corrupt")
-    return met.select("archive", "offset", F.coalesce("n_bytes", "n_bytes_two").alias("n_bytes"), "hash_one", "hash_two", status.alias("status")).where("status <> 'moved'")
+        differ = both.where(~F.col("p.hash").eqNullSafe(F.col("q.hash")))
+        suspects = cut(differ.select(F.coalesce("p.archive", "q.archive").alias("archive"), F.coalesce("p.node", "q.node").alias("node"), F.coalesce(F.col("p.stop") - F.col("p.first"), F.col("q.stop") - F.col("q.first")).alias("n_bytes"), F.col("p.hash").alias("hash_one"), F.col("q.hash").alias("hash_two")))
+    status = F.when(F.col("hash_two").isNull(), "missing in two").when(F.col("hash_one").isNull(), "missing in one").otherwise("corrupt")
+    return suspects.select("archive", F.col("node").alias("offset"), "n_bytes", "hash_one", "hash_two", status.alias("status"))
 
 
 def root(tree: list[DataFrame]) -> str:

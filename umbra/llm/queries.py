@@ -95,13 +95,13 @@ def op7_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from umbra.llm import fixity
     from umbra.llm.shared import cut
 
-    one = fixity.packed(table(spark, sf_dir, "pages"))
+    record = F.col("record")
     flipped = F.concat(F.substring("record", 1, F.lit(40)), F.unhex(F.lpad(F.hex(255 - F.conv(F.hex(F.substring("record", 41, 1)), 16, 10).cast("int")), 2, "0")), F.expr("substring(record, 42)"))
-    hurt = F.when(F.col("id") % 97 == 5, flipped).otherwise(F.col("record"))
-    two = one.where("id % 1009 <> 7").select("archive", "offset", hurt.alias("record"))
-    found = fixity.audit(one.select("archive", "offset", "record"), two)
-    places = cut(one.select(F.col("id").alias("page_id"), "archive", "offset", "n_bytes"))
-    return places.join(found.select("archive", "offset", "status", F.col("hash_one").alias("expected"), F.col("hash_two").alias("found")), ["archive", "offset"], "left").select("page_id", "archive", "offset", "n_bytes", F.coalesce("status", F.lit("intact")).alias("status"), "expected", "found")
+    hashes = {"hash_one": F.sha2(record, 256), "hash_two": F.sha2(F.when(F.col("id") % 97 == 5, flipped).otherwise(record), 256)}
+    both = cut(fixity.packed(table(spark, sf_dir, "pages"), keep=hashes))
+    one, two = (x.select("archive", "offset", "n_bytes", F.col(c).alias("hash")) for x, c in ((both, "hash_one"), (both.where("id % 1009 <> 7"), "hash_two")))
+    found = fixity.compared(one, two).select("archive", "offset", "status", F.col("hash_one").alias("expected"), F.col("hash_two").alias("found"))
+    return both.join(found, ["archive", "offset"], "left").select(F.col("id").alias("page_id"), "archive", "offset", "n_bytes", F.coalesce("status", F.lit("intact")).alias("status"), "expected", "found")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +150,13 @@ n as (select doc_id, count(*) as n_spans, cast(sum(e - a) as bigint) as n_remove
 select b.doc_id, cast(octet_length(t) as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
 sha256(case when n.doc_id is null then t else unhex(coalesce(h, '')) end) as kept_sha256
 from b left join n on b.doc_id = n.doc_id left join j on b.doc_id = j.doc_id""",
+    "op7_fixity_audit": """
+with r as (select page_id, cast(page_id // 256 as varchar) as archive, encode(concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10), 'WARC-Target-URI: ', coalesce(url, ''), chr(13), chr(10), 'Content-Type: text/html', chr(13), chr(10),
+  'Content-Length: ', octet_length(encode(coalesce(html, ''))), chr(13), chr(10), chr(13), chr(10), coalesce(html, ''), chr(13), chr(10), chr(13), chr(10))) as record from pages),
+s as (select *, cast(octet_length(record) as bigint) as n_bytes, hex(record) as h, case when page_id % 1009 = 7 then 'missing in two' when page_id % 97 = 5 then 'corrupt' else 'intact' end as status from r),
+o as (select *, cast(coalesce(sum(n_bytes) over (partition by archive order by page_id rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset" from s)
+select page_id, archive, "offset", n_bytes, status, case when status <> 'intact' then sha256(record) end as expected,
+case when status = 'corrupt' then sha256(unhex(concat(substring(h, 1, 80), translate(substring(h, 81, 2), '0123456789ABCDEF', 'FEDCBA9876543210'), substring(h, 83)))) end as found from o""",
     "op8_jaccard_join": """
 with recursive w as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as v from documents),
 s as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(v) - 4, 1) + 1), lambda i: array_to_string(v[i:i + 4], ' '))) as x from w where len(v) > 0),

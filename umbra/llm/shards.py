@@ -2,25 +2,29 @@
 
 Arrivals are appended as small immutable Parquet shards. Shards whose sizes are in one tier (a power of ``tier``) and
 at least ``run`` in number are merged to files of about ``target_bytes``; merging repeats until no tier has a run. What
-counts as the data set is the manifest of the highest version, committed by a rename that fails if the version exists,
-so readers see whole versions only and a job that dies leaves the last version as it was.
+counts as the data set is the manifest of the highest version, committed by a step that fails if the version exists
+(a hard link on a local file system, else Hadoop's rename without overwriting, which is as atomic as the store makes it;
+object stores without such a rename need a single writer), so readers see whole versions only and a job that dies leaves
+the last version as it was.
 
 The driver handles the manifest (a row a shard), never rows of the data. A merge is one job for up to 256
 groups, without a shuffle; a group holds at most target_bytes, so no task grows with the data or with one hot source.
 
-Rows are kept as they are, repeated ones, nulls and all columns included; an empty arrival adds no shard.
+Rows are kept as they are, repeated ones, nulls and all columns included; an empty arrival adds no shard. Arrivals may
+add columns, which are null in earlier rows; a column of another type than before is refused when it arrives.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import os
 import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 JOB = 256  # groups merged by one job
 
@@ -68,11 +72,25 @@ class ShardedTable:
             out.write(bytearray(json.dumps({"version": new, "shards": [s.__dict__ for s in shards]}).encode()))
         finally:
             out.close()
-        if self._fs.exists(place) or not self._fs.rename(draft, place):
+        try:
+            self._publish(draft, place)
+        except Exception as e:
+            raise RuntimeError(f"version {new} has been committed by another writer") from e
+        finally:
             self._fs.delete(draft, False)
-            raise RuntimeError(f"version {new} has been committed by another writer")
         return new
 
+    def _publish(self, draft, place) -> None:
+        """Gives draft the name place, or fails if that is taken; of two writers at once, one fails."""
+        if self._fs.getScheme() == "file":
+            os.link(draft.toUri().getPath(), place.toUri().getPath())
+            return
+        jvm = self.spark._jvm
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        plain = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        plain[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        context.rename(draft, place, plain)
+
     def _latest(self) -> int:
         found = self.versions()
         return found[-1] if found else 0
@@ -93,13 +111,18 @@ class ShardedTable:
     def append(self, arrival: DataFrame) -> int:
         """Adds a shard for each partition of arrival that has rows, and commits."""
         version = self._latest()
+        before = self.manifest()
+        if before:
+            kinds = {f.name: f.dataType for f in self.read().schema}
+            if odd := [f.name for f in arrival.schema if kinds.get(f.name, f.dataType) != f.dataType]:
+                raise ValueError(f"columns of another type than before: {odd}")
         folder = f"{self.folder}/data/{version + 1:08d}-{uuid.uuid4().hex[:8]}"
         arrival.write.parquet(folder)
-        shards = [s for s in self._files(folder, version + 1) if self._has_rows(s)]
-        return self.commit(self.manifest() + shards, version)
-
-    def _has_rows(self, shard: Shard) -> bool:
-        return shard.size > 16 << 10 or not self.spark.read.parquet(shard.path).isEmpty()
+        shards = self._files(folder, version + 1)
+        if shards:  # one job names the files that have rows
+            full = {r[0] for r in self.spark.read.parquet(folder).select(F.element_at(F.split("_metadata.file_path", "/"), -1)).distinct().collect()}
+            shards = [s for s in shards if s.path.rpartition("/")[2] in full]
+        return self.commit(before + shards, version)
 
     def plan(self) -> list[list[Shard]]:
         """Groups to merge: similar in size, at least run of them, target_bytes together at most."""
@@ -132,8 +155,8 @@ class ShardedTable:
             merged = []
             for k in range(0, len(groups), JOB):
                 # one task reads the shards of one group and writes one file: no shuffle
-                parts = [self.spark.read.parquet(*[s.path for s in g]).coalesce(1) for g in groups[k : k + JOB]]
-                reduce(DataFrame.unionByName, parts).write.parquet(f"{folder}/{k:06d}")
+                parts = [self._read(g).coalesce(1) for g in groups[k : k + JOB]]
+                reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).write.parquet(f"{folder}/{k:06d}")
                 merged += self._files(f"{folder}/{k:06d}", version + 1)
             kept = [s for s in self.manifest() if s.path not in number]
             self.commit(kept + merged, version)
@@ -159,4 +182,7 @@ class ShardedTable:
         shards = self.manifest(version)
         if not shards:
             raise ValueError("the table has no shards")
-        return self.spark.read.parquet(*[s.path for s in shards])
+        return self._read(shards)
+
+    def _read(self, shards: list[Shard]) -> DataFrame:
+        return self.spark.read.option("mergeSchema", "true").parquet(*[s.path for s in shards])

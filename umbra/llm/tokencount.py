@@ -11,17 +11,21 @@ closed. An empty file has no documents. Repeated rows count as often as they occ
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from umbra.llm.shared import cut, in_arrow
+from umbra.llm.shared import cut, in_arrow, shared_dir, shuffle_partitions
 
 BLOCK = 1 << 16
 SUPER = 4096  # blocks summed together first
+RANGE = 64  # blocks of a file that a task reads in one go
 
 
 def ranks(path: str) -> dict[bytes, int]:
@@ -32,72 +36,98 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-_made: dict[int, object] = {}
+_made: dict[tuple, object] = {}
 
 
 def _encoding(vocabulary: dict[bytes, int], pattern: str):
-    key = len(vocabulary)
+    key = (pattern, len(vocabulary), hash(frozenset(vocabulary.items())))
     if key not in _made:
         import tiktoken
 
+        _made.clear()
         _made[key] = tiktoken.Encoding("flat", pat_str=pattern, mergeable_ranks=vocabulary, special_tokens={})
     return _made[key]
 
 
 #: The pre-tokenisation pattern of the public byte-level BPE vocabularies (a fixed value of those files).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space as the pattern has it, in runs that its look-ahead would go back over, step by step, on the stack.
+LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2000,}")
 
 
-def flatten(docs: DataFrame, vocabulary: dict[bytes, int], end_id: int, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """Flat files, one for each task: rows (file, block, tokens) of kind 0, little-endian uint16 (uint32 if ids need it);
-    rows (file, block as ordinal, doc) of kind 1 tell which document is which, for joining results back."""
-    wide = max(end_id, max(vocabulary.values(), default=0)) > 0xFFFF
-    kind = "<u4" if wide else "<u2"
+def encoded(encoding, text: str) -> list[int]:
+    """The ids of a text under PATTERN. A run of white space begins a new piece and, but for its last character if more
+    text follows, is one; so long runs are taken out without changing an id."""
+    ids, at = [], 0
+    for run in LONG_BLANK.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        ids += encoding.encode_ordinary(text[at : run.start()])
+        ids += encoding._encode_single_piece(text[run.start() : stop])
+        at = stop
+    return ids + encoding.encode_ordinary(text[at:])
+
+
+def write_flat(docs: DataFrame, vocabulary: dict[bytes, int], end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(file, n_bytes, ordinal, doc) of every row, after flat files of all texts' ids have been written below folder, one
+    by each task: little-endian uint16 (uint32 if ids need it).
+
+    folder is one that all executors share. A task that is run again writes a file of another name, and only the files
+    that are named in the result count.
+    """
+    kind = "<u4" if width_of(vocabulary, end_id) == 4 else "<u2"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(vocabulary, PATTERN)
-        file, ordinal, number, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
+        encoding, task = _encoding(vocabulary, PATTERN), TaskContext.get()
+        store, place = pa.fs.FileSystem.from_uri(folder)
+        name = f"{task.partitionId():06d}-{task.taskAttemptId()}.tok"
+        store.create_dir(place, recursive=True)
+        ordinal, size = 0, 0
+        with store.open_output_stream(f"{place}/{name}") as out:
+            for batch in batches:
+                for text in batch.column(1):
+                    ids = encoded(encoding, text.as_py() or "")
+                    ids.append(end_id)
+                    size += out.write(np.array(ids, kind).tobytes())
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.string()), pa.array(np.arange(ordinal, ordinal + n)), batch.column(0).cast(pa.int64())], ["file", "ordinal", "doc"])
+                ordinal += n
 
-        def row(tokens: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([file], pa.int64()), pa.array([number], pa.int64()), pa.nulls(1, pa.int64()), pa.array([tokens.tobytes()], pa.binary())], names)
+    return cut(docs.select(id_col, text_col).transform(in_arrow, run, "file string, ordinal long, doc long"))
 
-        names = ["kind", "file", "block", "doc", "tokens"]
-        for batch in batches:
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.array(np.full(n, file, np.int64)), pa.array(np.arange(ordinal, ordinal + n)), batch.column(0).cast(pa.int64()), pa.nulls(n, pa.binary())], names)
-            ordinal += n
-            for text in batch.column(1):
-                ids = encoding.encode_ordinary(text.as_py() or "")
-                ids.append(end_id)
-                held.append(np.array(ids, kind))
-                size += len(ids)
-                if size >= block:
-                    flat = np.concatenate(held)
-                    at = 0
-                    while len(flat) - at >= block:
-                        yield row(flat[at : at + block])
-                        number += 1
-                        at += block
-                    held, size = [flat[at:]], len(flat) - at
-        if size:
-            yield row(np.concatenate(held))
-
-    return docs.select(id_col, text_col).transform(in_arrow, run, "kind int, file long, block long, doc long, tokens binary")
-
-
-def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = 2) -> DataFrame:
-    """(file, block, tokens) of the flat token files below path, each of width bytes an id and under 2 GB."""
+
+def width_of(vocabulary: dict[bytes, int], end_id: int) -> int:
+    return 4 if max(end_id, max(vocabulary.values(), default=0)) > 0xFFFF else 2
+
+
+def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = 2, files: DataFrame | None = None) -> DataFrame:
+    """(file, block, tokens) of the flat token files below path, each of width bytes an id, of any size.
+
+    Files are listed by Spark and read by ranges of bytes, so a task holds a block and a file of any size is read by
+    many tasks. files (file): the names that count, if not all do.
+    """
+    step = block * width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = block * width
+        last, held = None, None
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = memoryview(content.as_buffer())
-                for k in range(-(-len(data) // step)):
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int64()), pa.array([bytes(data[k * step : (k + 1) * step])], pa.binary())], ["file", "block", "tokens"])
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").transform(in_arrow, run, "file string, block long, tokens binary")
+            for name, uri, low, high in zip(*(c.to_pylist() for c in batch.columns)):
+                if uri != last:
+                    if held is not None:
+                        held.close()
+                    store, place = pa.fs.FileSystem.from_uri(uri)
+                    last, held = uri, store.open_input_file(place)
+                for k in range(low, high):
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int64()), pa.array([held.read_at(min(step, held.size() - k * step), k * step)], pa.binary())], ["file", "block", "tokens"])
+        if held is not None:
+            held.close()
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0")
+    listed = listed.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.regexp_replace("path", "^file:/+", "file:///").alias("uri"), F.ceil(F.col("length") / step).alias("many"))
+    if files is not None:
+        listed = listed.join(files.select("file").distinct(), "file", "left_semi")
+    parts = listed.select("file", "uri", "many", F.explode(F.sequence(F.lit(0), F.col("many") - 1, F.lit(RANGE))).alias("low"))
+    ranges = parts.select("file", "uri", "low", F.least("many", F.col("low") + RANGE).alias("high"))
+    return ranges.repartition(shuffle_partitions(spark), "uri", "low").transform(in_arrow, run, "file string, block long, tokens binary")
 
 
 def scan(blocks: DataFrame, end_id: int, width: int = 2, group: int = SUPER) -> DataFrame:
@@ -137,9 +167,11 @@ def scan(blocks: DataFrame, end_id: int, width: int = 2, group: int = SUPER) ->
 
 
 def count(docs: DataFrame, vocabulary: dict[bytes, int], end_id: int, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """(id_col, file, ordinal, start, n_tokens) of every row: docs are flattened, and found again by their separators."""
-    flat = cut(flatten(docs, vocabulary, end_id, id_col, text_col, block))
-    width = 4 if max(end_id, max(vocabulary.values(), default=0)) > 0xFFFF else 2
-    found = scan(flat.where("kind = 0").select("file", "block", "tokens"), end_id, width)
-    named = flat.where("kind = 1").select("file", F.col("block").alias("ordinal"), "doc")
+    """(id_col, file, ordinal, start, n_tokens) of every row: docs are written as flat files, and found again by their separators."""
+    spark = docs.sparkSession
+    folder = f"{shared_dir(spark)}/flat-{uuid.uuid4().hex}"
+    named = write_flat(docs, vocabulary, end_id, folder, id_col, text_col)
+    if named.isEmpty():
+        return named.select(F.col("doc").alias(id_col), "file", "ordinal", F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("n_tokens"))
+    found = scan(read_flat(spark, folder, block, width_of(vocabulary, end_id), named), end_id, width_of(vocabulary, end_id))
     return named.join(found, ["file", "ordinal"]).select(F.col("doc").alias(id_col), "file", "ordinal", "start", "n_tokens")
