@@ -181,6 +181,13 @@ def test_leaks_in_running_text(spark):
     assert leaked(spark, texts, items) == {(0, 1), (1, 1), (2, 2)}
 
 
+def test_leaks_of_short_items_and_readings(spark):
+    items = ((1, "What is it?"), (2, "Paris"), (3, None), (4, "..."), (5, "Add 3 apples to 4 apples and then add 5 apples to 6 apples for her"))
+    docs = ["what is it", "Well, what is it now then", "paris!", "He went to paris once", "?", items[4][1].replace("3", "7").replace("4", "8").replace("5", "9").replace("6", "10"), items[4][1].replace("3", "2").replace("4", "2").replace("5", "2").replace("6", "2")]
+    got = {(r["doc_id"], r["item_id"]): r["leaked"] for r in decontaminate.leaks(spark.createDataFrame([(k, t, 0) for k, t in enumerate(docs)], "doc_id int, text string, n_found int"), spark.createDataFrame(items, "item_id int, text string")).collect()}
+    assert {k for k, v in got.items() if v} == {(0, 1), (2, 2), (5, 5)} and (6, 5) in got
+
+
 def test_leaks_brute_force(spark):
     """Without slots the operator is: half of the item's word windows stand in the document."""
     r = random.Random(7)

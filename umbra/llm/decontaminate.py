@@ -3,8 +3,9 @@
 Words lose the punctuation around them and their case; numbers, names and units become typed placeholders. Windows of
 ``width`` canonical words of each benchmark item are hash-joined with those of the documents, so an item is found
 with other numbers and names in it too. A document that holds ``least_cover`` of an item's windows is a candidate;
-its slots are then checked: where the item repeats a value, the document must repeat its own, in ``least_agree`` of
-the slots. An item with fewer than ``width`` words is one window of its own length.
+its slots are then checked: each value of the item must stand for one value of the document, another one for another
+value, in ``least_agree`` of the slots. An item with fewer than ``width`` words is one window of its own length; one
+with fewer than ``least_words`` says too little within a text, and is found as the whole of one.
 
 A number is a word with a digit. A unit is a word of UNITS after a number. A name is a capitalised word that does not
 begin a text, a line or a sentence; the first word of a window is also read as literal, whatever stands before it, so
@@ -15,7 +16,7 @@ among the windows with a template or among all, and the figures reported are tho
 The hash join's build side is the benchmark, taken in blocks of at most ``block_chars`` characters, so what is
 broadcast has a bound; all documents are held against each block.
 
-Rows: null and empty texts, and items with fewer than ``least_words`` words, match nothing. Repeated items and
+Rows: null and empty texts and items without a word match nothing. Repeated items and
 documents are each reported. An empty table gives no rows. Extra columns are not read.
 """
 
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from umbra.llm import text as tx
 from umbra.llm.shared import in_arrow
@@ -143,7 +145,8 @@ class Index:
         self.value, self.slot, self.first = t.value, t.slot, t.first
         text = np.repeat(np.arange(len(t.count)), t.count)
         hashes, entries, sizes, light = [], [], [], np.zeros(len(t.code), bool)
-        for size in sorted({width, *(int(c) for c in t.count if least_words <= c < width)}):
+        self.least_words = least_words
+        for size in sorted({width, *(int(c) for c in t.count if 0 < c < width)}):
             at, h, template = t.windows(size)
             own = t.count[text[at]] if len(at) else np.zeros(0, np.int64)
             keep = own >= width if size == width else own == size
@@ -174,7 +177,10 @@ def matches(column: pa.Array, index: Index, least_cover: float, least_agree: flo
         for width in index.widths:
             at, h, _ = t.windows(width)
             low, high = np.searchsorted(index.hash, h), np.searchsorted(index.hash, h, side="right")
-            hit = np.flatnonzero(high > low)
+            hit = high > low
+            if width < index.least_words:
+                hit &= t.count[text[at]] == width
+            hit = np.flatnonzero(hit)
             for p, a, b in zip(at[hit].tolist(), low[hit].tolist(), high[hit].tolist()):
                 pairs += [(int(text[p]), int(index.item[e]), int(index.at[e]), p, width) for e in range(a, b) if index.size[e] == width]
         pairs = sorted(set(pairs))
@@ -196,23 +202,24 @@ def matches(column: pa.Array, index: Index, least_cover: float, least_agree: flo
 
 
 def _slots(index: Index, t: Templates, pairs: list[tuple]) -> tuple[int, int]:
-    """(slots of the item seen, those whose value the document renders as it renders most of that value's slots)."""
+    """(slots of the item seen, those on which a one-to-one reading of its values as the document's agrees)."""
     seen: dict[int, dict[int, int]] = {}
     for *_, q, p, width in pairs:
         for k in range(width):
             if index.slot[q + k]:
                 seen.setdefault(q + k, {}).setdefault(int(t.value[p + k]), 0)
                 seen[q + k][int(t.value[p + k])] += 1
-    by_value: dict[int, list[set[int]]] = {}
+    votes: dict[tuple[int, int], int] = {}
     for place, values in seen.items():
-        by_value.setdefault(int(index.value[place]), []).append(set(values))
-    agree = 0
-    for places in by_value.values():
-        count: dict[int, int] = {}
-        for values in places:
-            for v in values:
-                count[v] = count.get(v, 0) + 1
-        agree += max(count.values())
+        for v in values:
+            pair = int(index.value[place]), v
+            votes[pair] = votes.get(pair, 0) + 1
+    agree, mine, theirs = 0, set(), set()
+    for (x, v), n in sorted(votes.items(), key=lambda e: (-e[1], e[0][0] != e[0][1], e[0])):
+        if x not in mine and v not in theirs:  # a value stands for one value, and one only
+            mine.add(x)
+            theirs.add(v)
+            agree += n
     return len(seen), agree
 
 
@@ -232,7 +239,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     source = docs.select(id_col, text_col)
     kind = T.StructType([source.schema[id_col], T.StructField(item_col, benchmark.schema[item_col].dataType), *(T.StructField(c, T.LongType()) for c in ("n_found", "n_windows", "n_slots", "n_agree")), T.StructField("leaked", T.BooleanType())])
     found = docs.sparkSession.createDataFrame([], kind)
-    item_type = pa.from_numpy_dtype(np.int64) if isinstance(kind[item_col].dataType, T.LongType) else None
+    item_type = to_arrow_type(kind[item_col].dataType)
     for items in blocks(benchmark, item_col, item_text_col, block_chars):
         index = Index(items, width, least_words)
 

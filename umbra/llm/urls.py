@@ -2,8 +2,8 @@
 
 Native: DataFrame expressions only. The tree is built level by level from aggregated paths, top down:
 1. numbers, hexadecimal runs and UUIDs in a segment become a wildcard by their form (an extension stays);
-2. below one host and prefix, a segment becomes a wildcard if it has fewer than ``least_share`` of the rows, fewer
-   than ``least_labels`` labels, and a rate of bad labels that does not differ from that of all its siblings (G-test,
+2. below one host and prefix, a segment becomes a wildcard if it has fewer than ``least_share`` of the rows or than
+   ``least_rows`` of them, fewer than ``least_labels`` labels, and a rate of bad labels that does not differ from that of all its siblings (G-test,
    at ``z`` corrected for the number of labelled siblings). So rows or labels enough always bring a segment back;
 3. sibling branches, in the order of their smoothed rates, are merged to one while their rates of bad labels differ
    neither from the pooled rate of those merged so far nor from the first of these (two-proportion z-tests);
@@ -52,12 +52,13 @@ def rule_of(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
 
 
 def _rules_joined(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """Many rules: a join on each suffix of the host; Spark broadcasts the rules only below its size limit."""
-    table = pages.sparkSession.createDataFrame(rules, "what string, of string, prefix string")
+    """Many rules: a join on each suffix of the host; Spark broadcasts the rules only below its size limit. Of rules of
+    one length the last listed wins, as with few."""
+    table = pages.sparkSession.createDataFrame([(*r, k) for k, r in enumerate(rules)], "what string, of string, prefix string, place int")
     parts = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
     near = pages.select("page", "path", F.explode(suffixes).alias("of")).join(table, "of").where(F.col("path").startswith(F.col("prefix")))
-    best = near.groupBy("page").agg(F.max_by(F.struct(F.concat("of", "prefix").alias("rule"), F.col("what").alias("rule_verdict")), F.length(F.concat("of", "prefix"))).alias("best"))
+    best = near.groupBy("page").agg(F.max_by(F.struct(F.concat("of", "prefix").alias("rule"), F.col("what").alias("rule_verdict")), F.struct(F.length(F.concat("of", "prefix")), "place")).alias("best"))
     return pages.join(best.select("page", "best.*"), "page", "left")
 
 
@@ -103,7 +104,7 @@ def _starts(branches: Column, z: float) -> Column:
     return F.aggregate(branches, none, step, lambda c: c["starts"])
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", least_share: float = 0.01, z: float = 1.96, smooth: float = 10.0, reject_over: float = 0.5, least_labels: int = 20) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", least_share: float = 0.01, z: float = 1.96, smooth: float = 10.0, reject_over: float = 0.5, least_labels: int = 20, least_rows: int = 3) -> DataFrame:
     """(id_col, host, path, rule, verdict, template, n_labelled, bad_rate) of every page.
 
     labels: (id_col, bad) with bad 1 or 0; several labels of a page count each.
@@ -128,7 +129,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
         child = tree.groupBy(*above, segment.alias("segment")).agg(F.count("*").alias("paths"), F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
         parent = child.groupBy(*above).agg(F.sum("paths").alias("paths_above"), F.sum("n").alias("n_above"), F.sum("labelled").alias("l_above"), F.sum("bad").alias("b_above"), F.count_if(F.col("labelled") > 0).alias("siblings"))
         child = child.join(parent, above)
-        common = (F.col("n") >= F.lit(least_share) * F.col("n_above")) | (F.col("labelled") >= least_labels)
+        common = (F.col("n") >= F.greatest(F.lit(least_share) * F.col("n_above"), F.lit(least_rows))) | (F.col("labelled") >= least_labels)
         differs = _differs(F.col("labelled"), F.col("bad"), F.col("l_above") - F.col("labelled"), F.col("b_above") - F.col("bad"), F.col("siblings"), z)
         branch = F.when((F.col("segment") == NONE) | common | differs, F.col("segment")).otherwise(F.lit(WILD))
         placed = child.withColumn("branch", branch)
