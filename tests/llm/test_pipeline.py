@@ -48,3 +48,19 @@ def test_stages(spark, folder):
 def test_run(spark, folder):
     done = corpus_pipeline.run(spark, folder).collect()
     assert done and 1 not in {r["doc_id"] for r in done} and len({r["doc_id"] for r in done}) == len(done)
+
+
+def test_stages_of_odd_tables(spark, folder):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for c in ("doc", "rest", "spans", "changed", "n_bytes", "component_id", "lang_pred", "first"):
+        docs = docs.withColumn(c, F.lit(c))
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("doc_id < 0"), folder).count() == 0
+        if name != "token_ids":
+            got = stage(spark, docs, folder)
+            assert got.columns == docs.columns and {r["rest"] for r in got.collect()} == {"rest"}
+    same = spark.createDataFrame([(k, "the house of the king is big and old and near the sea", "en", "s0", 0) for k in range(40)], SCHEMA)
+    assert [r["doc_id"] for r in corpus_pipeline.near_copies(spark, same, folder).collect()] == [0]
+    assert corpus_pipeline.language(spark, same.withColumn("lang", F.lit(None).cast("string")), folder).count() == 0

@@ -9,7 +9,8 @@ are joined on the next level, until the records are found.
 A node is made from at most fan_out rows, or the records that begin within span bytes, so no group grows.
 
 Rows: a record with null bytes counts as empty. An archive or record that one replica lacks is reported as missing
-there. Records at one offset of an archive are one leaf: the hash of their digests, in order. Empty replicas have no nodes and
+there. Records at one offset of an archive are one leaf: the hash of their digests, in order.
+A record without an archive or an offset equals none, so it is reported for either replica. Empty replicas have no nodes and
 no mismatch. Extra columns are not read.
 """
 

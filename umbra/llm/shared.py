@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or a folder of our own where that is unset and all runs on
+    this machine (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="umbra-checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
