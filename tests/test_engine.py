@@ -220,3 +220,79 @@ def test_all_consolidations(spark, monkeypatch):
             if a < b and pa == pb and like >= 0.8:
                 want[a, b] = pytest.approx(0.9 * like)
     assert got == want and any(v < 0.9 for v in got.values())
+
+
+def test_mappings_merge_without_collision(spark):
+    def made(*rows):
+        return mp.build(spark.createDataFrame(list(rows), "n int, flag_type string, value string, path string"), ["n"])
+
+    one = made((0, "person", "Ann Lee", "f"), (1, "email", "a@b.cd", "f"))
+    two = made((0, "person", "Bob Ray", "g"), (1, "person", "ann lee", "g"), (2, "thing", "X-1", "g"))
+    got = {r["key"]: (r["placeholder"], r["occurrence_count"], sorted(r["sources"])) for r in mp.merge([one, two]).collect()}
+    assert got == {"ann lee": ("[PERSON_001]", 2, ["f", "g"]), "bob ray": ("[PERSON_002]", 1, ["g"]), "a@b.cd": ("[EMAIL_001]", 1, ["f"]), "x-1": ("[ENTITY_001]", 1, ["g"])}
+
+
+def test_numbers_over_ranges(spark):
+    keys = spark.range(5000).selectExpr("id as at", "cast(id as string) as key", "if(id % 5 < 4, 'A', 'B') as prefix").repartition(7)
+    got = sorted(((r["prefix"], r["at"]), r["number"]) for r in mp.numbered(keys, ["at", "key"]).collect())
+    assert [n for _, n in got] == [*range(1, 4001), *range(1, 1001)]
+    assert mp.numbered(keys.where("at < 0"), ["at"]).count() == 0
+
+
+def test_leak_counts(spark):
+    texts = spark.createDataFrame([("a", "ann ANN x"), ("b", None), ("c", "bob"), ("d", "")], "path string, text string")
+    mapping = spark.createDataFrame([("ann", "Ann", "[PERSON_001]", "person"), ("bob", "bob", "[PERSON_002]", "person"), ("x", "x", "[ENTITY_001]", "k")], "key string, original string, placeholder string, entity_type string")
+    for limit in (10, 2):
+        assert {r["path"]: r["leaks"] for r in verify.leak_counts(texts, mapping, limit=limit).collect()} == {"a": 2, "b": 0, "c": 1, "d": 0}
+
+
+def test_office_texts_and_images(spark):
+    import io
+    import struct
+    import zipfile
+
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        z.writestr("word/document.xml", "<w:document><w:t>Ann &amp; Lee</w:t><w:t/></w:document>")
+        z.writestr("docProps/core.xml", "<cp:coreProperties><dc:creator>Ann</dc:creator></cp:coreProperties>")
+    sheet = io.BytesIO()
+    with zipfile.ZipFile(sheet, "w") as z:
+        z.writestr("xl/sharedStrings.xml", "<sst><si><t>call ann</t></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", "<c t='inlineStr'><is><t>ANN</t></is></c>")
+    gif = b"GIF89a" + bytes([1, 0, 1, 0, 0, 0, 0]) + b"!\xfe\x05by an\x00" + b"," + bytes([0, 0, 0, 0, 1, 0, 1, 0, 0, 2, 2, 0x44, 1, 0]) + b";"
+    chunk = lambda name, body: name + struct.pack("<I", len(body)) + body + b"\0" * (len(body) % 2)
+    body = b"WEBP" + chunk(b"VP8X", bytes([0x0C] + [0] * 9)) + chunk(b"VP8 ", b"abc") + chunk(b"EXIF", b"secret")
+    webp = b"RIFF" + struct.pack("<I", len(body)) + body
+    rows = [("a.docx", packed.getvalue()), ("b.xlsx", sheet.getvalue()), ("c.gif", gif), ("d.webp", webp), ("e.bmp", b"BM00"), ("f.tiff", b"II*"), ("g.docx", b"no"), ("h.gif", b"no")]
+    mapping = spark.createDataFrame([("ann", "Ann", "[PERSON_001]", "person")], "key string, original string, placeholder string, entity_type string")
+    done, failed = clean.clean_files(spark.createDataFrame(rows, "path string, content binary"), mapping)
+    got = {r["path"]: bytes(r["content"]) for r in done.collect()}
+    assert set(got) == {"a.docx", "b.xlsx", "c.gif", "d.webp", "e.bmp"} and {r["path"] for r in failed.collect()} == {"f.tiff", "g.docx", "h.gif"}
+    with zipfile.ZipFile(io.BytesIO(got["a.docx"])) as z:
+        assert z.read("word/document.xml") == b"<w:document><w:t>[PERSON_001] &amp; Lee</w:t><w:t/></w:document>" and b"Ann" not in z.read("docProps/core.xml")
+    with zipfile.ZipFile(io.BytesIO(got["b.xlsx"])) as z:
+        assert b"call [PERSON_001]" in z.read("xl/sharedStrings.xml") and b"[PERSON_001]" in z.read("xl/worksheets/sheet1.xml")
+    assert b"by an" not in got["c.gif"] and got["c.gif"].endswith(b";") and b"," in got["c.gif"]
+    assert b"EXIF" not in got["d.webp"] and b"abc" in got["d.webp"] and got["d.webp"][20] == 0
+
+
+def test_answers_in_free_text(spark):
+    answers = ['see [1] {"entities": [{"type": "person", "value": "A"}]} end', 'x [{"type": "org", "value": "B", "more": [1]}] y [2', '{"entities": []} {"other": 1}', "[[", None, '[{"type": "a", "value": "b"}', '{"a": {"entities": [{"type": "t"}]}}']
+    got = spark.createDataFrame([(k, a) for k, a in enumerate(answers)], "k int, a string").select("k", evaluate.salvaged("a").alias("e")).collect()
+    assert {r["k"]: [(e["type"], e["value"]) for e in r["e"]] for r in got} == {0: [("person", "A")], 1: [("org", "B")], 2: [], 3: [], 4: [], 5: [], 6: [("t", "")]}
+
+
+def test_catalog_of_a_version(spark):
+    from umbra.operators import catalog
+
+    files = spark.createDataFrame([("p", 1, "docs/a.pdf"), ("p", 2, "docs/a.pdf"), ("p", 2, "cad/b.step"), ("q", 9, "x.txt")], "project_name string, version int, path string")
+    got = {(r["data_type"], r["file_type"], r["files"]) for r in catalog.version_catalog(files, "p").collect()}
+    assert got == {("docs", "document", 1), ("cad", "cad", 1), ("docs", None, 1), ("cad", None, 1)}
+    assert catalog.of_version(files, "p", 1).count() == 1 and catalog.version_catalog(files, "none").count() == 0
+
+
+def test_summary_of_names(spark):
+    signed = discriminate.signatures(spark.createDataFrame([("a report v1.txt", b"x"), ("a report v2.txt", b"y"), ("other.txt", b"x"), ("zzz.txt", b"w")], "path string, content binary"))
+    pairs = discriminate.similar_names(signed, "path")
+    assert [r["name_a"] for r in discriminate.most_similar_first(pairs).collect()] == ["a report v1"]
+    assert tuple(discriminate.summary(signed, pairs).first()) == (4, 1, 2, 1, 1)

@@ -44,7 +44,11 @@ SURNAMES_CN = (
     "后荆红游竺权逯盖益桓公"
 )
 SURNAME_CN = rf"(?U)(?:{TITLES_CN})[\s:]*([{SURNAMES_CN}])"
-ORG_WORDS = "company corporation corporate inc incorporated llc ltd limited gmbh ag sa plc nv bv technologies technology industries industry solutions systems labs laboratories medical engineering group groups holdings partners partnership consulting services service international global".split()
+ORG_WORDS = [
+    "company", "corporation", "corporate", "inc", "incorporated", "llc", "ltd", "limited", "gmbh", "ag", "sa", "plc", "nv", "bv",
+    "technologies", "technology", "industries", "industry", "solutions", "systems", "labs", "laboratories", "medical", "engineering",
+    "group", "groups", "holdings", "partners", "partnership", "consulting", "services", "service", "international", "global",
+]
 PARTNERS = r"(?U)([A-Z][A-Za-z]+)\s+&\s+([A-Z][A-Za-z]+)"
 NAME_OF_NAME = r"(?U)([A-Z][A-Za-z]+\s+of\s+[A-Z][A-Za-z]+)"
 PRODUCT_PATTERNS = [
@@ -65,39 +69,44 @@ FILENAME_PATTERNS = [
 DEFAULT_CONFIDENCE = 0.5
 
 EXTENSIONS = {
-    "image": ".jpg .jpeg .png .gif .bmp .svg .webp .tiff .tif .ico .heic .heif .raw .cr2",
-    "video": ".mp4 .avi .mov .mkv .wmv .flv .webm .m4v .mpg .mpeg .3gp",
-    "audio": ".mp3 .wav .flac .aac .ogg .wma .m4a",
-    "document": ".pdf .doc .docx .xls .xlsx .ppt .pptx .txt .rtf .odt .ods .odp .csv .tsv",
-    "cad": ".step .stp .stl .obj .fbx .blend .dwg .dxf .sldprt .sldasm .ipt .iam .prt .asm .x_t .x_b .iges .igs",
-    "electronics": ".brd .sch .pcb .kicad_pcb .kicad_sch .fzz .hex .bin .elf",
-    "archive": ".zip .tar .gz .bz2 .7z .rar .xz",
-    "firmware": ".hex .bin .elf .fw .uif .dfu",
-    "code": ".py .js .c .cpp .h .java .go .rs .html .css .json .xml .yaml .yml .toml",
+    "image": [".jpg", ".jpeg", ".png", ".gif", ".bmp", ".svg", ".webp", ".tiff", ".tif", ".ico", ".heic", ".heif", ".raw", ".cr2"],
+    "video": [".mp4", ".avi", ".mov", ".mkv", ".wmv", ".flv", ".webm", ".m4v", ".mpg", ".mpeg", ".3gp"],
+    "audio": [".mp3", ".wav", ".flac", ".aac", ".ogg", ".wma", ".m4a"],
+    "document": [".pdf", ".doc", ".docx", ".xls", ".xlsx", ".ppt", ".pptx", ".txt", ".rtf", ".odt", ".ods", ".odp", ".csv", ".tsv"],
+    "cad": [".step", ".stp", ".stl", ".obj", ".fbx", ".blend", ".dwg", ".dxf", ".sldprt", ".sldasm", ".ipt", ".iam", ".prt", ".asm", ".x_t", ".x_b", ".iges", ".igs"],
+    "electronics": [".brd", ".sch", ".pcb", ".kicad_pcb", ".kicad_sch", ".fzz", ".hex", ".bin", ".elf"],
+    "archive": [".zip", ".tar", ".gz", ".bz2", ".7z", ".rar", ".xz"],
+    "firmware": [".hex", ".bin", ".elf", ".fw", ".uif", ".dfu"],
+    "code": [".py", ".js", ".c", ".cpp", ".h", ".java", ".go", ".rs", ".html", ".css", ".json", ".xml", ".yaml", ".yml", ".toml"],
 }
 CLEANER_EXTENSIONS = {
-    "text": ".txt .csv .tsv .log .md .rst .py .js .c .cpp .h .java .go .rs .html .css .json .xml .yaml .yml .toml .sql .sh .bash .zsh",
-    "pdf": ".pdf",
-    "image": ".jpg .jpeg .png .gif .bmp .tiff .tif .webp .heic .heif",
-    "audio": ".mp3 .wav .flac .aac .ogg .wma .m4a",
-    "video": ".mp4 .avi .mov .mkv .wmv .flv .webm .m4v .mpg .mpeg .3gp",
-    "xlsx": ".xlsx .xlsm",
-    "docx": ".docx",
+    "text": [".txt", ".csv", ".tsv", ".log", ".md", ".rst", ".py", ".js", ".c", ".cpp", ".h", ".java", ".go", ".rs", ".html", ".css", ".json", ".xml", ".yaml", ".yml", ".toml", ".sql", ".sh", ".bash", ".zsh"],
+    "pdf": [".pdf"],
+    "image": [".jpg", ".jpeg", ".png", ".gif", ".bmp", ".tiff", ".tif", ".webp", ".heic", ".heif"],
+    "audio": [".mp3", ".wav", ".flac", ".aac", ".ogg", ".wma", ".m4a"],
+    "video": [".mp4", ".avi", ".mov", ".mkv", ".wmv", ".flv", ".webm", ".m4v", ".mpg", ".mpeg", ".3gp"],
+    "xlsx": [".xlsx", ".xlsm"],
+    "docx": [".docx"],
 }
 PREFIXES = {"person": "PERSON", "company": "COMPANY", "location": "LOCATION", "email": "EMAIL", "phone": "PHONE", "address": "ADDRESS", "sensitive_doc": "DOCREF"}
 DEFAULT_PREFIX = "ENTITY"
 
 DOC_KEYWORDS = r"(?iuU)(invoice|quotation|proposal|quote|contract|agreement|receipt|payment|paid|confidential|nda|non-disclosure|report|specification|bom|bill\s*of\s*materials|resume|cv|salary|passport|id\s*card|license)"
 HEAVY_KEYWORDS = ["confidential", "nda", "non-disclosure"]
-SENSITIVE_NAMES = """invoice_2020.pdf invoice_acme_march.pdf INV-12345.pdf quotation_v2.pdf quote_response.pdf payment_receipt_jan.png
-payment_confirmation.pdf receipt_001.jpg paid_invoice.pdf budget_2021.xlsx financial_report_q4.pdf tax_filing_2020.pdf vat_return.pdf
-purchase_order_1001.pdf PO-5432.pdf nda_acme_signed.pdf non-disclosure_agreement.pdf contract_v3.pdf service_agreement.pdf
-confidential_strategy.pdf proprietary_design.pdf license_agreement.pdf terms_of_service.pdf resume_john_doe.pdf cv_smith.pdf
-employee_handbook.pdf salary_review.xlsx performance_review_2020.pdf passport_scan.jpg id_card_front.png driver_license.jpg ssn_form.pdf
-bom_revision3.xlsx bill_of_materials.pdf prototype_design.pdf specification_v2.pdf roadmap_2021.pdf strategy_deck.pptx""".split()
-NORMAL_NAMES = """photo_001.jpg screenshot.png image_123.bmp vacation_photo.jpg family_pic.png readme.txt changelog.md todo.txt
-test_results.log build_output.txt meeting_notes.pdf agenda.pdf minutes.docx presentation.pptx draft.docx part_001.step assembly.dxf
-board_rev2.sch firmware.hex config.json""".split()
+SENSITIVE_NAMES = [
+    "invoice_2020.pdf", "invoice_acme_march.pdf", "INV-12345.pdf", "quotation_v2.pdf", "quote_response.pdf", "payment_receipt_jan.png",
+    "payment_confirmation.pdf", "receipt_001.jpg", "paid_invoice.pdf", "budget_2021.xlsx", "financial_report_q4.pdf",
+    "tax_filing_2020.pdf", "vat_return.pdf", "purchase_order_1001.pdf", "PO-5432.pdf", "nda_acme_signed.pdf",
+    "non-disclosure_agreement.pdf", "contract_v3.pdf", "service_agreement.pdf", "confidential_strategy.pdf", "proprietary_design.pdf",
+    "license_agreement.pdf", "terms_of_service.pdf", "resume_john_doe.pdf", "cv_smith.pdf", "employee_handbook.pdf", "salary_review.xlsx",
+    "performance_review_2020.pdf", "passport_scan.jpg", "id_card_front.png", "driver_license.jpg", "ssn_form.pdf", "bom_revision3.xlsx",
+    "bill_of_materials.pdf", "prototype_design.pdf", "specification_v2.pdf", "roadmap_2021.pdf", "strategy_deck.pptx",
+]
+NORMAL_NAMES = [
+    "photo_001.jpg", "screenshot.png", "image_123.bmp", "vacation_photo.jpg", "family_pic.png", "readme.txt", "changelog.md", "todo.txt",
+    "test_results.log", "build_output.txt", "meeting_notes.pdf", "agenda.pdf", "minutes.docx", "presentation.pptx", "draft.docx",
+    "part_001.step", "assembly.dxf", "board_rev2.sch", "firmware.hex", "config.json",
+]
 
 STEP_FIELDS = [("product", "PRODUCT"), ("description", "DESCRIPTION"), ("directory", "DIRECTORY"), ("designer", "DESIGNER"), ("organization", "ORGANIZATION"), ("time", "TIME_TIMESTAMP")]
 DXF_KEYS = ["ACAD_MAINTVER", "ACAD_VER", "DWGCODEPAGE", "INSBASE", "EXTMIN", "EXTMAX", "LIMMIN", "LIMMAX", "AUTHOR", "LAST_SAVED_BY", "COMPANY", "COMMENT"]

@@ -23,10 +23,10 @@ def stem(path: Column) -> Column:
     return F.substring(base, F.lit(1), F.length(base) - F.length(suffix(path)))
 
 
-def _type_map(sets: dict[str, str]) -> Column:
+def _type_map(sets: dict[str, list[str]]) -> Column:
     first: dict[str, str] = {}
     for kind, extensions in sets.items():
-        for e in extensions.split():
+        for e in extensions:
             first.setdefault(e, kind)
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(first.items())])
 

@@ -84,3 +84,15 @@ def numbered(rows: DataFrame, order: list[Column | str], name: str = "ord") -> D
 
 def ordered_by_name(groups: DataFrame) -> DataFrame:
     return groups.orderBy(F.lower("project_name"), "project_name")
+
+
+def of_version(rows: DataFrame, project: str, version: str | None = None, by: str = "project_name", of: str = "version") -> DataFrame:
+    """The rows of one version of a project; without a version, of its latest."""
+    own = rows.where(F.col(by) == project)
+    return latest(own, by, of) if version is None else own.where(F.col(of) == version)
+
+
+def version_catalog(files: DataFrame, project: str, version: str | None = None, by: str = "project_name", of: str = "version", path: str = "path") -> DataFrame:
+    """The catalog of one version: files of each type, and of all (file_type null), with their paths' data type."""
+    own = of_version(files, project, version, by, of)
+    return count_by_type(typed(own.withColumn("data_type", naming.data_type(F.concat(F.lit("root/"), F.col(path)))), path), [by, of, "data_type"])

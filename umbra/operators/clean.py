@@ -16,6 +16,7 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from xml.sax.saxutils import escape, unescape
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -52,12 +53,66 @@ def clean_png(data: bytes) -> bytes:
     return b"".join(out)
 
 
+def clean_gif(data: bytes) -> bytes:
+    """Without comments, texts and application data, but for the loop count."""
+    if data[:6] not in (b"GIF87a", b"GIF89a"):
+        raise ValueError("no GIF file")
+
+    def blocks(at: int) -> int:
+        while data[at]:
+            at += data[at] + 1
+        return at + 1
+
+    at = 13 + (3 << (data[10] & 7) + 1 if data[10] & 0x80 else 0)
+    out = [data[:at]]
+    while data[at] != 0x3B:
+        if data[at] == 0x2C:
+            colours = 3 << (data[at + 9] & 7) + 1 if data[at + 9] & 0x80 else 0
+            end, keep = blocks(at + 11 + colours), True
+        elif data[at] == 0x21:
+            end = blocks(at + 2)
+            keep = data[at + 1] == 0xF9 or data[at + 1] == 0xFF and data[at + 3 : at + 14] == b"NETSCAPE2.0"
+        else:
+            raise ValueError("broken GIF file")
+        out += [data[at:end]] * keep
+        at = end
+    return b"".join(out) + b";"
+
+
+def clean_webp(data: bytes) -> bytes:
+    """Without EXIF and XMP, and without the flags that announce them."""
+    if data[:4] != b"RIFF" or data[8:12] != b"WEBP":
+        raise ValueError("no WEBP file")
+    out, at = [], 12
+    while at + 8 <= len(data):
+        size = struct.unpack("<I", data[at + 4 : at + 8])[0]
+        end = at + 8 + size + size % 2
+        if data[at : at + 4] == b"VP8X":
+            out.append(data[at : at + 8] + bytes([data[at + 8] & ~0x0C]) + data[at + 9 : end])
+        elif data[at : at + 4] not in (b"EXIF", b"XMP "):
+            out.append(data[at:end])
+        at = end
+    body = b"WEBP" + b"".join(out)
+    return b"RIFF" + struct.pack("<I", len(body)) + body
+
+
+IMAGES = {".png": clean_png, ".jpg": clean_jpeg, ".jpeg": clean_jpeg, ".gif": clean_gif, ".webp": clean_webp}
+
+
 def clean_image(name: str, data: bytes) -> bytes:
-    return clean_png(data) if name.lower().endswith(".png") else clean_jpeg(data) if name.lower().endswith((".jpg", ".jpeg")) else data
+    """An image without metadata. BMP has none; other kinds can't be rewritten here, and must not pass for clean."""
+    kind = Path(name).suffix.lower()
+    if kind == ".bmp":
+        if data[:2] != b"BM":
+            raise ValueError("no BMP file")
+        return data
+    if kind not in IMAGES:
+        raise RuntimeError(f"metadata of {kind} files can't be removed")
+    return IMAGES[kind](data)
 
 
 def clean_office(data: bytes, text: Callable[[str], str] | None = None) -> bytes:
-    """An OOXML file without core, application and custom properties; text, if given, rewrites its runs."""
+    """An OOXML file without core, application and custom properties; text, if given, rewrites the texts of its runs and cells."""
     out = io.BytesIO()
     with zipfile.ZipFile(io.BytesIO(data)) as old, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as new:
         for item in old.infolist():
@@ -70,8 +125,8 @@ def clean_office(data: bytes, text: Callable[[str], str] | None = None) -> bytes
                 body = re.sub(rb"(<(?:\w+:)?(?:%s)\b[^>]*>)[^<]*" % "|".join(CORE).encode(), rb"\1", body)
             elif item.filename == "docProps/app.xml":
                 body = re.sub(rb"(<(?:Company|Manager|Application)\b[^>]*>)[^<]*", rb"\1", body)
-            elif text and re.fullmatch(r"word/(document|header\d*|footer\d*)\.xml|xl/sharedStrings\.xml", item.filename):
-                body = re.sub(r"(<(?:w:)?t\b[^>]*>)([^<]*)", lambda m: m[1] + text(m[2]), body.decode()).encode()
+            elif text and re.fullmatch(r"word/(document|header\d*|footer\d*|footnotes|endnotes|comments)\.xml|xl/sharedStrings\.xml|xl/worksheets/[^/]*\.xml", item.filename):
+                body = re.sub(r"(<(?:w:)?t\b[^>/]*>)([^<]*)", lambda m: m[1] + escape(text(unescape(m[2]))), body.decode()).encode()
             new.writestr(item.filename, body)
     return out.getvalue()
 
@@ -104,12 +159,25 @@ CLEANERS: dict[str, Callable[[str, bytes], bytes]] = {
     "image": clean_image,
     "audio": lambda n, d: clean_media(n, d, 60, False),
     "video": lambda n, d: clean_media(n, d, 120, True),
-    "xlsx": lambda n, d: clean_office(d),
-    "docx": lambda n, d: clean_office(d),
     "copy": lambda n, d: d,
 }
 
 
+def _office(entries: list[tuple[str, str]]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        put = replace.replacer(entries)
+        for batch in batches:
+            rows = []
+            for path, content, error in batch.itertuples(index=False):
+                try:
+                    rows.append((path, clean_office(bytes(content), put), None) if error is None else (path, None, error))
+                except Exception as e:  # noqa: BLE001 - any fault of a file is reported as that file's
+                    rows.append((path, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["path", "content", "error"])
+
+    return run
+
+
 def clean_files(files: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cleaned (path, content), failures (path, error)) of files (path, content)."""
     routed = files.select("path", "content", naming.cleaner(F.col("path")).alias("cleaner"))
@@ -129,5 +197,9 @@ def clean_files(files: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFr
                     rows.append((path, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["path", "content", "error"])
 
-    done = as_text.unionByName(bad).unionByName(routed.where("cleaner <> 'text'").mapInPandas(run, "path string, content binary, error string"))
+    others = routed.where("cleaner not in ('text', 'xlsx', 'docx')").mapInPandas(run, "path string, content binary, error string")
+    office = routed.where("cleaner in ('xlsx', 'docx')").select("path", "content", F.lit(None).cast("string").alias("error"))
+    for entries in replace.entry_blocks(mapping):
+        office = office.mapInPandas(_office(entries), "path string, content binary, error string")
+    done = as_text.unionByName(bad).unionByName(others).unionByName(office)
     return done.where("error is null").select("path", "content"), done.where("error is not null").select("path", "error")

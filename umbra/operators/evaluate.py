@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
 import json
-import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -62,37 +62,25 @@ def model_entities(answers: DataFrame, source: str = "source", answer: str = "an
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("type", T.StringType()), T.StructField("value", T.StringType())])))
 def salvaged(answers: pd.Series) -> pd.Series:
-    """What can be read from an answer: its last list of entities, or else its last object that holds such a list."""
-
-    def entries(found) -> list[dict]:
-        return [{"type": str(e.get("type") or ""), "value": str(e.get("value") or "")} for e in found if isinstance(e, dict)]
-
-    def loaded(text: str):
-        try:
-            return json.loads(text)
-        except ValueError:
-            return None
-
-    def objects(text: str):
-        depth = start = 0
-        for k, c in enumerate(text):
-            if c == "{":
-                start = k if depth == 0 else start
-                depth += 1
-            elif c == "}":
-                depth -= 1
-                if depth == 0:
-                    yield text[start : k + 1]
-
-    def one(text) -> list[dict]:
-        for part in reversed(re.findall(r"\[[^\]]*\]", text or "")):
-            found = loaded(part)
-            if isinstance(found, list) and found and isinstance(found[0], dict) and {"type", "value"} <= set(found[0]):
-                return entries(found)
-        for part in reversed(list(objects(text or ""))):
-            found = loaded(part)
-            if isinstance(found, dict) and isinstance(found.get("entities"), list):
-                return entries(found["entities"])
+    """What can be read from an answer in free text: the JSON list of entities that begins last, or else the entities of
+    the last JSON object that has such a list. What stands around, and JSON that is broken, is passed over."""
+    decode = json.JSONDecoder().raw_decode
+
+    def values(text: str, opening: str):
+        """The JSON values that begin with opening, the last one first."""
+        at = text.rfind(opening)
+        while at >= 0:
+            try:
+                yield decode(text, at)[0]
+            except (ValueError, RecursionError):
+                pass
+            at = text.rfind(opening, 0, at)
+
+    def one(text: str | None) -> list[dict]:
+        lists = (v for v in values(text or "", "[") if v and isinstance(v[0], dict) and v[0].keys() >= {"type", "value"})
+        held = (v["entities"] for v in values(text or "", "{") if isinstance(v.get("entities"), list))
+        for found in (*itertools.islice(lists, 1), *itertools.islice(held, 1)):
+            return [{"type": str(e.get("type") or ""), "value": str(e.get("value") or "")} for e in found if isinstance(e, dict)]
         return []
 
     return answers.map(one)

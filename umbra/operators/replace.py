@@ -35,38 +35,56 @@ def apply(texts: DataFrame, mapping: DataFrame, text: str = "text", into: str =
     entries = ordered(mapping)
     if not entries:
         return texts.withColumn(into, F.col(text))
-    names = "".join(sorted({p for _, p in entries})).lower()
 
     @F.pandas_udf("string")
     def cleaned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        by_low: dict[str, str] = {}
-        for o, p in entries:
-            by_low.setdefault(o.lower(), p)
-        scan = _scanner([o.lower() for o, _ in entries])
-        inside = [k for k, (o, _) in enumerate(entries) if o.lower() in names]
-        patterns: dict[int, re.Pattern] = {}
-
-        def one(t: str | None) -> str | None:
-            if t is None:
-                return None
-            low = t.lower()
-            found = scan(low)
-            if not found:
-                return t
-            if mode == "single_pass":
-                return re.sub("|".join(re.escape(entries[k][0]) for k in sorted(found)), lambda m: by_low.get(m.group().lower(), m.group()), t, flags=re.IGNORECASE)
-            for k in sorted(found | set(inside)):
-                if k not in patterns:
-                    patterns[k] = re.compile(re.escape(entries[k][0]), re.IGNORECASE)
-                t = patterns[k].sub(entries[k][1], t)
-            return t
-
+        put = replacer(entries, mode)
         for batch in batches:
-            yield batch.map(one, na_action="ignore")
+            yield batch.map(put, na_action="ignore")
 
     return texts.withColumn(into, cleaned(F.col(text)))
 
 
+def entry_blocks(mapping: DataFrame, limit: int = LIMIT) -> Iterator[list[tuple[str, str]]]:
+    """All entries in their order, in blocks of at most limit; one empty block if there are none. Applied one after
+    another they do what all do at once."""
+    rows = mapping.where("original <> ''").select("original", "placeholder", "entity_type")
+    many = rows.count()
+    if many <= limit:
+        yield ordered(rows)
+        return
+    placed = rows.orderBy(F.desc(F.length("original")), "placeholder", "original")
+    for k in range(0, many, limit):
+        yield [(r["original"], r["placeholder"]) for r in placed.offset(k).limit(limit).collect()]
+
+
+def replacer(entries: list[tuple[str, str]], mode: str = "sequential"):
+    """A function of a text to the text with entries, which are in order, applied."""
+    names = "".join(sorted({p for _, p in entries})).lower()
+    by_low: dict[str, str] = {}
+    for o, p in entries:
+        by_low.setdefault(o.lower(), p)
+    scan = _scanner([o.lower() for o, _ in entries])
+    inside = [k for k, (o, _) in enumerate(entries) if o.lower() in names]
+    patterns: dict[int, re.Pattern] = {}
+
+    def one(t: str | None) -> str | None:
+        if t is None:
+            return None
+        found = scan(t.lower())
+        if not found:
+            return t
+        if mode == "single_pass":
+            return re.sub("|".join(re.escape(entries[k][0]) for k in sorted(found)), lambda m: by_low.get(m.group().lower(), m.group()), t, flags=re.IGNORECASE)
+        for k in sorted(found | set(inside)):
+            if k not in patterns:
+                patterns[k] = re.compile(re.escape(entries[k][0]), re.IGNORECASE)
+            t = patterns[k].sub(entries[k][1], t)
+        return t
+
+    return one
+
+
 def _scanner(values: list[str]):
     """Which values occur in a text, as a set of their numbers."""
     if not values:

@@ -15,44 +15,73 @@ from umbra.operators import detect, mapping as mp
 from umbra.operators.replace import LIMIT, _scanner, ordered
 
 HIT = "check_name string, file_path string, entity_type string, original string, context string"
-BINARY = ".pdf .jpg .jpeg .png .gif .bmp .tiff .tif .webp .mp3 .wav .mp4 .mov .avi .zip .xlsx .xls .docx .doc .pptx .ppt".split()
+BINARY = [".pdf", ".jpg", ".jpeg", ".png", ".gif", ".bmp", ".tiff", ".tif", ".webp", ".mp3", ".wav", ".mp4", ".mov", ".avi", ".zip", ".xlsx", ".xls", ".docx", ".doc", ".pptx", ".ppt"]
 
 
 def is_text_file(path: Column) -> Column:
     return ~F.lower(naming.suffix(path)).isin(BINARY)
 
 
-def leaks(texts: DataFrame, mapping: DataFrame, path: str = "path", text: str = "text", limit: int = LIMIT) -> DataFrame:
-    """Each place where an original of two characters or more is left, in any case, as HIT with start.
+def _blocks(mapping: DataFrame, limit: int) -> list[DataFrame]:
+    """mapping, or parts of about half the limit if it has more entries than that."""
+    if mapping.limit(limit + 1).count() <= limit:
+        return [mapping]
+    many = -(-2 * mapping.count() // limit)
+    return [mapping.where(F.pmod(F.xxhash64("original"), F.lit(many)) == k) for k in range(many)]
 
-    A mapping over the limit is checked in blocks of about half of it, all texts against each.
-    """
-    if mapping.limit(limit + 1).count() > limit:
-        many = -(-2 * mapping.count() // limit)
-        blocks = [mapping.where(F.pmod(F.xxhash64("original"), F.lit(many)) == k) for k in range(many)]
-        return reduce(DataFrame.unionByName, [_leaks_of(texts, b, path, text) for b in blocks])
-    return _leaks_of(texts, mapping, path, text)
 
-
-def _leaks_of(texts: DataFrame, mapping: DataFrame, path: str, text: str) -> DataFrame:
+def _finder(mapping: DataFrame):
+    """A function of a text to (original, its kind, matches) for each original of two characters or more that it holds."""
     kinds = {r["original"]: r["entity_type"] for r in mapping.select("original", "entity_type").collect()}
     entries = [o for o, _ in ordered(mapping) if len(o) >= 2]
 
-    @F.pandas_udf("array<struct<original:string,entity_type:string,start:int,stop:int>>")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def made():
         scan = _scanner([o.lower() for o in entries])
         patterns: dict[int, re.Pattern] = {}
 
-        def one(t):
-            out = []
+        def found(t: str | None):
             for k in sorted(scan(t.lower())) if t else []:
                 if k not in patterns:
                     patterns[k] = re.compile(re.escape(entries[k]), re.IGNORECASE)
-                out += [{"original": entries[k], "entity_type": kinds[entries[k]], "start": m.start(), "stop": m.end()} for m in patterns[k].finditer(t)]
-            return out
+                yield entries[k], kinds[entries[k]], patterns[k].finditer(t)
+
+        return found
+
+    return made
+
+
+def leaks(texts: DataFrame, mapping: DataFrame, path: str = "path", text: str = "text", limit: int = LIMIT) -> DataFrame:
+    """Each place where an original of two characters or more is left, in any case, as HIT with start.
 
+    A mapping over the limit is checked in blocks of about half of it, all texts against each.
+    """
+    return reduce(DataFrame.unionByName, [_leaks_of(texts, b, path, text) for b in _blocks(mapping, limit)])
+
+
+def leak_counts(texts: DataFrame, mapping: DataFrame, text: str = "text", into: str = "leaks", limit: int = LIMIT) -> DataFrame:
+    """texts with the number of their leaks, counted where the texts are, without a join."""
+    total = reduce(lambda a, b: a + b, [_counted(_finder(block))(F.col(text)) for block in _blocks(mapping, limit)])
+    return texts.withColumn(into, total)
+
+
+def _counted(made):
+    @F.pandas_udf("long")
+    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        found = made()
+        for batch in batches:
+            yield batch.map(lambda t: sum(sum(1 for _ in places) for *_, places in found(t)))
+
+    return counted
+
+
+def _leaks_of(texts: DataFrame, mapping: DataFrame, path: str, text: str) -> DataFrame:
+    made = _finder(mapping)
+
+    @F.pandas_udf("array<struct<original:string,entity_type:string,start:int,stop:int>>")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find = made()
         for batch in batches:
-            yield batch.map(one)
+            yield batch.map(lambda t: [{"original": o, "entity_type": kind, "start": m.start(), "stop": m.end()} for o, kind, places in find(t) for m in places])
 
     rows = texts.select(F.col(path).cast("string").alias("file_path"), F.col(text).alias("text")).where("text is not null")
     hits = rows.select("file_path", "text", F.explode(found(F.col("text"))).alias("h"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from umbra.functions import lexicon as lx, matching, naming
 from umbra.operators import catalog, classify, detect, discriminate, evaluate, mapping as mp, replace, structure, verify
+from umbra.session import kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -296,7 +297,7 @@ def j5_consolidations_all(spark, sf_dir):
     return discriminate.consolidations(catalog.groups(_projects(spark, sf_dir)))
 
 
-_KIND = "case " + " ".join(f"when lower({_SUFFIX}) in ({', '.join(repr(e) for e in v.split())}) then '{k}'" for k, v in lx.EXTENSIONS.items()) + " else 'other' end"
+_KIND = "case " + " ".join(f"when lower({_SUFFIX}) in ({', '.join(repr(e) for e in v)}) then '{k}'" for k, v in lx.EXTENSIONS.items()) + " else 'other' end"
 
 
 @query(f"{_with('paths')} select id, {_SUFFIX} as suffix, {_STEM} as stem, {_KIND} as file_type, regexp_replace(regexp_replace(trim(lower({_STEM})), '[^a-z0-9\\s-]', '', 'g'), '\\s+', ' ', 'g') as normalized from paths")
@@ -328,7 +329,7 @@ def g4_data_type_totals(spark, sf_dir):
     return catalog.data_type_totals(made(spark, sf_dir, "paths").withColumn("entry", F.concat(F.lit("root/"), "path")), "project")
 
 
-_CLEANER = "case " + " ".join(f"when lower({_SUFFIX}) in ({', '.join(repr(e) for e in v.split())}) then '{k}'" for k, v in lx.CLEANER_EXTENSIONS.items()) + " else 'copy' end"
+_CLEANER = "case " + " ".join(f"when lower({_SUFFIX}) in ({', '.join(repr(e) for e in v)}) then '{k}'" for k, v in lx.CLEANER_EXTENSIONS.items()) + " else 'copy' end"
 
 
 @query(f"{_with('paths')} select id, {_CLEANER} as cleaner from paths")
@@ -372,14 +373,15 @@ _MAPPED = """keyed as (select lower(trim(value)) as key, trim(value) as original
     mapping as (select key, original, entity_type, occurrence_count, sources, printf('[%s_%03d]', upper(entity_type), row_number() over (partition by entity_type order by seq)) as placeholder from firsts)"""
 
 
-def _mapping(spark, sf_dir, docs=None):
-    flags = detect.scan_texts(table(spark, sf_dir, "documents") if docs is None else docs, "doc_id", only=["email", "phone"])
-    return flags, mp.build(flags, detect.ORDER)
+def _mapping(spark, sf_dir, sources=False):
+    """Flags and mapping, each computed once."""
+    flags = kept(detect.scan_texts(table(spark, sf_dir, "documents"), "doc_id", only=["email", "phone"]))
+    return flags, kept(mp.build(flags, detect.ORDER, sources=sources))
 
 
 @query(f"with recursive {_SEEN}, {_MAPPED} select key, original, placeholder, entity_type, sources, occurrence_count from mapping")
 def a1_build_mapping(spark, sf_dir):
-    return _mapping(spark, sf_dir)[1].withColumn("sources", F.array_sort("sources"))
+    return _mapping(spark, sf_dir, sources=True)[1].withColumn("sources", F.array_sort("sources"))
 
 
 @query(f"with recursive {_SEEN}, {_MAPPED} select key, original, placeholder, entity_type, occurrence_count from mapping")
@@ -387,7 +389,7 @@ def a2_mapping_in_two_steps(spark, sf_dir):
     """What is seen in one half, then in the other: the same as at once, as halves are in order."""
     docs = table(spark, sf_dir, "documents")
     middle = docs.agg(F.expr("cast(percentile_approx(doc_id, 0.5) as long)")).first()[0]
-    flags = detect.scan_texts(docs, "doc_id", only=["email", "phone"])
+    flags = kept(detect.scan_texts(docs, "doc_id", only=["email", "phone"]))
     first = mp.build(flags.where(F.col("path") <= middle), detect.ORDER)
     return mp.build(flags.where(F.col("path") > middle), detect.ORDER, known=first).drop("sources")
 
@@ -417,8 +419,8 @@ def a4_replace_values(spark, sf_dir):
 @query(f"with recursive {_SEEN}, {_MAPPED} select s.path as doc_id, count(*) as spans, sum(length(placeholder) - length(value)) as growth from seen s join mapping m on lower(trim(s.value)) = m.key where flag_type = 'email' group by s.path")
 def a6_replace_spans(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "path")
-    _, mapping = _mapping(spark, sf_dir)
-    flags = detect.scan_texts(docs, only=["email", "phone"]).where("flag_type = 'email'")
+    flags, mapping = _mapping(spark, sf_dir)
+    flags = flags.where("flag_type = 'email'")
     spans = flags.select("path", "start", (F.col("start") + F.length("value")).alias("stop"), F.col("flag_type").alias("entity_type"), F.lit("").alias("source"))
     done = replace.replace_spans(docs, replace.span_values(spans, docs), mapping)
     counted = spans.groupBy("path").agg(F.count("*").alias("spans"))
@@ -564,8 +566,7 @@ def anonymize_documents(spark, sf_dir):
     """E-mail addresses and telephone numbers of all documents to placeholders, and what is left of them after it."""
     docs = table(spark, sf_dir, "documents")
     flags, mapping = _mapping(spark, sf_dir)
-    done = replace.apply(docs.select("doc_id", "text"), mapping)
-    left = verify.leaks(done, mapping, "doc_id", "cleaned").groupBy("file_path").agg(F.count("*").alias("leaks"))
+    done = verify.leak_counts(replace.apply(docs.select("doc_id", "text"), mapping), mapping, "cleaned")
     found = flags.groupBy("path").agg(F.count("*").alias("found"))
-    joined = done.join(found, done["doc_id"] == found["path"], "left").join(left, done["doc_id"].cast("string") == left["file_path"], "left")
-    return joined.select("doc_id", F.coalesce("found", F.lit(0)).alias("found"), (F.col("text") != F.col("cleaned")).alias("changed"), structure.text_hash(F.col("cleaned")).alias("cleaned_sha256"), F.coalesce("leaks", F.lit(0)).alias("leaks"))
+    done = done.select("doc_id", (F.col("text") != F.col("cleaned")).alias("changed"), structure.text_hash(F.col("cleaned")).alias("cleaned_sha256"), "leaks")
+    return done.join(found, done["doc_id"] == found["path"], "left").select("doc_id", F.coalesce("found", F.lit(0)).alias("found"), "changed", "cleaned_sha256", "leaks")

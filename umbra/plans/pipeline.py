@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from umbra.operators import detect, mapping as mp, replace, structure, verify
+from umbra.session import kept
 
 
 @dataclass
@@ -33,8 +34,8 @@ def flags_of(files: DataFrame, path: str = "path", text: str = "text") -> DataFr
 def clean(files: DataFrame, path: str = "path", text: str = "text", mapping: DataFrame | None = None, spans: DataFrame | None = None, mode: str = "sequential") -> CleanResult:
     """Cleans texts (path, text). A mapping from before is gone on with; spans replace by place where a text has some."""
     rows = files.select(F.col(path).cast("string").alias("path"), F.col(text).alias("text"))
-    flags = flags_of(rows)
-    built = mp.build(flags, detect.ORDER, known=mapping)
+    flags = kept(flags_of(rows))
+    built = kept(mp.build(flags, detect.ORDER, known=mapping))
     cleaned = replace.clean_texts(rows, built, spans) if spans is not None else replace.apply(rows, built, mode=mode)
     hits, report = verify.verify(cleaned.select("path", "cleaned"), built, "path", "cleaned")
     changes = structure.changes(flags.where("phase = 2"), built)
