@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from umbra.llm import text as tx
-from umbra.llm.shared import cut, in_arrow, shuffle_partitions
+from umbra.llm.shared import cut, in_arrow
 
 MOST = 1 << 20  # links that a task contracts at once
 
@@ -95,11 +95,10 @@ def components(links: DataFrame, levels: int = 60) -> DataFrame:
     many as it contracts at once. No step gathers the rows of a centre. Links may repeat, point either way or be
     loops; rows with a null are ignored; without links there are no rows.
     """
-    n = shuffle_partitions(links.sparkSession)
     edges, known = links.where("a is not null and b is not null").select("a", "b"), []
     for _ in range(levels):
         stars = edges.transform(in_arrow, _ranked, "node long, root long, rank long")
-        level = cut(stars.repartition(n, "node").sortWithinPartitions("node", "rank").select("node", "root").transform(in_arrow, _met, "node long, root long, link boolean"))
+        level = cut(stars.repartition("node").sortWithinPartitions("node", "rank").select("node", "root").transform(in_arrow, _met, "node long, root long, link boolean"))
         known.append(level.where("not link").select("node", "root"))
         rest = level.where("link").select(F.col("node").alias("a"), F.col("root").alias("b"))
         many = rest.count()
