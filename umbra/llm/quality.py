@@ -51,6 +51,26 @@ def _repeated_words(hashes: np.ndarray, width: int = 3) -> int:
     return int((np.cumsum(edge)[:-1] > 0).sum())
 
 
+def _lines(w: tx.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Lines with a word of each text, and how many of them are equal to an earlier one."""
+    breaks = np.flatnonzero(w.data == 10)
+    low = np.searchsorted(breaks, w.text_start)
+    many = np.searchsorted(breaks, w.text_end) - low
+    cuts = breaks[np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many - low, many)]
+    first = np.cumsum(many + 1) - many - 1
+    start, end = np.empty((2, int((many + 1).sum())), np.int64)
+    opens, closes = np.zeros((2, len(start)), bool)
+    opens[first] = closes[first + many] = True
+    start[opens], start[~opens] = w.text_start, cuts + 1
+    end[closes], end[~closes] = w.text_end, cuts
+    text = np.repeat(np.arange(len(many)), many + 1)
+    full = np.searchsorted(w.start, end) > np.searchsorted(w.start, start)
+    text, hashes = text[full], w.hashes(start[full], end[full])
+    order = np.lexsort((hashes, text))
+    same = (hashes[order][1:] == hashes[order][:-1]) & (text[order][1:] == text[order][:-1])
+    return np.bincount(text, minlength=len(many)), np.bincount(text[order][1:][same], minlength=len(many))
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, lang, source, text) to (id, lang, source, counts)."""
     for batch in batches:
@@ -70,16 +90,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out[0, i:j] = w.count
             out[1, i:j] = total(((data & 0xC0) != 0x80) & ~tx.SPACE[data])
             out[2, i:j] = total(SYMBOL[data])
-            breaks = np.flatnonzero(data == 10)
+            out[3, i:j], out[4, i:j] = _lines(w)
             for k in range(j - i):
-                a, b = int(w.text_start[k]), int(w.text_end[k])
-                cuts = breaks[np.searchsorted(breaks, a) : np.searchsorted(breaks, b)]
-                s, e = np.append(a, cuts + 1), np.append(cuts, b)
-                full = np.searchsorted(w.start, e) > np.searchsorted(w.start, s)
-                lines = int(full.sum())
-                out[3, i + k] = lines
-                if lines > 1:
-                    out[4, i + k] = lines - len(np.unique(w.hashes(s[full], e[full])))
                 f = int(w.first[k])
                 out[5, i + k] = _repeated_words(hashes[f : f + int(w.count[k])])
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], *map(pa.array, out)], ["id", "lang", "source", *COUNTS])
