@@ -296,3 +296,53 @@ def test_summary_of_names(spark):
     pairs = discriminate.similar_names(signed, "path")
     assert [r["name_a"] for r in discriminate.most_similar_first(pairs).collect()] == ["a report v1"]
     assert tuple(discriminate.summary(signed, pairs).first()) == (4, 1, 2, 1, 1)
+
+
+class Names:
+    """Stands for a model: finds given names."""
+
+    def predict_entities(self, text, labels, threshold):
+        assert "person" in labels and threshold == 0.5
+        if "boom" in text:
+            raise ValueError("boom")
+        return [{"label": kind, "text": name, "score": 0.91234} for name, kind in (("Ann ", "Person"), ("ANN", "person"), ("Acme", "organization"), ("Monday", "date")) if name.strip() in text]
+
+
+def test_entities_by_model(spark):
+    texts = spark.createDataFrame([("a", "x" * 2990 + " Ann ANN Acme Monday"), ("b", "Dr. Bob Stone"), ("c", "boom"), ("d", None)], "path string, text string")
+    got = {tuple(r)[:4] for r in detect.entities_in_texts(texts, model=detect.by_model(Names, "names")).collect()}
+    assert got == {("person", "Ann", "a", 0.912), ("company", "Acme", "a", 0.912), ("person", "Bob Stone", "b", 0.7)}
+
+    def broken():
+        raise OSError("no model")
+
+    assert {r["value"] for r in detect.entities_in_texts(texts, model=detect.by_model(broken, "broken")).collect()} == {"Bob Stone"}
+    counts, seconds = evaluate.compared_methods(texts.withColumnRenamed("path", "source"), {"model": detect.by_model(Names, "names"), "patterns": lambda t: detect.entities_in_texts(t, "source")})
+    assert {tuple(r) for r in counts.collect()} == {("model", "person", 1), ("model", "company", 1), ("patterns", "person", 1)} and set(seconds) == {"model", "patterns"}
+
+
+def test_clean_directory(spark, tmp_path):
+    from umbra.plans import reports
+
+    source, target = tmp_path / "in", tmp_path / "out"
+    (source / "docs").mkdir(parents=True)
+    (source / ".git").mkdir()
+    (source / "docs" / "a.txt").write_text("mail a@b.cd and 555-123-4567")
+    (source / "b.md").write_text("A@B.CD again")
+    (source / "c.bmp").write_bytes(b"BM00")
+    (source / "e.txt").write_bytes(b"\xff\xfe")
+    target.mkdir()
+    (target / "old.txt").write_text("a@b.cd")
+    assert [r[0] for r in sources.folder_data_types(spark, str(source)).collect()] == ["docs"]
+    done = pipeline.clean_directory(spark, str(source), str(target))
+    assert re.fullmatch(r"mail \[EMAIL_\d{3}\] and \[PHONE_\d{3}\]", (target / "docs" / "a.txt").read_text())
+    assert "[EMAIL_" in (target / "b.md").read_text() and (target / "c.bmp").read_bytes() == b"BM00" and not (target / "old.txt").exists() and not (target / "e.txt").exists()
+    assert tuple(done.totals.first()) == (4, 3, 1, False)
+    assert {(r["path"], r["error"]) for r in done.failures.collect()} == {("e.txt", "not UTF-8")}
+    assert "e.txt: not UTF-8" in reports.directory(done)
+    assert {r["key"] for r in pipeline.load_mapping(spark, str(target)).collect()} >= {"a@b.cd", "555-123-4567"}
+    (source / "e.txt").unlink()
+    again = pipeline.clean_directory(spark, str(source), str(target), mapping=done.mapping)
+    assert tuple(again.totals.first()) == (3, 3, 0, True)
+    with pytest.raises(ValueError):
+        pipeline.clean_directory(spark, str(source), str(source / "docs"))

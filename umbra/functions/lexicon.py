@@ -116,3 +116,7 @@ GERBER_TICKET = r"(?s)SLDR\+(.*?)SLDR-"
 SENSITIVE_METADATA = ["author", "last_saved_by", "company", "designer", "organization", "manager", "comments"]
 PLACEHOLDER = r"(?U)\[\w+_\d{3,}\]"
 STRICT_PLACEHOLDER = r"\[[A-Z]+_\d{3,}\]"
+
+#: Labels that a model for entities is asked for, and the kinds of those that are kept.
+ASKED_LABELS = ["person", "organization", "email", "phone", "address", "invoice", "date", "money"]
+MODEL_LABELS = {"person": "person", "organization": "company"}

@@ -6,6 +6,9 @@ shuffled. Order columns (phase, path, detector_ord, pattern_ord, match_ord) say
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from umbra.functions import lexicon as lx, naming
@@ -153,6 +156,44 @@ def chunks(text: Column, size: int = 3000, overlap: int = 200) -> Column:
     return F.filter(F.transform(starts, lambda s: F.substring(text, s + 1, F.lit(size))), lambda c: c.rlike(r"(?U)\S"))
 
 
+_loaded: dict[str, object] = {}
+
+
+def by_model(load, key: str, labels: dict[str, str] = lx.MODEL_LABELS, asked: list[str] = lx.ASKED_LABELS, threshold: float = 0.5, size: int = 3000, overlap: int = 200):
+    """A model for entities_in_texts, from ``load``, which returns an object with predict_entities(text, labels, threshold).
+
+    A worker loads it once under ``key``; if that fails, or a chunk does, nothing is found there, and the patterns take
+    over in texts without any entity. Of a value seen again in a text, in any case, the first sight counts. Of the labels
+    asked for, those in ``labels`` are kept, under the names there.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if key not in _loaded:
+            try:
+                _loaded[key] = load()
+            except Exception:  # noqa: BLE001 - whatever a model raises, there is none
+                _loaded[key] = None
+        for batch in batches:
+            rows = []
+            for source, place, chunk in batch.itertuples(index=False):
+                try:
+                    hits = _loaded[key].predict_entities(chunk, asked, threshold=threshold) if _loaded[key] is not None else []
+                    rows += [(source, place, k, h["label"].lower(), h["text"].strip(), round(float(h["score"]), 3)) for k, h in enumerate(hits)]
+                except Exception:  # noqa: BLE001
+                    continue
+            yield pd.DataFrame(rows, columns=["source", "place", "k", "label", "value", "confidence"])
+
+    def found(texts: DataFrame) -> DataFrame:
+        pieces = texts.where("text is not null").select("source", F.posexplode(chunks(F.col("text"), size, overlap)).alias("place", "chunk"))
+        kind = texts.schema["source"].dataType.simpleString()
+        hits = pieces.mapInPandas(run, f"source {kind}, place int, k int, label string, value string, confidence double")
+        first = hits.groupBy("source", "label", F.lower("value")).agg(F.min(F.struct("place", "k", "value", "confidence")).alias("h"))
+        names = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+        return first.where(F.col("label").isin(*labels)).select(names[F.col("label")].alias("entity_type"), "h.value", "source", "h.confidence", F.lit("").alias("context"))
+
+    return found
+
+
 # names
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import itertools
 import json
+import time
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from umbra.session import kept
+
 
 def values_of(entities: DataFrame, kind: str) -> DataFrame:
     return entities.where(F.col("entity_type") == kind).select(F.lower("value").alias("value")).distinct()
@@ -89,3 +93,13 @@ def salvaged(answers: pd.Series) -> pd.Series:
 def counts_by_method(entities: DataFrame) -> DataFrame:
     """(method, entity_type, entities) of entities with a column method."""
     return entities.groupBy("method", "entity_type").agg(F.countDistinct(F.lower("value")).alias("entities"))
+
+
+def compared_methods(texts: DataFrame, methods: dict) -> tuple[DataFrame, dict[str, float]]:
+    """(counts by method and kind, seconds of each method) of functions from texts to entities; each runs once."""
+    seconds, parts = {}, []
+    for name, method in methods.items():
+        began = time.perf_counter()
+        parts.append(kept(method(texts).select("entity_type", "value").withColumn("method", F.lit(name))))
+        seconds[name] = time.perf_counter() - began
+    return counts_by_method(reduce(DataFrame.unionByName, parts)), seconds

@@ -38,3 +38,27 @@ def verification(hits: DataFrame, report: DataFrame, most: int = 10) -> str:
         if c["hits"] > most:
             out.append(f"  ... and {c['hits'] - most} more")
     return "\n".join(out)
+
+
+def directory(result, most: int = 5) -> str:
+    """Totals of clean_directory, the first errors and the checks."""
+    t = result.totals.first()
+    head = f"{t['files']} files, {t['cleaned']} cleaned, {t['failed']} failed: " + ("success" if t["success"] else "NOT CLEAN")
+    return "\n".join([head, *_listed(result.failures, ["path"], lambda r: f"  {r['path']}: {r['error']}", most), verification(result.hits, result.report)])
+
+
+def diffs(file_diffs: DataFrame, most: int = 100) -> str:
+    """Each changed file with its changes and its difference in size."""
+    changed = file_diffs.where("original_hash <> cleaned_hash")
+    return "\n".join([f"Changed files: {changed.count()}", *_listed(changed, ["file_path"], lambda r: f"  {r['file_path']}: {r['change_count']} changes, {r['size_diff']:+d} bytes", most)])
+
+
+def similar(pairs: DataFrame, most: int = 100) -> str:
+    """Similar names, the most similar first."""
+    return "\n".join(_listed(pairs, [F.desc("similarity"), "ord_a", "ord_b"], lambda r: f"  {r['similarity']:.2f}  {r['name_a']} ~ {r['name_b']}", most)) or "No similar names found."
+
+
+def version(catalog: DataFrame, most: int = 100) -> str:
+    """The catalog of a version: files by data type and file type."""
+    rows = catalog.where("file_type is not null")
+    return "\n".join(["Files:", *_listed(rows, [F.asc_nulls_first("data_type"), "file_type"], lambda r: f"  {r['data_type'] or '-'} {r['file_type']}: {r['files']}", most)])

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import io
 import os
+import posixpath
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -39,6 +41,15 @@ def discover_projects(spark: SparkSession, folder: str | None = None) -> DataFra
     return catalog.ordered_by_name(catalog.groups(catalog.merged([scan_directory(spark, p) for p in places])))
 
 
+def folder_data_types(spark: SparkSession, folder: str) -> DataFrame:
+    """(data_type): the names of a folder's own subfolders that are not hidden, in order; none if it is missing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listStatus(path) if fs.exists(path) and fs.getFileStatus(path).isDirectory() else []
+    names = sorted(s.getPath().getName() for s in found if s.isDirectory() and not s.getPath().getName().startswith("."))
+    return spark.createDataFrame([(n,) for n in names], "data_type string")
+
+
 def read_tree(spark: SparkSession, folder: str, metadata_files: bool = False) -> DataFrame:
     """(path, content, size) of all files below folder, paths relative; ._ files only with metadata_files."""
     root = os.path.join(folder, "")
@@ -102,10 +113,16 @@ def image_texts(files: DataFrame, language: str = "eng") -> DataFrame:
             import pytesseract
             from PIL import Image
         except ImportError:
-            pytesseract = None
+            pytesseract = Image = None
+
+        def read(reader, image, content):
+            try:
+                return reader.image_to_string(image.open(io.BytesIO(content)), lang=language)
+            except Exception:  # noqa: BLE001 - a broken image has no text
+                return None
 
         for batch in contents:
-            yield batch.map(lambda c: None if pytesseract is None or c is None else pytesseract.image_to_string(Image.open(io.BytesIO(c)), lang=language))
+            yield batch.map(lambda c: None if pytesseract is None or c is None else read(pytesseract, Image, c))
 
     kinds = [".jpg", ".jpeg", ".png", ".tiff", ".tif", ".bmp", ".gif"]
     return files.where(F.lower(naming.suffix(F.col("path"))).isin(kinds)).select("path", text("content").alias("text"))
@@ -116,19 +133,26 @@ def one_of_type(files: DataFrame, extension: str) -> DataFrame:
 
 
 def write_tree(files: DataFrame, folder: str) -> None:
-    """Writes (path, content) below a folder that all executors see as a local path, through a draft and a rename."""
-
-    def put(rows: Iterator) -> None:
-        for r in rows:
-            target = os.path.normpath(os.path.join(folder, r["path"]))
-            if not target.startswith(os.path.normpath(folder) + os.sep):
-                raise ValueError(f"{r['path']} leaves the folder")
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            with open(f"{target}.draft", "wb") as f:
-                f.write(r["content"])
-            os.replace(f"{target}.draft", target)
-
-    files.select("path", "content").foreachPartition(put)
+    """Writes (path, content) below a folder that all executors share (any store pyarrow can write), each file through a
+    draft and a rename, so a task that is run again leaves whole files."""
+
+    def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for path, content in batch.itertuples(index=False):
+                target = posixpath.normpath(posixpath.join(root, path))
+                if not target.startswith(posixpath.normpath(root) + "/"):
+                    raise ValueError(f"{path} leaves the folder")
+                store.create_dir(posixpath.dirname(target), recursive=True)
+                draft = f"{target}.draft-{uuid.uuid4().hex}"
+                with store.open_output_stream(draft) as out:
+                    out.write(bytes(content))
+                store.move(draft, target)
+            yield pd.DataFrame({"files": [len(batch)]})
+
+    files.select("path", "content").mapInPandas(put, "files long").agg(F.sum("files")).collect()
 
 
 #: exiftool's names of the fields of SolidWorks files, and ours.
