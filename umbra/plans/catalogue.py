@@ -480,6 +480,38 @@ def v7_verify_cleaned(spark, sf_dir):
     return verify.verify(replace.apply(docs, mapping).select("doc_id", "cleaned"), mapping, "doc_id", "cleaned")[1]
 
 
+_HALF = _FOLD.replace("from mapping", "from mapping where entity_type = 'email'")
+
+
+@query(f"with recursive {_SEEN}, {_MAPPED}, {_HALF}, h as (select c.doc_id, unnest(regexp_extract_all(c.t, '(?i)' || regexp_escape(m.original))) as hit from cleaned c join mapping m on contains(lower(c.t), lower(m.original)) where length(m.original) >= 2), n as (select count(*) as hits, count(distinct doc_id) as files from h) select 0 as check_ord, 'leakage' as check_name, hits, files, hits = 0 as passed from n union all select k, name, 0, 0, true from (values (1, 'rescan'), (2, 'legibility'), (3, 'consistency')) as t(k, name)")
+def v7_verify_half_cleaned(spark, sf_dir):
+    """Texts in which e-mail addresses only are replaced, against the whole mapping: telephone numbers are leaks."""
+    docs = table(spark, sf_dir, "documents")
+    mapping = _mapping(spark, sf_dir)[1]
+    half = replace.apply(docs, mapping.where("entity_type = 'email'")).select("doc_id", "cleaned")
+    return verify.verify(half, mapping, "doc_id", "cleaned")[1]
+
+
+@query(f"{_with('texts')} select entity_type, count(*) as hits from ({_ENTITIES}) group by entity_type")
+def v3_rescan_uncleaned(spark, sf_dir):
+    """Every entity of texts that have not been cleaned is found again."""
+    texts = made(spark, sf_dir, "texts")
+    found = detect.entities_in_texts(texts)
+    built = mp.build(found.withColumn("at", F.struct("source", "value")), ["at"], kind="entity_type", source="source", sources=False)
+    return verify.rescan(texts, built).groupBy("entity_type").agg(F.count("*").alias("hits"))
+
+
+_DAMAGED = "replace(replace(text, chr(10) || chr(10), chr(10)), '# ', '')"
+_COUNTS = {"line": "len(string_split({0}, chr(10)))", "heading": r"len(list_filter(string_split({0}, chr(10)), lambda x: regexp_matches(x, '^#{{1,6}}\s+')))", "paragraph": r"len(list_filter(string_split_regex({0}, '\n\s*\n'), lambda x: regexp_matches(x, '\S')))"}
+
+
+@query(f"{_with('texts')} select path, " + ", ".join(f"{c.format('text')} = {c.format(_DAMAGED)} as {k}" for k, c in _COUNTS.items()) + " from texts")
+def t1_structure_of_damaged(spark, sf_dir):
+    """Which counts survive when blank lines and heading marks are taken out."""
+    texts = made(spark, sf_dir, "texts").withColumn("damaged", F.replace(F.replace("text", F.lit("\n\n"), F.lit("\n")), F.lit("# "), F.lit("")))
+    return texts.select("path", *[structure.structure_preserved(F.col("text"), F.col("damaged"), k).alias(k) for k in _COUNTS])
+
+
 _LINES = "string_split(text, chr(10))"
 
 
