@@ -146,8 +146,8 @@ def _apply_joined(texts: DataFrame, mapping: DataFrame, text: str, into: str, mo
 
         return pd.Series([one(t, e) for t, e in zip(values, near)], dtype=object)
 
-    keyed = texts.withColumn("__row", F.monotonically_increasing_id())
-    asked = keyed.select("__row", F.explode(windows(F.col(text))).alias("gram"))
+    keyed = texts.withColumn("__row", F.sha2(F.encode(F.col(text), "UTF-8"), 256))  # equal texts have equal entries
+    asked = keyed.select("__row", F.explode(windows(F.col(text))).alias("gram")).distinct()
     entries = mapping.select("original", "placeholder", least("original").alias("gram"))
     near = asked.join(entries, "gram").groupBy("__row").agg(F.collect_set(F.struct("placeholder", "original")).alias("entries"))
     joined = keyed.join(near, "__row", "left")
