@@ -139,6 +139,19 @@ def d1_all_but_company_texts(spark, sf_dir):
     return flags.where("flag_type <> 'company'").drop("phase")
 
 
+# Letters beyond ASCII are words too, which \w and \b do not say in the SQL: the character before is part of the match there.
+_PLACES = _hits("texts", r"\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)+,?\s+(?:[A-Z]{2}|\w+)\b", 5, 5, "location", 0.7)
+_WIDE = _hits("texts", r"(?:^|[^\p{L}\p{N}_])[A-Z][a-z]+(?:\s+[A-Z][a-z]+)+,?\s+[\p{L}\p{N}_]+", 5, 5, "location", 0.7)
+_DOCUMENT_FLAGS = _TEXT_FLAGS.replace(_PLACES, f"select * replace (cast(start + length(value) - length(regexp_replace(value, '^[^A-Z]', '')) as int) as start, regexp_replace(value, '^[^A-Z]', '') as value) from ({_WIDE})")
+_DOCUMENT_FLAGS = _DOCUMENT_FLAGS.replace("from texts)", "from (select doc_id as path, text from documents))")
+
+
+@query(f"select path, detector_ord, pattern_ord, match_ord, flag_type, value, start, {_CONTEXT}, confidence from ({_DOCUMENT_FLAGS})")
+def d1_all_but_company_documents(spark, sf_dir):
+    flags = detect.scan_texts(table(spark, sf_dir, "documents"), "doc_id")
+    return flags.where("flag_type <> 'company'").drop("phase")
+
+
 @query(f"{_with('texts')} select path, cast(pattern_ord as int) as pattern_ord, value from ({_companies('texts')})")
 def d1c_company_texts(spark, sf_dir):
     return detect.scan_texts(made(spark, sf_dir, "texts"), only=["company"]).select("path", "pattern_ord", "value")
@@ -416,7 +429,12 @@ def a4_replace_values(spark, sf_dir):
     return done.select("doc_id", structure.text_hash(F.col("cleaned")).alias("cleaned_sha256"), (F.col("text") != F.col("cleaned")).alias("changed"))
 
 
-@query(f"with recursive {_SEEN}, {_MAPPED} select s.path as doc_id, count(*) as spans, sum(length(placeholder) - length(value)) as growth from seen s join mapping m on lower(trim(s.value)) = m.key where flag_type = 'email' group by s.path")
+_SPANS = """spans as (select s.path, s.start, s.start + length(s.value) as stop, m.placeholder from seen s join mapping m on lower(trim(s.value)) = m.key where flag_type = 'email'),
+    pieces as (select s.path, s.start, s.stop, substring(d.text, coalesce(lag(s.stop) over w, 0) + 1, s.start - coalesce(lag(s.stop) over w, 0)) || s.placeholder as piece from spans s join documents d on d.doc_id = s.path window w as (partition by s.path order by s.start)),
+    joined as (select path, count(*) as spans, string_agg(piece, '' order by start) as head, max(stop) as stop from pieces group by path)"""
+
+
+@query(f"with recursive {_SEEN}, {_MAPPED}, {_SPANS} select j.path as doc_id, spans, cast(length(head) + length(substring(d.text, j.stop + 1)) - length(d.text) as decimal(38,0)) as growth, sha256(head || substring(d.text, j.stop + 1)) as cleaned_sha256 from joined j join documents d on d.doc_id = j.path")
 def a6_replace_spans(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "path")
     flags, mapping = _mapping(spark, sf_dir)
@@ -424,30 +442,19 @@ def a6_replace_spans(spark, sf_dir):
     spans = flags.select("path", "start", (F.col("start") + F.length("value")).alias("stop"), F.col("flag_type").alias("entity_type"), F.lit("").alias("source"))
     done = replace.replace_spans(docs, replace.span_values(spans, docs), mapping)
     counted = spans.groupBy("path").agg(F.count("*").alias("spans"))
-    return done.join(counted, "path").select(F.col("path").alias("doc_id"), "spans", (F.length("cleaned") - F.length("text")).cast("decimal(38,0)").alias("growth"))
-
-
-@query(f"with recursive {_SEEN}, {_MAPPED} select d.doc_id, m.key is not null as known, m.placeholder from (select doc_id, regexp_extract(text, '{RE2['email']}') as v from documents) d left join mapping m on lower(trim(d.v)) = m.key where d.v <> ''")
-def f7_get_mapping(spark, sf_dir):
-    values = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract("text", lx.EMAIL, 0).alias("value")).where("value <> ''")
-    return mp.get_mapping(values, _mapping(spark, sf_dir)[1]).select("doc_id", F.col("placeholder").isNotNull().alias("known"), "placeholder")
-
-
-@query(f"with recursive {_SEEN}, {_MAPPED} select p.placeholder, m.original from (select printf('[EMAIL_%03d]', i) as placeholder from range(1, 30) t(i)) p left join mapping m on m.placeholder = p.placeholder")
-def f8_resolve(spark, sf_dir):
-    asked = spark.range(1, 30).select(F.format_string("[EMAIL_%03d]", "id").alias("placeholder"))
-    return mp.resolve(asked, _mapping(spark, sf_dir)[1])
+    growth = (F.length("cleaned") - F.length("text")).cast("decimal(38,0)").alias("growth")
+    return done.join(counted, "path").select(F.col("path").alias("doc_id"), "spans", growth, structure.text_hash(F.col("cleaned")).alias("cleaned_sha256"))
 
 
 @query(f"with recursive {_SEEN}, {_MAPPED} select s.path as doc_id, m.key is not null as known, m.placeholder from seen s left join mapping m on lower(trim(s.value)) = m.key")
-def f7_get_mapping_all(spark, sf_dir):
+def f7_get_mapping(spark, sf_dir):
     """Every match of every document."""
     flags, mapping = _mapping(spark, sf_dir)
     return mp.get_mapping(flags.select(F.col("path").alias("doc_id"), "value"), mapping).select("doc_id", F.col("placeholder").isNotNull().alias("known"), "placeholder")
 
 
 @query(f"with recursive {_SEEN}, {_MAPPED} select placeholder, original from mapping")
-def f8_resolve_all(spark, sf_dir):
+def f8_resolve(spark, sf_dir):
     """Every placeholder of the mapping."""
     mapping = _mapping(spark, sf_dir)[1]
     return mp.resolve(mapping.select("placeholder"), mapping)
@@ -561,17 +568,8 @@ def g14_accuracy(spark, sf_dir):
     return found.select("hits", "truth", "predicted", "precision", "recall", "f1")
 
 
-@query("with a as (select distinct lower(p_type) as v from part union select distinct lower(split_part(p_name, ' ', 1)) from part), b as (select distinct lower(p_name) as v from part where p_partkey % 3 = 0 union select 'zz'), both_of as (select a.v from a, b where contains(a.v, b.v) or contains(b.v, a.v) union select b.v from a, b where contains(a.v, b.v) or contains(b.v, a.v)) select v as value, 'both' as side from both_of union all select v, 'only_a' from a where v not in (select v from both_of) union all select v, 'only_b' from b where v not in (select v from both_of)")
-def j9_overlap(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    a = part.select(F.lower("p_type").alias("value")).union(part.select(F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))))).distinct()
-    b = part.where("p_partkey % 3 = 0").select(F.lower("p_name").alias("value")).union(spark.range(1).select(F.lit("zz"))).distinct()
-    return evaluate.overlap(a, b)
-
-
 @query("with a as (select distinct lower(p_type) as v from part union select distinct lower(split_part(p_name, ' ', 1)) from part), b as (select distinct lower(p_name) as v from part), both_of as (select a.v from a, b where contains(a.v, b.v) or contains(b.v, a.v) union select b.v from a, b where contains(a.v, b.v) or contains(b.v, a.v)) select v as value, 'both' as side from both_of union all select v, 'only_a' from a where v not in (select v from both_of) union all select v, 'only_b' from b where v not in (select v from both_of)")
-def j9_overlap_all(spark, sf_dir):
-    """Whole columns."""
+def j9_overlap(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     a = part.select(F.lower("p_type").alias("value")).union(part.select(F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))))).distinct()
     return evaluate.overlap(a, part.select(F.lower("p_name").alias("value")).distinct())
