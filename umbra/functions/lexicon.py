@@ -8,7 +8,8 @@ from __future__ import annotations
 EMAIL = r"(?U)[\w\.-]+@[\w\.-]+\.\w+"
 PHONE = r"(?U)(?:\+\d{1,3}[-.\s]\d{3,4}[-.\s]\d{3,8}|\(?\d{3}\)?[-.\s]\d{3,4}[-.\s]\d{4})"
 COMPANY_KEYWORDS = ["llc", "inc", "corp", "corporation", "ltd", "gmbh", "sa", "plc", "company", "co.", "industries", "technologies", "systems", "labs", "medical", "solutions", "group", "holdings", "partners"]
-TITLED_PERSON = r"(?U)(?:Mr|Mrs|Ms|Dr|Prof|CEO|COO|CTO|CFO|VP|Director|Manager|Engineer)[.\s]+([A-Z][a-z]+)\s+([A-Z][a-z]+)"
+TITLES = "Mr|Mrs|Ms|Dr|Prof|CEO|COO|CTO|CFO|VP|Director|Manager|Engineer"
+TITLED_PERSON = rf"(?U)(?:{TITLES})[.\s]+([A-Z][a-z]+)\s+([A-Z][a-z]+)"
 
 US_STATES = "Alabama|Alaska|Arizona|Arkansas|California|Colorado|Connecticut|Delaware|Florida|Georgia|Hawaii|Idaho|Illinois|Indiana|Iowa|Kansas|Kentucky|Louisiana|Maine|Maryland|Massachusetts|Michigan|Minnesota|Mississippi|Missouri|Montana|Nebraska|Nevada|New Hampshire|New Jersey|New Mexico|New York|North Carolina|North Dakota|Ohio|Oklahoma|Oregon|Pennsylvania|Rhode Island|South Carolina|South Dakota|Tennessee|Texas|Utah|Vermont|Virginia|Washington|West Virginia|Wisconsin|Wyoming"
 COUNTRIES = "United States|USA|America|China|Japan|Germany|France|United Kingdom|UK|Canada|Australia|India|Brazil|Mexico|Italy|Spain|Korea|Hong Kong|Singapore|Switzerland|Netherlands|Sweden|Norway|Denmark|Finland|Belgium|Austria|Ireland|Portugal|Greece|Turkey|Russia|South Africa|Argentina|Chile|Colombia"

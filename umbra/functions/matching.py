@@ -7,10 +7,11 @@ from pyspark.sql import Column, functions as F
 META = r"([\\.\[\]{}()*+\-?^$|#&~\s])"
 
 
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
+def matches(text: Column, pattern: str, group: int = 0, need: Column | None = None) -> Column:
     """ARRAY<STRUCT<ord, start, stop, value>> of all matches; offsets are code points; the pattern can't match nothing.
 
-    A match's start is the length of all text between matches before it, and of the matches.
+    A match's start is the length of all text between matches before it, and of the matches. need: a cheap condition
+    without which a text has no match; the pattern is not tried on the others.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.struct(found.alias("whole"), F.split(text, pattern, -1).alias("between"), (F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found).alias("value"))
@@ -24,7 +25,13 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
 
         return F.aggregate(F.sequence(F.lit(0), F.size(p["whole"]) - 1), zero, step, lambda s: s["out"])
 
-    return F.when(F.regexp_like(text, F.lit(pattern)), let(parts, places))
+    some = F.regexp_like(text, F.lit(pattern))
+    return F.when(some if need is None else need & some, let(parts, places))
+
+
+def beginning(pattern: str, words: str) -> str:
+    """pattern, which begins with one of words (a|b|...), tried only where a first letter of these stands."""
+    return f"(?=[{''.join(sorted({w[0] for w in words.split('|')}))}]){pattern}"
 
 
 def let(value: Column, body) -> Column:

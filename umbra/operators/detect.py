@@ -12,10 +12,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from umbra.functions import lexicon as lx, naming
-from umbra.functions.matching import context, let, matches
+from umbra.functions.matching import beginning, context, let, matches
 
 FLAG = "array<struct<detector_ord:int,pattern_ord:int,match_ord:int,flag_type:string,value:string,start:int,confidence:double>>"
 ORDER = ["phase", "path", "detector_ord", "pattern_ord", "match_ord"]
+#: E-mail addresses, begun only where a run of their characters does or the last match ended, so that a long word is read
+#: once; patterns that begin with fixed words, tried only at their first letters.
+EMAIL = r"(?U)(?:\G|(?<![\w.-]))" + lx.EMAIL.removeprefix("(?U)").replace("+@", "++@")
+TITLED_PERSON = beginning(lx.TITLED_PERSON, lx.TITLES)
+LOCATIONS = [beginning(p, w) for p, w in zip(lx.LOCATIONS, [lx.US_STATES, lx.COUNTRIES])] + lx.LOCATIONS[2:]
+HAN = "[\u4e00-\u9fff]"  # what the patterns for Chinese texts need
 #: Runs of words, and in them the last keyword with words before it: linear where one pattern for both is not.
 RUN = r"(?U)[A-Za-z]{2,}+(?:\s++[A-Za-z]{2,}+)++\.?"
 WHOLE_RUN = r"(?U)\b[A-Za-z]{2,}+(?!\w)(?:\s++[A-Za-z]{2,}+(?!\w))++"
@@ -41,48 +47,50 @@ def _any(keywords: list[str]) -> str:
 
 
 def company_flags(text: Column) -> Column:
-    runs = F.filter(F.coalesce(matches(text, RUN), F.expr("cast(array() as array<struct<ord:int,start:int,stop:int,value:string>>)")), lambda r: r["value"].rlike(_any(lx.COMPANY_KEYWORDS)))
+    runs = F.filter(F.coalesce(matches(text, RUN, need=text.rlike(_any(lx.COMPANY_KEYWORDS))), F.expr("cast(array() as array<struct<ord:int,start:int,stop:int,value:string>>)")), lambda r: r["value"].rlike(_any(lx.COMPANY_KEYWORDS)))
     nested = F.transform(runs, lambda r: F.transform(_keyword_hits(r["value"], lx.COMPANY_KEYWORDS, "", 5), lambda x: F.struct(F.lit(3).alias("detector_ord"), x["k"].cast("int").alias("pattern_ord"), r["ord"].alias("match_ord"), F.lit("company").alias("flag_type"), x["v"].alias("value"), r["start"].alias("start"), F.lit(0.6).alias("confidence"))))
     return F.flatten(nested)
 
 
+def email_flags(text: Column) -> Column:
+    return _flag(matches(text, EMAIL, need=F.contains(text, F.lit("@"))), 1, 0, "email", 1.0)
+
+
+def phone_flags(text: Column) -> Column:
+    return _flag(matches(text, lx.PHONE), 2, 0, "phone", 1.0)
+
+
 def person_flags(text: Column) -> Column:
     name = lambda m: F.concat_ws(" ", F.regexp_extract(m["value"], lx.TITLED_PERSON, 1), F.regexp_extract(m["value"], lx.TITLED_PERSON, 2))
-    return _flag(matches(text, lx.TITLED_PERSON), 4, 0, "person", 0.8, name)
+    return _flag(matches(text, TITLED_PERSON), 4, 0, "person", 0.8, name)
 
 
 def location_flags(text: Column) -> Column:
-    return F.concat(*[F.filter(_flag(matches(text, p), 5, k, "location", 0.7, lambda m: naming.strip(m["value"])), lambda f: F.length(f["value"]) > 2) for k, p in enumerate(lx.LOCATIONS)])
-
-
-def text_flags(text: Column, street_addresses: bool = False) -> Column:
-    """All flags of a text, as FLAG."""
-    parts = [
-        _flag(matches(text, lx.EMAIL), 1, 0, "email", 1.0),
-        _flag(matches(text, lx.PHONE), 2, 0, "phone", 1.0),
-        company_flags(text),
-        person_flags(text),
-        location_flags(text),
-        _flag(matches(text, lx.US_ZIP), 6, 0, "address", 0.5),
-        _flag(matches(text, lx.CN_ZIP), 7, 0, "address", 0.4),
-        _flag(matches(text, lx.CN_ADDRESS), 8, 0, "address", 0.6),
-    ]
-    if street_addresses:
+    return F.concat(*[F.filter(_flag(matches(text, p, need=text.rlike(HAN) if k in (2, 3, 4) else None), 5, k, "location", 0.7, lambda m: naming.strip(m["value"])), lambda f: F.length(f["value"]) > 2) for k, p in enumerate(LOCATIONS)])
+
+
+def address_flags(text: Column) -> Column:
+    zips = [_flag(matches(text, p), 6 + k, 0, "address", c) for k, (p, c) in enumerate([(lx.US_ZIP, 0.5), (lx.CN_ZIP, 0.4)])]
+    return F.concat(*zips, _flag(matches(text, lx.CN_ADDRESS, need=text.rlike(HAN)), 8, 0, "address", 0.6))
+
+
+#: flag type -> its detector, in the order of detection
+DETECTORS = {"email": email_flags, "phone": phone_flags, "company": company_flags, "person": person_flags, "location": location_flags, "address": address_flags}
+
+
+def text_flags(text: Column, street_addresses: bool = False, only: list[str] | None = None) -> Column:
+    """All flags of a text, as FLAG; only: the types to look for."""
+    parts = [f(text) for kind, f in DETECTORS.items() if only is None or kind in only]
+    if street_addresses and (only is None or "address" in only):
         parts.append(_flag(matches(text, lx.EN_ADDRESS), 9, 0, "address", 0.6))
-    return F.concat(*[p.cast(FLAG) for p in parts])
+    none = F.expr(f"cast(array() as {FLAG})")
+    return F.concat(none, *[p.cast(FLAG) for p in parts])
 
 
 def scan_texts(files: DataFrame, path: str = "path", text: str = "text", street_addresses: bool = False, only: list[str] | None = None) -> DataFrame:
     """Flags of files (path, text): ORDER, flag_type, value, start, context, confidence. only: detectors to run."""
     source = files.select(F.col(path).alias("path"), F.col(text).alias("text")).where("text is not null")
-    if only == ["email", "phone"]:
-        found = F.concat(_flag(matches(F.col("text"), lx.EMAIL), 1, 0, "email", 1.0).cast(FLAG), _flag(matches(F.col("text"), lx.PHONE), 2, 0, "phone", 1.0).cast(FLAG))
-        source = source.where(F.col("text").rlike(f"{lx.EMAIL}|{lx.PHONE.removeprefix('(?U)')}"))
-    else:
-        found = text_flags(F.col("text"), street_addresses)
-        if only:
-            found = F.filter(found, lambda f: f["flag_type"].isin(only))
-    rows = source.select("path", "text", F.explode(found).alias("f"))
+    rows = source.select("path", "text", F.explode(text_flags(F.col("text"), street_addresses, only or None)).alias("f"))
     return rows.select(F.lit(2).alias("phase"), "path", "f.detector_ord", "f.pattern_ord", "f.match_ord", "f.flag_type", "f.value", "f.start", context(F.col("text"), F.col("f.start")).alias("context"), "f.confidence")
 
 
@@ -92,7 +100,7 @@ def scan_names(files: DataFrame, path: str = "path") -> DataFrame:
     kinds = F.array(*map(F.lit, lx.SENSITIVE_DOC_TYPES))
     kind = F.get(F.filter(kinds, lambda k: F.contains(F.lower(name), k)), F.lit(0))
     doc = F.when(kind.isNotNull(), F.array(F.struct(F.lit(3).alias("detector_ord"), F.lit(0).alias("pattern_ord"), F.lit(0).alias("match_ord"), F.lit("sensitive_doc").alias("flag_type"), kind.alias("value"), F.lit(None).cast("int").alias("start"), F.lit(0.7).alias("confidence")))).otherwise(F.expr(f"cast(array() as {FLAG})"))
-    found = F.concat(_flag(matches(name, lx.EMAIL), 1, 0, "email", 1.0).cast(FLAG), _flag(matches(name, lx.PHONE), 2, 0, "phone", 1.0).cast(FLAG), doc.cast(FLAG))
+    found = F.concat(email_flags(name).cast(FLAG), phone_flags(name).cast(FLAG), doc.cast(FLAG))
     rows = files.select(F.col(path).alias("path")).where(~F.col("path").endswith("/")).select("path", F.explode(found).alias("f"))
     return rows.select(F.lit(1).alias("phase"), "path", "f.detector_ord", "f.pattern_ord", "f.match_ord", "f.flag_type", "f.value", "f.start", F.lit("").alias("context"), "f.confidence")
 

@@ -122,7 +122,7 @@ _TEXT_FLAGS = " union all ".join(
     [
         _hits("texts", RE2["email"], 1, 0, "email", 1.0),
         _hits("texts", RE2["phone"], 2, 0, "phone", 1.0),
-        _hits("texts", r"(?:Mr|Mrs|Ms|Dr|Prof|CEO|COO|CTO|CFO|VP|Director|Manager|Engineer)[.\s]+[A-Z][a-z]+\s+[A-Z][a-z]+", 4, 0, "person", 0.8, r"regexp_replace(regexp_extract(m[i], '([A-Z][a-z]+\s+[A-Z][a-z]+)$', 1), '\s+', ' ')"),
+        _hits("texts", rf"(?:{lx.TITLES})[.\s]+[A-Z][a-z]+\s+[A-Z][a-z]+", 4, 0, "person", 0.8, r"regexp_replace(regexp_extract(m[i], '([A-Z][a-z]+\s+[A-Z][a-z]+)$', 1), '\s+', ' ')"),
         *[_hits("texts", rf"\b(?:{p})\b", 5, k, "location", 0.7, where="length(m[i]) > 2") for k, p in enumerate(_LOCATIONS)],
         *[_hits("texts", f"(?:{p})", 5, k + 2, "location", 0.7, where="length(m[i]) > 2") for k, p in enumerate([lx.COUNTRIES_CN, lx.PROVINCES_CN, lx.CITIES_CN])],
         _hits("texts", r"\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)+,?\s+(?:[A-Z]{2}|\w+)\b", 5, 5, "location", 0.7),
