@@ -98,6 +98,19 @@ def test_suffix_lengths(spark, rows):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
 
 
+def test_suffix_hot_anchors(spark, rows):
+    r = np.random.RandomState(4)
+    some = lambda n: "".join(chr(97 + c) for c in r.randint(0, 26, n))
+    hot, sides = "0" * 32, [some(90) for _ in range(6)]
+    rows = [(x[0], x[1]) for x in rows] + [(10_000 + k, sides[k % 6][: 90 - k % 11] + hot + sides[(k * 5 + k // 7) % 6] + some(40)) for k in range(80)]
+    docs = spread(spark, [(*x, "en", "web", 0) for x in rows])
+    for length, gram in [(100, 32), (40, 12), (33, 32)]:
+        want = brute.repeats(rows, length)
+        for limit in (1, 30):
+            got = suffix.repeats(docs, length=length, gram=gram, hot=limit).collect()
+            assert {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got} == want
+
+
 def test_index_family_grows_geometrically(monkeypatch):
     monkeypatch.setattr(suffix, "SLICE", 64)  # so that a merge-scan has many slices
     r, index, seen = np.random.RandomState(1), suffix.IndexFamily(12), set()

@@ -15,6 +15,9 @@ bytes, and those that have fewer left are in no array.
 4. What is found becomes byte runs by document.
 
 Anchors travel packed by partition, as planes of bytes. Partitions are as many as hold about 32 MB of text each.
+Hot anchors, of more than about HOT runs: their runs are cut in four by where in the window the anchor lies, and filed
+under all bytes that the windows of such a quarter share, at least ``length - 17`` of 100. Equal windows have their
+anchor at one place, so they stay together, and what is hot changes no result.
 Hot passages: runs of equal bytes within a few MB of input are settled before the shuffle, so one passage sends one row
 for these, not one a document; a partition indexes equal runs once.
 
@@ -38,6 +41,7 @@ from umbra.llm.shared import among, cut, in_arrow, shuffle_partitions, sorted_gr
 GRAM = 32
 PART_BYTES = 32 << 20  # of text for each partition of the index
 HELD = 4 << 20  # bytes of runs in which equal ones are settled before the shuffle
+HOT = PART_BYTES >> 9  # runs of one anchor beyond which they are divided
 SLICE = 1 << 15  # suffixes whose first bytes are laid out at once
 PLACE = np.uint64(32)  # low bits of a sort key that hold a place in the text
 
@@ -86,6 +90,18 @@ class Anchors:
     def fingerprints(self, start: np.ndarray, size: int | np.ndarray) -> np.ndarray:
         return tx.mix((self.sum[start + size] - self.sum[start]) * tx.powers("down", len(self.data) + 1)[start])
 
+    def divided(self, rows: np.ndarray, length: int, gram: int, parts: int = 4) -> Iterator[tuple]:
+        """The runs ``rows`` cut by the anchor's place in the window: (run, first window, windows, key) of each part."""
+        last = length - gram
+        step = last // parts + 1
+        for low in range(0, last + 1, step):
+            high = min(low + step - 1, last)
+            a = np.maximum(self.first[rows], self.at[rows] - high)
+            b = np.minimum(self.first[rows] + self.many[rows] - 1, self.at[rows] - low)
+            r, a, b = (c[b >= a] for c in (rows, a, b))
+            shared = self.fingerprints(self.at[r] - low, length - (high - low))
+            yield r, a, b - a + 1, tx.as_long(tx.mix(self.hash[r] ^ tx.mix(shared + tx.U64(low))))
+
 
 def _texts(batch: pa.RecordBatch, k: int):
     column = batch.column(k)
@@ -128,8 +144,8 @@ ANCHOR, NAME = 6, 7  # bytes of an anchor within its part, and of a text's name
 def _anchors(length: int, gram: int, bits: int):
     """Texts to rows (part, pairs, known): anchors of a part and the texts that hold them, packed.
 
-    An anchor's first ``bits`` bits are its part. pairs: one text of each anchor, and whether the anchor repeats in this
-    batch; known: all texts of those that do.
+    An anchor's first ``bits`` bits are its part. pairs: one text of each anchor, and the bits of the number of its runs
+    in this batch, or 0 if it has one; known: all texts of those that repeat.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,36 +175,45 @@ def _anchors(length: int, gram: int, bits: int):
             new_ht[1:] = new_h[1:] | (t[1:] != t[:-1])
             begin = np.flatnonzero(new_h)
             many = np.diff(np.append(begin, m))
+            sized = np.where(many > 1, np.frexp(many)[1], 0).astype(np.int64)
             told = np.flatnonzero(np.repeat(many > 1, many) & new_ht)
             part = h >> 48
             edge = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
             one, two = np.searchsorted(begin, np.append(edge, m)), np.searchsorted(told, np.append(edge, m))
-            pairs = [planes([(h[begin[a:b]], ANCHOR), (t[begin[a:b]], NAME), (many[a:b] > 1, 1)]) for a, b in zip(one[:-1], one[1:])]
+            pairs = [planes([(h[begin[a:b]], ANCHOR), (t[begin[a:b]], NAME), (sized[a:b], 1)]) for a, b in zip(one[:-1], one[1:])]
             known = [planes([(h[told[a:b]], ANCHOR), (t[told[a:b]], NAME)]) for a, b in zip(two[:-1], two[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(part[edge].astype(np.int32)), pa.array(pairs, pa.binary()), pa.array(known, pa.binary())], ["part", "pairs", "known"])
 
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by part to (text, anchor) of the anchors with two texts, or a repeating one; known rows pass."""
+def _repeated(hot: int):
+    """Rows sorted by part to (text, anchor) of the anchors with two texts, or a repeating one; known rows pass. Anchors
+    of about ``hot`` runs and more are given as their complements."""
 
     def joined(column: pa.ChunkedArray, widths: list[int]) -> list[np.ndarray]:
         parts = [unplaned(np.frombuffer(x.as_buffer(), np.uint8), widths) for x in column]
         return [np.concatenate(c) for c in zip(*parts)]
 
-    for group in sorted_groups(batches, ["part"]):
-        high = np.int64(group["part"][0].as_py()) << 48
-        a, t, twice = joined(group["pairs"], [ANCHOR, NAME, 1])
-        known_a, known_t = joined(group["known"], [ANCHOR, NAME])
-        order = np.argsort(a, kind="stable")
-        a, t, twice = a[order], t[order], twice[order]
-        begin = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
-        if len(begin):
-            repeats = (np.maximum.reduceat(twice, begin) > 0) | (np.minimum.reduceat(t, begin) != np.maximum.reduceat(t, begin))
-            use = np.repeat(repeats, np.diff(np.append(begin, len(a))))
-            a, t = a[use], t[use]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([t, known_t])), pa.array(np.concatenate([a, known_a]) | high)], ["text", "anchor"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["part"]):
+            high = np.int64(group["part"][0].as_py()) << 48
+            a, t, size = joined(group["pairs"], [ANCHOR, NAME, 1])
+            known_a, known_t = joined(group["known"], [ANCHOR, NAME])
+            order = np.argsort(a, kind="stable")
+            a, t, size = a[order], t[order], size[order]
+            begin = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+            hots = np.zeros(0, np.int64)
+            if len(begin):
+                repeats = (np.maximum.reduceat(size, begin) > 0) | (np.minimum.reduceat(t, begin) != np.maximum.reduceat(t, begin))
+                hots = a[begin[np.add.reduceat(np.int64(1) << np.maximum(size - 1, 0), begin) >= hot]]
+                use = np.repeat(repeats, np.diff(np.append(begin, len(a))))
+                a, t = a[use], t[use]
+            anchor = np.concatenate([a, known_a])
+            told = np.where(np.isin(anchor, hots), ~(anchor | high), anchor | high)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([t, known_t])), pa.array(told)], ["text", "anchor"])
+
+    return run
 
 
 def _index_rows(length: int, gram: int, bits: int):
@@ -222,20 +247,27 @@ def _index_rows(length: int, gram: int, bits: int):
             for i, x in _pieces(batch, 1, length, gram):
                 if not len(x.first):
                     continue
-                use = np.zeros(len(x.first), bool)
+                use, hot = np.zeros(len(x.first), bool), np.zeros(len(x.first), bool)
                 hashed = tx.as_long(x.hash >> tx.U64(16 - bits))
                 edges = np.searchsorted(x.text, np.arange(len(x.start) + 1))
                 for k in range(len(x.start)):
                     a, b = edges[k], edges[k + 1]
                     if b > a and at[i + k + 1] > at[i + k]:
-                        use[a:b] = np.isin(hashed[a:b], values[at[i + k] : at[i + k + 1]])
-                if not use.any():
+                        wanted = values[at[i + k] : at[i + k + 1]]
+                        use[a:b] = np.isin(hashed[a:b], wanted)
+                        if (wanted < 0).any():
+                            hot[a:b] = np.isin(~hashed[a:b], wanted)
+                if not (use.any() or hot.any()):
                     continue
-                f, m = x.first[use], x.many[use]
+                r = np.flatnonzero(use)
+                runs = [(r, x.first[r], x.many[r], hashed[r])]
+                if hot.any():
+                    runs.extend(x.divided(np.flatnonzero(hot), length, gram))
+                r, f, m, key = (np.concatenate(c) for c in zip(*runs))
                 size = m + length - 1
                 stop = np.cumsum(size)
                 take = np.arange(int(stop[-1])) - np.repeat(stop - size - f, size)
-                held.append((hashed[use], docs[i + x.text[use]], f - x.start[x.text[use]], m, size, x.data[take]))
+                held.append((key, docs[i + x.text[r]], f - x.start[x.text[r]], m, size, x.data[take]))
                 size_held += int(stop[-1])
                 if size_held >= HELD:
                     yield settled(held)
@@ -441,7 +473,7 @@ def _firsts(facts: DataFrame, length: int) -> DataFrame:
     return cut(facts.where(F.col("n_bytes") >= length).groupBy("sha", "name").agg(F.min("doc").alias("doc"), F.count("*").alias("many")))
 
 
-def _spans(texts: DataFrame, facts: DataFrame, firsts: DataFrame, length: int, gram: int, few: bool) -> DataFrame:
+def _spans(texts: DataFrame, facts: DataFrame, firsts: DataFrame, length: int, gram: int, few: bool, hot: int) -> DataFrame:
     """(doc, spans) of the first of each class of equal texts (doc, text, ...), where something is to be removed.
 
     few: texts without a repeated anchor are kept out of the join; else all of texts is dealt by doc, as is needed if
@@ -454,7 +486,7 @@ def _spans(texts: DataFrame, facts: DataFrame, firsts: DataFrame, length: int, g
     n = max(shuffle_partitions(spark), -(-size // PART_BYTES))
     bits = min(15, (16 * n - 1).bit_length())
     anchors = texts.select("text").transform(in_arrow, _anchors(length, gram, bits), "part int, pairs binary, known binary")
-    counted = anchors.repartition(n, "part").sortWithinPartitions("part").transform(in_arrow, _repeated, "text long, anchor long")
+    counted = anchors.repartition(n, "part").sortWithinPartitions("part").transform(in_arrow, _repeated(hot), "text long, anchor long")
     wanted = counted.groupBy("text").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("text", "name")
     wanted = firsts.select("name", "doc").join(wanted, "name").select("doc", "anchors")
     if few:
@@ -468,12 +500,12 @@ def _spans(texts: DataFrame, facts: DataFrame, firsts: DataFrame, length: int, g
     return spans.groupBy("doc").agg(F.collect_list(F.struct("first", "many")).alias("spans"))
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = GRAM) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     facts = _facts_of(docs, id_col, text_col)
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     firsts = _firsts(facts, length)
-    spans = cut(_spans(base, facts, firsts, length, gram, True))
+    spans = cut(_spans(base, facts, firsts, length, gram, True, hot))
     touched = among(base, spans.select("doc"), "doc").join(spans, "doc").select("doc", "text", "spans").transform(in_arrow, _removed(length), "doc long, n_removed long, n_spans long, kept_sha256 string")
 
     first = facts.join(firsts.where("many > 1").select("sha", F.col("doc").alias("first_doc")), "sha", "left")
@@ -488,7 +520,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     )
 
 
-def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", length: int = 100, gram: int = GRAM) -> DataFrame:
+def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", length: int = 100, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """docs, all columns, without the repeated bytes; rows of which nothing is left go.
 
     Halves of characters at a cut go too, and length_col, where there is one, is the length of what is left. A copy of
@@ -500,7 +532,7 @@ def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.struct(*rest).alias("rest"))
     firsts = _firsts(facts, length)
     copies = facts.join(firsts.where("many > 1").select("sha", F.col("doc").alias("first")), "sha").where("doc <> first").select("doc")
-    spans = _spans(texts, facts, firsts, length, gram, False)
+    spans = _spans(texts, facts, firsts, length, gram, False, hot)
     joined = texts.join(spans, "doc", "left").join(copies, "doc", "left_anti").select("doc", "text", "rest", "spans")
     kind = docs.select(F.col(text_col).alias("text"), F.struct(*rest).alias("rest")).schema
     left = joined.transform(in_arrow, _stripped(length), f"text string, changed boolean, rest {kind['rest'].dataType.simpleString()}").where("not changed or text <> ''")
