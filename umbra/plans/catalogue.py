@@ -112,8 +112,7 @@ def d1_email_phone_pages(spark, sf_dir):
 
 @query(f"select path, cast(pattern_ord as int) as pattern_ord, value from ({_companies('documents', 'doc_id')})")
 def d1c_company_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(detect._any(lx.COMPANY_KEYWORDS)))
-    rows = docs.select(F.col("doc_id").alias("path"), F.explode(detect.company_flags(F.col("text"))).alias("f"))
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.explode(detect.company_flags(F.col("text"))).alias("f"))
     return rows.select("path", "f.pattern_ord", "f.value")
 
 
