@@ -106,6 +106,22 @@ def test_similar_names_lose_nothing(spark):
     assert got == {(a, b) for k, a in enumerate(names) for b in names[k + 1 :] if difflib.SequenceMatcher(None, a, b).ratio() >= 0.8}
 
 
+def test_similar_names_compare_few_pairs(spark):
+    """Numbered names have the same characters; only those with enough in common and in order are compared."""
+    import difflib
+
+    from umbra.operators import subsequences
+
+    names = [f"po-{10000 + 7 * k} {k % 97}" for k in range(1500)] + ["a long name of a report in all its parts 1", "a long name of a report in all its parts 2", "po-10000"]
+    frame = spark.createDataFrame(list(enumerate(names)), "ord int, name string")
+    met, rest = subsequences.pairs(frame, 0.8)
+    pairs = {(r["ord_a"], r["ord_b"]) for r in met.collect()}
+    assert (42, 42) in rest and len(pairs) < 20_000
+    got = {(r["name_a"], r["name_b"]) for r in discriminate.similar_names(frame.withColumnRenamed("name", "name_normalized"), "ord").collect()}
+    near = {(a, b) for k, a in enumerate(names) for b in names[k + 1 :] if (m := difflib.SequenceMatcher(None, a, b)).real_quick_ratio() >= 0.8 and m.quick_ratio() >= 0.8 and m.ratio() >= 0.8}
+    assert got == near and len(pairs) < 2 * len(near)
+
+
 def test_structure(spark):
     texts = ["", "a", "a\n\nb", "\n \n a\nb\n\t\nc\n", "# x\n####### y\n## z"]
     rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string").select("id", structure.paragraphs(F.col("t")).alias("p"), structure.headings(F.col("t")).alias("h")).orderBy("id").collect()
