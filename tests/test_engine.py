@@ -362,3 +362,22 @@ def test_clean_directory(spark, tmp_path):
     assert tuple(again.totals.first()) == (3, 3, 0, True)
     with pytest.raises(ValueError):
         pipeline.clean_directory(spark, str(source), str(source / "docs"))
+
+
+def test_index_of_many_originals():
+    """Finds what occurs, in some hundred bytes an original, which are made once and not in every task."""
+    import pickle
+    import random
+
+    from umbra.operators import entries
+
+    r = random.Random(3)
+    values = sorted({"".join(r.choice("ab[1é") for _ in range(r.randint(1, 12))) for _ in range(300)})
+    index = entries.index_of(values)
+    for _ in range(200):
+        t = "".join(r.choice("ab[1é") for _ in range(r.randint(0, 60)))
+        assert index.found(entries.low(t.encode())) == {k for k, v in enumerate(values) if v.lower() in t.lower()}
+    many = [(f"user.{k}@mail{k % 97}.example.com", f"[EMAIL_{k:03d}]") for k in range(20_000)]
+    put = replace.Replacer(many)
+    assert len(pickle.dumps(put)) < 200 * len(many)
+    assert put(b"to USER.77@mail77.example.com") == b"to [EMAIL_077]" and put(b"to user.77") is None

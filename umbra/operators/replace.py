@@ -3,7 +3,7 @@
 By value, entries apply to a text longest first, each in any case and wherever it stands, earlier placeholders
 included. Which entries can apply is found first by one scan for all of them, so that a large mapping costs a text
 only what occurs in it; entries that occur within placeholders always remain candidates, so the result is the same as
-with all entries. The entries are broadcast while they are few (``limit``); beyond that the scan is a join of the
+with all entries. The index for this scan (``entries``) is made once and sent to the tasks. The entries are broadcast while they are few (``limit``); beyond that the scan is a join of the
 text's words with the entries' first words, and each text gets the entries found for it.
 """
 
@@ -13,10 +13,13 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from umbra.functions import naming
 from umbra.functions.matching import replace_all
+from umbra.operators.entries import Packed, bytes_of, encoded, index_of, low
 from umbra.operators.mapping import key_of
 
 LIMIT = 200_000
@@ -24,8 +27,8 @@ LIMIT = 200_000
 
 def ordered(mapping: DataFrame) -> list[tuple[str, str]]:
     """(original, placeholder), longest first, then in order of numbering; the caller has checked the size."""
-    rows = mapping.where("original <> ''").select("original", "placeholder", "entity_type").collect()
-    return [(r["original"], r["placeholder"]) for r in sorted(rows, key=lambda r: (-len(r["original"]), r["placeholder"], r["original"]))]
+    rows = mapping.where("original <> ''").select("original", "placeholder").toArrow()
+    return sorted(zip(rows["original"].to_pylist(), rows["placeholder"].to_pylist()), key=lambda e: (-len(e[0]), e[1], e[0]))
 
 
 def apply(texts: DataFrame, mapping: DataFrame, text: str = "text", into: str = "cleaned", mode: str = "sequential", limit: int = LIMIT) -> DataFrame:
@@ -36,11 +39,17 @@ def apply(texts: DataFrame, mapping: DataFrame, text: str = "text", into: str =
     if not entries:
         return texts.withColumn(into, F.col(text))
 
-    @F.pandas_udf("string")
-    def cleaned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        put = replacer(entries, mode)
+    put = Replacer(entries, mode)
+
+    @F.arrow_udf("string")
+    def cleaned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield batch.map(put, na_action="ignore")
+            changed = [put(t) if t else None for t in bytes_of(batch)]
+            at = [k for k, t in enumerate(changed) if t is not None]
+            if at:
+                mask = pa.array([t is not None for t in changed])
+                batch = pc.replace_with_mask(batch, mask, pa.array([changed[k].decode("utf-8", "surrogatepass") for k in at], type=batch.type))
+            yield batch
 
     return texts.withColumn(into, cleaned(F.col(text)))
 
@@ -58,46 +67,45 @@ def entry_blocks(mapping: DataFrame, limit: int = LIMIT) -> Iterator[list[tuple[
         yield [(r["original"], r["placeholder"]) for r in placed.offset(k).limit(limit).collect()]
 
 
-def replacer(entries: list[tuple[str, str]], mode: str = "sequential"):
-    """A function of a text to the text with entries, which are in order, applied."""
-    names = "".join(sorted({p for _, p in entries})).lower()
-    by_low: dict[str, str] = {}
-    for o, p in entries:
-        by_low.setdefault(o.lower(), p)
-    scan = _scanner([o.lower() for o, _ in entries])
-    inside = [k for k, (o, _) in enumerate(entries) if o.lower() in names]
-    patterns: dict[int, re.Pattern] = {}
+class Replacer:
+    """A function of a text, in UTF-8, to the text with entries, which are in order, applied; None if it is the same."""
 
-    def one(t: str | None) -> str | None:
-        if t is None:
-            return None
-        found = scan(t.lower())
+    def __init__(self, entries: list[tuple[str, str]], mode: str = "sequential"):
+        self.index = index_of([o for o, _ in entries])
+        self.originals, self.placeholders = (Packed([encoded(e[k]) for e in entries]) for k in (0, 1))
+        names = "".join(sorted({p for _, p in entries})).lower()
+        self.inside = self.index.found(encoded(names)) if mode != "single_pass" else set()
+        self.mode = mode
+
+    def _entry(self, k: int) -> tuple[str, str]:
+        return tuple(held[k].decode("utf-8", "surrogatepass") for held in (self.originals, self.placeholders))
+
+    def __call__(self, data: bytes) -> bytes | None:
+        found = self.index.found(low(data))
         if not found:
-            return t
-        if mode == "single_pass":
-            return re.sub("|".join(re.escape(entries[k][0]) for k in sorted(found)), lambda m: by_low.get(m.group().lower(), m.group()), t, flags=re.IGNORECASE)
-        for k in sorted(found | set(inside)):
-            if k not in patterns:
-                patterns[k] = re.compile(re.escape(entries[k][0]), re.IGNORECASE)
-            t = patterns[k].sub(entries[k][1], t)
-        return t
+            return None
+        t = data.decode("utf-8", "surrogatepass")
+        entries = [self._entry(k) for k in sorted(found | self.inside)]
+        if self.mode == "single_pass":
+            by_low: dict[str, str] = {}
+            for o, p in entries:
+                by_low.setdefault(o.lower(), p)
+            t = re.sub("|".join(re.escape(o) for o, _ in entries), lambda m: by_low.get(m.group().lower(), m.group()), t, flags=re.IGNORECASE)
+        else:
+            for o, p in entries:
+                t = re.sub(re.escape(o), p, t, flags=re.IGNORECASE)
+        return encoded(t)
 
-    return one
 
+def replacer(entries: list[tuple[str, str]], mode: str = "sequential"):
+    """The same as a function of strings."""
+    put = Replacer(entries, mode)
 
-def _scanner(values: list[str]):
-    """Which values occur in a text, as a set of their numbers."""
-    if not values:
-        return lambda low: set()
-    try:
-        import ahocorasick
-    except ImportError:
-        return lambda low: {k for k, v in enumerate(values) if v in low}
-    machine = ahocorasick.Automaton()
-    for k, v in enumerate(values):
-        machine.add_word(v, (*machine.get(v, ()), k))
-    machine.make_automaton()
-    return lambda low: {k for _, ks in machine.iter(low) for k in ks}
+    def one(t: str | None) -> str | None:
+        done = put(encoded(t)) if t else None
+        return t if done is None else done.decode("utf-8", "surrogatepass")
+
+    return one
 
 
 def _apply_joined(texts: DataFrame, mapping: DataFrame, text: str, into: str, mode: str = "sequential") -> DataFrame:

@@ -6,13 +6,15 @@ import re
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from umbra.functions import lexicon as lx, naming
 from umbra.functions.matching import leak_context
 from umbra.operators import detect, mapping as mp
-from umbra.operators.replace import LIMIT, _scanner, ordered
+from umbra.operators.entries import Packed, bytes_of, encoded, index_of, low
+from umbra.operators.replace import LIMIT, ordered
 
 HIT = "check_name string, file_path string, entity_type string, original string, context string"
 BINARY = [".pdf", ".jpg", ".jpeg", ".png", ".gif", ".bmp", ".tiff", ".tif", ".webp", ".mp3", ".wav", ".mp4", ".mov", ".avi", ".zip", ".xlsx", ".xls", ".docx", ".doc", ".pptx", ".ppt"]
@@ -30,24 +32,25 @@ def _blocks(mapping: DataFrame, limit: int) -> list[DataFrame]:
     return [mapping.where(F.pmod(F.xxhash64("original"), F.lit(many)) == k) for k in range(many)]
 
 
-def _finder(mapping: DataFrame):
-    """A function of a text to (original, its kind, matches) for each original of two characters or more that it holds."""
-    kinds = {r["original"]: r["entity_type"] for r in mapping.select("original", "entity_type").collect()}
-    entries = [o for o, _ in ordered(mapping) if len(o) >= 2]
+class Finder:
+    """A function of a text, in UTF-8, to (original, its kind, matches) for each original of two characters or more that
+    it holds."""
 
-    def made():
-        scan = _scanner([o.lower() for o in entries])
-        patterns: dict[int, re.Pattern] = {}
+    def __init__(self, mapping: DataFrame):
+        rows = mapping.where("original <> ''").select("original", "placeholder", "entity_type").toArrow()
+        kinds = dict(zip(rows["original"].to_pylist(), rows["entity_type"].to_pylist()))
+        entries = [o for o, _ in ordered(mapping) if len(o) >= 2]
+        self.index = index_of(entries)
+        self.originals = Packed([encoded(o) for o in entries])
+        self.names = sorted(set(kinds.values()))
+        self.kinds = np.array([self.names.index(kinds[o]) for o in entries], dtype=np.int32)
 
-        def found(t: str | None):
-            for k in sorted(scan(t.lower())) if t else []:
-                if k not in patterns:
-                    patterns[k] = re.compile(re.escape(entries[k]), re.IGNORECASE)
-                yield entries[k], kinds[entries[k]], patterns[k].finditer(t)
-
-        return found
-
-    return made
+    def __call__(self, data: bytes | None):
+        found = sorted(self.index.found(low(data))) if data else []
+        t = data.decode("utf-8", "surrogatepass") if found else ""
+        for k in found:
+            original = self.originals[k].decode("utf-8", "surrogatepass")
+            yield original, self.names[self.kinds[k]], re.finditer(re.escape(original), t, re.IGNORECASE)
 
 
 def leaks(texts: DataFrame, mapping: DataFrame, path: str = "path", text: str = "text", limit: int = LIMIT) -> DataFrame:
@@ -60,31 +63,33 @@ def leaks(texts: DataFrame, mapping: DataFrame, path: str = "path", text: str =
 
 def leak_counts(texts: DataFrame, mapping: DataFrame, text: str = "text", into: str = "leaks", limit: int = LIMIT) -> DataFrame:
     """texts with the number of their leaks, counted where the texts are, without a join."""
-    total = reduce(lambda a, b: a + b, [_counted(_finder(block))(F.col(text)) for block in _blocks(mapping, limit)])
+    total = reduce(lambda a, b: a + b, [_counted(Finder(block))(F.col(text)) for block in _blocks(mapping, limit)])
     return texts.withColumn(into, total)
 
 
-def _counted(made):
-    @F.pandas_udf("long")
-    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        found = made()
+def _counted(find: Finder):
+    @F.arrow_udf("long")
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield batch.map(lambda t: sum(sum(1 for _ in places) for *_, places in found(t)))
+            yield pa.array([sum(sum(1 for _ in places) for *_, places in find(t)) for t in bytes_of(batch)], type=pa.int64())
 
     return counted
 
 
-def _leaks_of(texts: DataFrame, mapping: DataFrame, path: str, text: str) -> DataFrame:
-    made = _finder(mapping)
+def _places(find: Finder):
+    arrow = pa.list_(pa.struct([("original", pa.string()), ("entity_type", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
 
-    @F.pandas_udf("array<struct<original:string,entity_type:string,start:int,stop:int>>")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find = made()
+    @F.arrow_udf("array<struct<original:string,entity_type:string,start:int,stop:int>>")
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield batch.map(lambda t: [{"original": o, "entity_type": kind, "start": m.start(), "stop": m.end()} for o, kind, places in find(t) for m in places])
+            yield pa.array([[{"original": o, "entity_type": kind, "start": m.start(), "stop": m.end()} for o, kind, places in find(t) for m in places] for t in bytes_of(batch)], type=arrow)
 
+    return found
+
+
+def _leaks_of(texts: DataFrame, mapping: DataFrame, path: str, text: str) -> DataFrame:
     rows = texts.select(F.col(path).cast("string").alias("file_path"), F.col(text).alias("text")).where("text is not null")
-    hits = rows.select("file_path", "text", F.explode(found(F.col("text"))).alias("h"))
+    hits = rows.select("file_path", "text", F.explode(_places(Finder(mapping))(F.col("text"))).alias("h"))
     return hits.select(F.lit("leakage").alias("check_name"), "file_path", "h.entity_type", "h.original", leak_context(F.col("text"), F.col("h.start"), F.col("h.stop")).alias("context"), "h.start")
 
 
