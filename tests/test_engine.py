@@ -381,3 +381,13 @@ def test_index_of_many_originals():
     put = replace.Replacer(many)
     assert len(pickle.dumps(put)) < 200 * len(many)
     assert put(b"to USER.77@mail77.example.com") == b"to [EMAIL_077]" and put(b"to user.77") is None
+
+
+def test_verification_reads_texts_once(spark):
+    built = mp.build(spark.createDataFrame([(0, "person", "Ann Lee", "f")], "n int, flag_type string, value string, path string"), ["n"])
+    texts = spark.createDataFrame([("a", "by Ann Lee, [PERSON_001] [PERSON_009]"), ("b", ""), ("c", None)], "path string, text string")
+    hits, _ = verify.verify(texts, built)
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
+    apart = [verify.leaks(texts, built), verify.rescan(texts, built), verify.illegible(texts.select("path", F.encode("text", "UTF-8").alias("content"))), verify.unknown_placeholders(texts, built)]
+    columns = ["check_name", "file_path", "entity_type", "original", "context"]
+    assert sorted(map(tuple, hits.collect())) == sorted(tuple(r) for p in apart for r in p.select(columns).collect())

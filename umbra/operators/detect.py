@@ -22,6 +22,8 @@ EMAIL = r"(?U)(?:\G|(?<![\w.-]))" + lx.EMAIL.removeprefix("(?U)").replace("+@",
 TITLED_PERSON = beginning(lx.TITLED_PERSON, lx.TITLES)
 LOCATIONS = [beginning(p, w) for p, w in zip(lx.LOCATIONS, [lx.US_STATES, lx.COUNTRIES])] + lx.LOCATIONS[2:]
 HAN = "[\u4e00-\u9fff]"  # what the patterns for Chinese texts need
+PERSON_PATTERNS = [beginning(lx.PERSON_PATTERNS[0], "Mr|Dr|Prof|CEO|VP|Engineer"), *lx.PERSON_PATTERNS[1:]]
+PRODUCT_NEEDS = [r"(?iuU)mod|mdl", r"(?iuU)part|p/n|pn", r"(?iuU)serial|s/n|sn", r"(?iuU)\sv\d"]  # a part of any match
 #: Runs of words, and in them the last keyword with words before it: linear where one pattern for both is not.
 RUN = r"(?U)[A-Za-z]{2,}+(?:\s++[A-Za-z]{2,}+)++\.?"
 WHOLE_RUN = r"(?U)\b[A-Za-z]{2,}+(?!\w)(?:\s++[A-Za-z]{2,}+(?!\w))++"
@@ -112,12 +114,17 @@ def _likely(first: Column, last: Column) -> Column:
     return F.length(first).between(2, 20) & F.length(last).between(2, 20)
 
 
+def _where(need: Column, values: Column) -> Column:
+    """values of texts for which a cheap test lets them have some."""
+    return F.when(need, values).otherwise(F.expr("cast(array() as array<string>)"))
+
+
 def person_names(text: Column) -> Column:
     parts = []
-    for p in lx.PERSON_PATTERNS:
-        both = F.arrays_zip(F.regexp_extract_all(text, F.lit(p), F.lit(1)).alias("a"), F.regexp_extract_all(text, F.lit(p), F.lit(2)).alias("b"))
+    for p in PERSON_PATTERNS:
+        both = F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), lambda m: F.struct(F.regexp_extract(m, p, 1).alias("a"), F.regexp_extract(m, p, 2).alias("b")))
         parts.append(F.transform(F.filter(both, lambda m: _likely(m["a"], m["b"])), lambda m: F.concat_ws(" ", m["a"], m["b"])))
-    parts.insert(2, F.regexp_extract_all(text, F.lit(lx.SURNAME_CN), F.lit(1)))
+    parts.insert(2, _where(text.rlike(HAN), F.regexp_extract_all(text, F.lit(lx.SURNAME_CN), F.lit(1))))
     return F.array_distinct(F.concat(*parts))
 
 
@@ -129,20 +136,23 @@ def company_names(text: Column) -> Column:
 
 
 def product_names(text: Column) -> Column:
-    found = F.concat(*[F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), naming.strip) for p in lx.PRODUCT_PATTERNS])
+    found = F.concat(*[F.transform(_where(text.rlike(need), F.regexp_extract_all(text, F.lit(p), F.lit(0))), naming.strip) for p, need in zip(lx.PRODUCT_PATTERNS, PRODUCT_NEEDS)])
     return F.array_distinct(F.filter(found, lambda v: F.length(v) > 2))
 
 
-def entities(rows: DataFrame, source: str, text: str, confidences: tuple[float, float, float]) -> DataFrame:
-    """(entity_type, value, source, confidence, context) of people, companies and products in a text, each once."""
-    t = F.col("text")
+def entity_array(t: Column, confidences: tuple[float, float, float]) -> Column:
+    """(entity_type, value, confidence) of people, companies and products in a text, each once."""
 
     def of(kind: str, names: Column, c: float) -> Column:
         return F.transform(names, lambda v: F.struct(F.lit(kind).alias("entity_type"), v.alias("value"), F.lit(c).alias("confidence")))
 
-    found = F.concat(*map(of, ("person", "company", "product"), (person_names(t), company_names(t), product_names(t)), confidences))
+    return F.concat(*map(of, ("person", "company", "product"), (person_names(t), company_names(t), product_names(t)), confidences))
+
+
+def entities(rows: DataFrame, source: str, text: str, confidences: tuple[float, float, float]) -> DataFrame:
+    """(entity_type, value, source, confidence, context) of people, companies and products in a text, each once."""
     base = rows.select(F.col(source).alias("source"), F.col(text).alias("text")).where("text is not null")
-    return base.select("source", F.explode(found).alias("e")).select("e.entity_type", "e.value", "source", "e.confidence", F.lit("").alias("context"))
+    return base.select("source", F.explode(entity_array(F.col("text"), confidences)).alias("e")).select("e.entity_type", "e.value", "source", "e.confidence", F.lit("").alias("context"))
 
 
 def entities_in_texts(files: DataFrame, source: str = "path", text: str = "text", model=None) -> DataFrame:

@@ -15,6 +15,7 @@ from umbra.functions.matching import leak_context
 from umbra.operators import detect, mapping as mp
 from umbra.operators.entries import Packed, bytes_of, encoded, index_of, low
 from umbra.operators.replace import LIMIT, ordered
+from umbra.session import kept
 
 HIT = "check_name string, file_path string, entity_type string, original string, context string"
 BINARY = [".pdf", ".jpg", ".jpeg", ".png", ".gif", ".bmp", ".tiff", ".tif", ".webp", ".mp3", ".wav", ".mp4", ".mov", ".avi", ".zip", ".xlsx", ".xls", ".docx", ".doc", ".pptx", ".ppt"]
@@ -128,12 +129,34 @@ def unknown_placeholders(texts: DataFrame, mapping: DataFrame, path: str = "path
     return found.join(mapping.select("placeholder"), "placeholder", "left_anti").select(F.lit("consistency").alias("check_name"), "file_path", F.lit("placeholder").alias("entity_type"), F.col("placeholder").alias("original"), F.lit("").alias("context"))
 
 
-def verify(texts: DataFrame, mapping: DataFrame, path: str = "path", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(hits, report): all hits, and for each check whether it passed and how many hits it has."""
-    columns = ["check_name", "file_path", "entity_type", "original", "context"]
-    files = texts.select(F.col(path).alias("path"), F.encode(F.col(text), "UTF-8").alias("content"))
-    parts = [leaks(texts, mapping, path, text), rescan(texts, mapping, path, text), illegible(files), unknown_placeholders(texts, mapping, path, text)]
-    hits = reduce(DataFrame.unionByName, [p.select(columns) for p in parts])
+def verify(texts: DataFrame, mapping: DataFrame, path: str = "path", text: str = "text", limit: int = LIMIT) -> tuple[DataFrame, DataFrame]:
+    """(hits, report): all hits, and for each check whether it passed and how many hits it has.
+
+    The checks that leaks, rescan, illegible and unknown_placeholders make one by one, in one pass over the texts, whose
+    columns may be costly; what is found is then looked up in the mapping by one join.
+    """
+    hit = "array<struct<check_name:string,entity_type:string,original:string,context:string>>"
+    none = F.expr(f"cast(array() as {hit})")
+
+    def hits_of(found: Column, check: str, kind, original, context=lambda h: F.lit("")) -> Column:
+        made = F.transform(found, lambda h: F.struct(F.lit(check).alias("check_name"), kind(h).alias("entity_type"), original(h).alias("original"), context(h).alias("context")))
+        return F.coalesce(made.cast(hit), none)
+
+    t = F.col("text")
+    rows = texts.select(F.col(path).cast("string").alias("file_path"), F.col(text).alias("text"))
+    blocks = [_places(Finder(b))(t).alias(f"leaks_{k}") for k, b in enumerate(_blocks(mapping, limit))]
+    rows = rows.select("file_path", "text", without_placeholders(t).alias("plain"), *blocks)
+    parts = [hits_of(F.col(f"leaks_{k}"), "leakage", lambda h: h["entity_type"], lambda h: h["original"], lambda h: leak_context(t, h["start"], h["stop"])) for k in range(len(blocks))]
+    parts.append(hits_of(detect.entity_array(F.col("plain"), (0.7, 0.6, 0.5)), "rescan", lambda e: e["entity_type"], lambda e: e["value"]))
+    readable = legible(F.col("file_path"), F.coalesce(F.encode(t, "UTF-8"), F.lit(b"")))
+    parts.append(F.when(~readable, hits_of(F.array(F.lit("file not readable")), "legibility", lambda h: F.lit("unknown"), lambda h: h)).otherwise(none))
+    parts.append(hits_of(F.array_distinct(F.regexp_extract_all(t, F.lit(lx.STRICT_PLACEHOLDER), F.lit(0))), "consistency", lambda h: F.lit("placeholder"), lambda h: h))
+    found = rows.select("file_path", F.explode(F.concat(*parts)).alias("h")).select("h.check_name", "file_path", "h.entity_type", "h.original", "h.context")
+    asked = F.when(F.col("check_name") == "rescan", mp.key_of(F.col("original"))).when(F.col("check_name") == "consistency", F.col("original")).otherwise(F.col("file_path"))
+    known = mapping.select(F.lit("rescan").alias("of"), F.col("key").alias("at")).union(mapping.select(F.lit("consistency"), "placeholder")).distinct().withColumn("known", F.lit(True))
+    joined = found.withColumn("asked", asked).join(known, (F.col("check_name") == F.col("of")) & (F.col("asked") == F.col("at")), "left")
+    has = F.col("known").isNotNull()
+    hits = joined.where(F.when(F.col("check_name") == "rescan", has).when(F.col("check_name") == "consistency", ~has).otherwise(True)).select("check_name", "file_path", "entity_type", "original", "context")
     return hits, report(hits)
 
 
@@ -152,8 +175,10 @@ def failed(report: DataFrame) -> DataFrame:
 
 
 def by_type_and_file(hits: DataFrame) -> DataFrame:
-    """Counts in all (level total), by entity type and by file."""
-    total = hits.agg(F.count("*").alias("hits")).select(F.lit("total").alias("level"), F.lit("").alias("name"), "hits")
-    kinds = hits.groupBy("entity_type").agg(F.count("*").alias("hits")).select(F.lit("type").alias("level"), F.col("entity_type").alias("name"), "hits")
-    files = hits.groupBy("file_path").agg(F.count("*").alias("hits")).select(F.lit("file").alias("level"), F.col("file_path").alias("name"), "hits")
+    """Counts in all (level total), by entity type and by file; hits are computed once."""
+    counts = kept(hits.groupBy("entity_type", "file_path").agg(F.count("*").alias("n")))
+    many = F.sum("n").alias("hits")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("hits")).select(F.lit("total").alias("level"), F.lit("").alias("name"), "hits")
+    kinds = counts.groupBy("entity_type").agg(many).select(F.lit("type").alias("level"), F.col("entity_type").alias("name"), "hits")
+    files = counts.groupBy("file_path").agg(many).select(F.lit("file").alias("level"), F.col("file_path").alias("name"), "hits")
     return total.unionByName(kinds).unionByName(files)
