@@ -116,6 +116,7 @@ def d1c_company_documents(spark, sf_dir):
     return rows.select("path", "f.pattern_ord", "f.value")
 
 
+_ALL_BUT_COMPANY = [kind for kind in detect.DETECTORS if kind != "company"]
 _LOCATIONS = [lx.US_STATES, lx.COUNTRIES]
 _TEXT_FLAGS = " union all ".join(
     [
@@ -134,8 +135,7 @@ _TEXT_FLAGS = " union all ".join(
 
 @query(f"{_with('texts')} select path, detector_ord, pattern_ord, match_ord, flag_type, value, start, {_CONTEXT}, confidence from ({_TEXT_FLAGS})")
 def d1_all_but_company_texts(spark, sf_dir):
-    flags = detect.scan_texts(made(spark, sf_dir, "texts"))
-    return flags.where("flag_type <> 'company'").drop("phase")
+    return detect.scan_texts(made(spark, sf_dir, "texts"), only=_ALL_BUT_COMPANY).drop("phase")
 
 
 # Letters beyond ASCII are words too, which \w and \b do not say in the SQL: the character before is part of the match there.
@@ -147,8 +147,7 @@ _DOCUMENT_FLAGS = _DOCUMENT_FLAGS.replace("from texts)", "from (select doc_id as
 
 @query(f"select path, detector_ord, pattern_ord, match_ord, flag_type, value, start, {_CONTEXT}, confidence from ({_DOCUMENT_FLAGS})")
 def d1_all_but_company_documents(spark, sf_dir):
-    flags = detect.scan_texts(table(spark, sf_dir, "documents"), "doc_id")
-    return flags.where("flag_type <> 'company'").drop("phase")
+    return detect.scan_texts(table(spark, sf_dir, "documents"), "doc_id", only=_ALL_BUT_COMPANY).drop("phase")
 
 
 @query(f"{_with('texts')} select path, cast(pattern_ord as int) as pattern_ord, value from ({_companies('texts')})")
